@@ -2,35 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.functions.money import as_double, exact_sum
+from orderlens.functions.money import as_double, from_parts, money_parts
 
 ZONE_KEYS = ("entity_id", "zone_name")
-PAID = {"local": "actual_df_paid_by_customer_local", "eur": "actual_df_paid_by_customer_eur"}
+UNITS = ("local", "eur")
 
 
 def zone_average_fee(orders: DataFrame) -> DataFrame:
     """Fee paid per distinct order, over non-subscription orders with a known fee, by zone.
 
     Rows are first reduced to one per order code, which spreads a busy zone over all tasks and
-    turns the two conditional distinct counts into plain counts. A NULL zone is a zone.
+    turns the two conditional distinct counts into plain counts. Rows already laid out by order
+    code need no shuffle for that. A NULL zone is a zone.
     """
-    known = {unit: F.col("is_fd_subscription").eqNullSafe("N") & F.col(paid).isNotNull()
-             for unit, paid in PAID.items()}
-    per_code = orders.groupBy(*ZONE_KEYS, "platform_order_code").agg(
-        *[exact_sum(F.when(known[u], F.col(paid))).alias(f"fee_{u}") for u, paid in PAID.items()],
-        *[F.max(known[u]).alias(f"known_{u}") for u in PAID],
-    )
+    def known(unit: str) -> Column:
+        paid = F.col(f"actual_df_paid_by_customer_{unit}")
+        return (F.col("is_fd_subscription") == "N") & paid.isNotNull()
+
+    first = []
+    for unit in UNITS:
+        fee = F.when(known(unit), F.col(f"actual_df_paid_by_customer_{unit}"))
+        whole, millionths = money_parts(fee)
+        first += [
+            F.sum(whole).alias(f"whole_{unit}"),
+            F.sum(millionths).alias(f"millionths_{unit}"),
+            F.max(known(unit)).alias(f"known_{unit}"),
+        ]
+    per_code = orders.groupBy(*ZONE_KEYS, "platform_order_code").agg(*first)
+
     has_code = F.col("platform_order_code").isNotNull()
     per_zone = per_code.groupBy(*ZONE_KEYS).agg(
-        *[F.sum(f"fee_{u}").alias(f"fee_{u}") for u in PAID],
-        *[F.count_if(has_code & F.col(f"known_{u}")).alias(f"orders_{u}") for u in PAID],
+        *[from_parts(F.sum(f"whole_{u}"), F.sum(f"millionths_{u}")).alias(f"fees_{u}") for u in UNITS],
+        *[F.count_if(has_code & F.col(f"known_{u}")).alias(f"orders_{u}") for u in UNITS],
     )
     return per_zone.select(*ZONE_KEYS, *[
-        (as_double(F.col(f"fee_{u}")) / F.col(f"orders_{u}")).alias(f"avg_actual_df_paid_{u}_impute")
-        for u in PAID
+        (as_double(F.col(f"fees_{u}")) / F.col(f"orders_{u}")).alias(f"avg_actual_df_paid_{u}_impute")
+        for u in UNITS
     ])
 
 
@@ -39,7 +49,7 @@ def attach_zone_average(orders: DataFrame, averages: DataFrame) -> DataFrame:
     keyed = averages.select(
         F.col("entity_id").alias("avg_entity_id"),
         F.col("zone_name").alias("avg_zone_name"),
-        *[f"avg_actual_df_paid_{u}_impute" for u in PAID],
+        *[f"avg_actual_df_paid_{u}_impute" for u in UNITS],
     )
     return orders.join(
         keyed,
@@ -58,5 +68,5 @@ def impute_fees(orders: DataFrame) -> DataFrame:
     return orders.withColumns({
         f"dps_delivery_fee_{u}_before_vat": F.when(missing, F.col(f"avg_actual_df_paid_{u}_impute"))
         .otherwise(F.col(f"dps_delivery_fee_{u}_before_vat"))
-        for u in PAID
+        for u in UNITS
     })

@@ -7,15 +7,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# One shuffle of the order rows serves both order-key joins: rows laid out by
-# (entity, order code) also satisfy the join on (entity, order code, date). When that
-# layout turns out skewed, adaptive execution may still split the hot partition, paying
-# the extra shuffle only then.
 SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
+    # Rows laid out by (entity, order code) also serve the join on those keys plus the date, so
+    # one shuffle of the wide order rows is enough for both joins.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # A hot order key is still split at run time; only then is the second shuffle paid.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Where every looked-up partition turns out this small it is hashed, and the wide rows are
+    # not sorted; larger ones keep the sort-merge join, which can spill.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }

@@ -181,6 +181,7 @@ def _tables_in(text: str) -> list[str]:
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
     """Derive the source tables once and store them, as the batch job would find them."""
     frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES}
+    frames["lineitem"] = _spread(frames["lineitem"])
     for name, text in FIXTURE_SQL.items():
         for token, spelling in SPARK_SPELLING.items():
             text = text.replace(token, spelling)
@@ -192,5 +193,11 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
     return Sources(**{name: frames[name] for name in SOURCE_SCHEMAS})
 
 
+def _spread(frame: DataFrame) -> DataFrame:
+    """Rows over all cores where the files are too few for that."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+
+
 def _typed(frame: DataFrame, schema) -> DataFrame:
     return frame.select(*[frame[f.name].cast(f.dataType).alias(f.name) for f in schema])
