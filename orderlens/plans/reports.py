@@ -7,7 +7,7 @@ from typing import Mapping, Optional, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.functions.money import as_double, exact_sum, ratio
+from orderlens.functions.money import MONEY, as_double, exact_sum, ratio
 from orderlens.operators.filters import (
     apply_context,
     keep_known_measures,
@@ -197,11 +197,8 @@ def vertical_report(
         *[F.sum(m).alias(m) for m in (*MEASURES, VERTICAL_GMV)],
         F.sum("gmv_eur").alias("running_gmv_eur"),
     )
-    # One row each, joined on the constant marking the total.
-    total = (
-        total_sums.withColumn("is_total", F.lit(1))
-        .join(total_orders.withColumn("is_total", F.lit(1)), "is_total")
-    )
+    both = total_sums.unionByName(total_orders, allowMissingColumns=True)
+    total = both.agg(*[F.max(c).alias(c) for c in both.columns]).withColumn("is_total", F.lit(1))
     combined = lines.unionByName(total, allowMissingColumns=True)
     measured = _doubles(combined.withColumns(dict(scenario_columns(params))))
     return measured.select(*VERTICAL_LEVEL, "is_total", "pane_position", VERTICAL_GMV, *REPORT_MEASURES)
@@ -213,7 +210,7 @@ def visual_totals(orders: DataFrame, filters: ViewFilters = ALL_ROWS, params: Re
     measures = ("order_count", *MEASURES[:2], "gross_profit_eur_cf_scenario", "gp_diff_eur")
     mark, total = F.col("is_total") == 0, F.col("is_total") == 1
     return report.agg(
-        *[F.sum(F.when(mark, exact(m, report))).alias(f"{m}_of_marks") for m in measures],
+        *[F.sum(F.when(mark, _addable(m, report))).alias(f"{m}_of_marks") for m in measures],
         *[F.max(F.when(total, F.col(m))).alias(f"{m}_recomputed") for m in measures],
     ).select(*[
         F.col(f"{m}_{kind}").cast(report.schema[m].dataType).alias(f"{m}_{kind}")
@@ -221,10 +218,10 @@ def visual_totals(orders: DataFrame, filters: ViewFilters = ALL_ROWS, params: Re
     ])
 
 
-def exact(name: str, frame: DataFrame) -> Column:
+def _addable(name: str, frame: DataFrame) -> Column:
     """Doubles as decimals for adding up; counts as they are."""
     column = F.col(name)
-    return column.cast("decimal(30,6)") if frame.schema[name].dataType.typeName() == "double" else column
+    return column.cast(MONEY) if frame.schema[name].dataType.typeName() == "double" else column
 
 
 def average_profit_cf(orders: DataFrame, keys: Sequence[str], filters: ViewFilters = ALL_ROWS) -> DataFrame:

@@ -18,6 +18,9 @@ SQL_SETTINGS = {
     # Where every looked-up partition turns out this small it is hashed, and the wide rows are
     # not sorted; larger ones keep the sort-merge join, which can spill.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # The JVM never compiles a method beyond 8000 bytes. Fusing a stage of 80 columns gives such
+    # a method, run interpreted; this bound keeps those stages as separately compiled operators.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
