@@ -50,17 +50,19 @@ def filter_domains(
 ) -> DataFrame:
     """Members each filter still offers, that is, those left by all the *other* filters.
 
-    One scan serves all columns: a row offers its value to every column whose condition holds.
+    One scan serves all columns. Rows are first reduced to distinct combinations of the columns
+    and of which of them the row offers; only those few are then listed column by column.
     """
+    offered = {name: context_condition(filters.without(name)) for name in columns}
+    combinations = orders.select(
+        *columns, *[condition.alias(f"offers_{name}") for name, condition in offered.items()],
+    ).filter(reduce(lambda a, b: a | b, [F.col(f"offers_{name}") for name in columns])).distinct()
     offers = F.array(*[
-        F.when(
-            context_condition(filters.without(name)),
-            F.struct(F.lit(name).alias("filter_column"), F.col(name).alias("member")),
-        )
+        F.when(F.col(f"offers_{name}"), F.struct(F.lit(name).alias("filter_column"), F.col(name).alias("member")))
         for name in columns
     ])
     return (
-        orders.select(F.explode(F.array_compact(offers)).alias("offer"))
+        combinations.select(F.explode(F.array_compact(offers)).alias("offer"))
         .select("offer.filter_column", "offer.member")
         .distinct()
     )

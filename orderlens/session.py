@@ -55,6 +55,7 @@ def pin(df: DataFrame, label: str) -> DataFrame:
     Later branches read the same rows instead of recomputing them, a lost executor costs
     one file read, and the optimizer knows the true size when it considers a broadcast.
     """
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -71,6 +71,6 @@ def sources(spark, **tables) -> Sources:
     }
     return Sources(**{
         name: spark.createDataFrame(
-            [Row(**{f: r.get(f) for f in schema.fieldNames()}) for r in rows[name]], schema)
+            [Row(**{f: r.get(f) for f in schema.fieldNames()}) for r in rows[name]], schema).coalesce(1)
         for name, schema in SOURCE_SCHEMAS.items()
     })
