@@ -332,6 +332,20 @@ def join_key_duplicates(spark, sf_dir):
     ])
 
 
+@register(
+    "live_order_view", "key: entity_id is_fd_subscription; int: order_count; money: gmv_eur",
+    f"""SELECT entity_id, is_fd_subscription, COUNT(DISTINCT platform_order_code) AS order_count,
+               {total("gmv_eur")} AS gmv_eur FROM order_table GROUP BY ALL""",
+)
+def live_order_view(spark, sf_dir):
+    """Plain SQL over a view of the stored order table."""
+    orders(spark, sf_dir).createOrReplaceTempView("order_profit")
+    return spark.sql("""
+        SELECT entity_id, is_fd_subscription, count(DISTINCT platform_order_code) AS order_count,
+               sum(CAST(gmv_eur AS DECIMAL(20,6))) AS gmv_eur
+        FROM order_profit GROUP BY entity_id, is_fd_subscription""")
+
+
 # ------------------------------------------------------------------ reports
 
 # Reports run over the whole order table; the queries below named after filters cut it.
@@ -579,21 +593,26 @@ def _selection_steps(keys) -> dict[str, str]:
 @register("action_filter_totals", _VERTICAL_OUTPUTS, "SELECT * FROM vertical_report", _selection_steps(VENDOR_MARK))
 def action_filter_totals(spark, sf_dir):
     """Vertical report for the vendors left by the running-share cut."""
-    table = orders(spark, sf_dir)
-    chosen = pin(reports.pareto_report(table, ALL, PARAMS, PARETO_RANGE), "chosen")
-    return reports.vertical_report(table, ALL, PARAMS, selected=chosen)
+    return reports.dashboard(orders(spark, sf_dir), ALL, PARAMS, PARETO_RANGE, VENDOR_MARK).verticals
 
 
 @register("action_filter_verticals", _VERTICAL_OUTPUTS, "SELECT * FROM vertical_report",
           _selection_steps(VERTICAL_LEVEL))
 def action_filter_verticals(spark, sf_dir):
     """The same with the second key set, which selects whole verticals."""
-    table = orders(spark, sf_dir)
-    chosen = pin(reports.pareto_report(table, ALL, PARAMS, PARETO_RANGE), "chosen")
-    return reports.vertical_report(table, ALL, PARAMS, selected=chosen, selected_keys=VERTICAL_LEVEL)
+    return reports.dashboard(orders(spark, sf_dir), ALL, PARAMS, PARETO_RANGE, VERTICAL_LEVEL).verticals
+
+
+@register("dashboard_vendors", _VENDOR_OUTPUTS,
+          # The cut at 1 is on the exact share: a sum of rounded shares may pass 1 by an ulp.
+          "SELECT * FROM vendor_lines WHERE running_gmv_eur / vertical_gmv_eur BETWEEN 0.00064293826459584406e0 AND 1e0",
+          _vendor_steps())
+def dashboard_vendors(spark, sf_dir):
+    """Upper half of the dashboard, at the saved running-share range."""
+    return reports.dashboard(orders(spark, sf_dir), ALL, PARAMS).vendors
 
 
-_VISUAL = ("order_count", "gmv_eur", "gross_profit_eur", "gross_profit_eur_cf_scenario", "gp_diff_eur")
+_VISUAL = reports.VISUAL_TOTAL_MEASURES
 
 
 @register(

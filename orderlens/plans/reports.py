@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from typing import Mapping, Optional, Sequence
+from typing import Mapping, NamedTuple, Optional, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,27 +107,23 @@ def vendor_marks(orders: DataFrame, filters: ViewFilters = ALL_ROWS) -> DataFram
     return attach(with_vertical, roll_up(shown, ["vendor_id"], VENDOR_TOTAL), ["vendor_id"], VENDOR_TOTAL)
 
 
-def _share() -> Column:
-    return ratio(as_double(F.col("gmv_eur")), as_double(F.col(VERTICAL_GMV)))
+def _share(gmv: str) -> Column:
+    return ratio(as_double(F.col(gmv)), as_double(F.col(VERTICAL_GMV)))
 
 
 def vendor_report(
     orders: DataFrame, filters: ViewFilters = ALL_ROWS, params: ReportParams = ReportParams(),
     share: Optional[tuple] = None,
 ) -> DataFrame:
-    """Vendor rows in report order: keys, position in the pane, ten measures.
+    """Vendor rows: keys, position in the pane, ten measures.
 
-    ``share`` cuts on the running share after it is computed.
+    All shares of a pane have one denominator, so their running sum is the running GMV over it;
+    that way a full pane ends at exactly 1. ``share`` cuts on the running share once computed.
     """
-    marked = vendor_marks(orders, filters).withColumn("share_of_vertical_gmv", _share())
+    marked = vendor_marks(orders, filters).withColumn("share_of_vertical_gmv", _share("gmv_eur"))
     summed = running(
-        marked, VERTICAL_LEVEL, vendor_order(),
-        {
-            "running_gmv_eur": F.col("gmv_eur"),
-            "running_share_of_vertical_gmv": F.col("share_of_vertical_gmv"),
-        },
-        position="pane_position",
-    )
+        marked, VERTICAL_LEVEL, vendor_order(), {"running_gmv_eur": F.col("gmv_eur")}, position="pane_position",
+    ).withColumn("running_share_of_vertical_gmv", _share("running_gmv_eur"))
     measured = _doubles(summed.withColumns(dict(scenario_columns(params))))
     if share is not None:
         measured = share_range(measured, "running_share_of_vertical_gmv", *share)
@@ -159,34 +155,33 @@ def measure_rows(report: DataFrame, keys: Sequence[str], measures: Sequence[str]
     return report.select(*keys, F.inline(entries))
 
 
-def vertical_report(
-    orders: DataFrame, filters: ViewFilters = ALL_ROWS, params: ReportParams = ReportParams(),
+def _vertical_rows(
+    orders: DataFrame, filters: ViewFilters, params: ReportParams,
     selected: Optional[DataFrame] = None, selected_keys: Sequence[str] = VENDOR_MARK,
 ) -> DataFrame:
-    """Vertical rows and a grand total, optionally for rows selected in the vendor report.
+    """Vertical marks and their total with every measure, sums still decimal.
 
     The selection applies after the fixed vertical totals, so shares stay shares of the full
-    vertical. ``is_total`` tells the total row from a row with NULL keys. The total counts
-    distinct orders again over the rows of the shown marks.
+    vertical; without one the marks are those totals. The total counts distinct orders again
+    over the rows of the shown marks.
     """
     context = apply_context(orders, filters)
     rows = context if selected is None else keep_selected(context, selected, selected_keys)
-    all_marks = pin(marks(rows, VERTICAL_LEVEL), "vertical-marks")
-    totals = (
-        all_marks.select(*VERTICAL_LEVEL, F.col("gmv_eur").alias(VERTICAL_GMV)) if selected is None
-        else sums(context, VERTICAL_LEVEL, ["gmv_eur"]).withColumnRenamed("gmv_eur", VERTICAL_GMV)
-    )
-    shown = keep_known_measures(attach(all_marks, totals, VERTICAL_LEVEL, VERTICAL_GMV))
-    if selected is not None:
-        shown = pin(shown, "shown-verticals")
+    all_marks = marks(rows, VERTICAL_LEVEL)
+    if selected is None:
+        with_totals = all_marks.withColumn(VERTICAL_GMV, F.col("gmv_eur"))
+    else:
+        totals = sums(context, VERTICAL_LEVEL, ["gmv_eur"]).withColumnRenamed("gmv_eur", VERTICAL_GMV)
+        with_totals = attach(all_marks, totals, VERTICAL_LEVEL, VERTICAL_GMV)
+    shown = pin(keep_known_measures(with_totals), "shown-verticals")
 
     lines = running(
-        shown.withColumn("share_of_vertical_gmv", _share()),
+        shown.withColumn("share_of_vertical_gmv", _share("gmv_eur")),
         ["region", "entity_id"],
         [F.col("gmv_eur").desc_nulls_last(), F.col("vertical_type").asc_nulls_first()],
         {
             "running_gmv_eur": F.col("gmv_eur"),
-            "running_share_of_vertical_gmv": F.col("share_of_vertical_gmv"),
+            "running_share_of_vertical_gmv": F.col("share_of_vertical_gmv").cast("decimal(30,15)"),
         },
         position="pane_position",
     ).withColumn("is_total", F.lit(0))
@@ -200,28 +195,56 @@ def vertical_report(
     both = total_sums.unionByName(total_orders, allowMissingColumns=True)
     total = both.agg(*[F.max(c).alias(c) for c in both.columns]).withColumn("is_total", F.lit(1))
     combined = lines.unionByName(total, allowMissingColumns=True)
-    measured = _doubles(combined.withColumns(dict(scenario_columns(params))))
+    return combined.withColumns(dict(scenario_columns(params)))
+
+
+def vertical_report(
+    orders: DataFrame, filters: ViewFilters = ALL_ROWS, params: ReportParams = ReportParams(),
+    selected: Optional[DataFrame] = None, selected_keys: Sequence[str] = VENDOR_MARK,
+) -> DataFrame:
+    """Vertical rows and a grand total, optionally for rows selected in the vendor report.
+
+    ``is_total`` tells the total row from a row with NULL keys.
+    """
+    measured = _doubles(_vertical_rows(orders, filters, params, selected, selected_keys))
     return measured.select(*VERTICAL_LEVEL, "is_total", "pane_position", VERTICAL_GMV, *REPORT_MEASURES)
 
 
+class Dashboard(NamedTuple):
+    vendors: DataFrame
+    verticals: DataFrame
+
+
+def dashboard(
+    orders: DataFrame, filters: ViewFilters = ALL_ROWS, params: ReportParams = ReportParams(),
+    share: tuple = DEFAULT_RUNNING_SHARE_RANGE, selected_keys: Optional[Sequence[str]] = None,
+) -> Dashboard:
+    """Vendor report over vertical report, under the same filters.
+
+    The running-share cut of the vendor report reaches the vertical one only by selecting the
+    vendors it leaves, that is, when ``selected_keys`` is given.
+    """
+    vendors = pin(vendor_report(orders, filters, params, share), "vendor-report")
+    selected = None if selected_keys is None else vendors
+    return Dashboard(vendors, vertical_report(orders, filters, params, selected, selected_keys or VENDOR_MARK))
+
+
+# The measures that also have a total adding up what is shown.
+VISUAL_TOTAL_MEASURES = ("order_count", "gmv_eur", "gross_profit_eur", "gross_profit_eur_cf", "gp_diff_eur")
+
+
 def visual_totals(orders: DataFrame, filters: ViewFilters = ALL_ROWS, params: ReportParams = ReportParams()) -> DataFrame:
     """Totals as the sum of the shown vertical marks, next to the totals recomputed from rows."""
-    report = vertical_report(orders, filters, params)
-    measures = ("order_count", *MEASURES[:2], "gross_profit_eur_cf_scenario", "gp_diff_eur")
+    rows = _vertical_rows(orders, filters, params)
+    rows = rows.withColumn("gp_diff_eur", F.col("gp_diff_eur").cast(MONEY))
     mark, total = F.col("is_total") == 0, F.col("is_total") == 1
-    return report.agg(
-        *[F.sum(F.when(mark, _addable(m, report))).alias(f"{m}_of_marks") for m in measures],
-        *[F.max(F.when(total, F.col(m))).alias(f"{m}_recomputed") for m in measures],
-    ).select(*[
-        F.col(f"{m}_{kind}").cast(report.schema[m].dataType).alias(f"{m}_{kind}")
-        for m in measures for kind in ("of_marks", "recomputed")
-    ])
-
-
-def _addable(name: str, frame: DataFrame) -> Column:
-    """Doubles as decimals for adding up; counts as they are."""
-    column = F.col(name)
-    return column.cast(MONEY) if frame.schema[name].dataType.typeName() == "double" else column
+    return _doubles(rows.agg(*[
+        column
+        for m in VISUAL_TOTAL_MEASURES for column in (
+            F.sum(F.when(mark, F.col(m))).alias(f"{m}_of_marks"),
+            F.max(F.when(total, F.col(m))).alias(f"{m}_recomputed"),
+        )
+    ]))
 
 
 def average_profit_cf(orders: DataFrame, keys: Sequence[str], filters: ViewFilters = ALL_ROWS) -> DataFrame:

@@ -53,6 +53,15 @@ def test_vendor_report(spark):
     assert food_a.gp_diff_eur == pytest.approx(12 * 0.98 - 6)
 
 
+def test_full_pane_ends_at_exactly_one(spark):
+    """Shares of a tenth and the like; their rounded values would add up to just over or under 1."""
+    rows = [("Asia", "E", v, f"{v}{i}", f"{v}{i}", 10.0 * (i + 1) / 3, 1.0)
+            for v, n in (("food", 7), ("shop", 10), ("other", 49)) for i in range(n)]
+    report = reports.vendor_report(table(spark, rows), share=(0.0, 1.0)).collect()
+    assert len(report) == len(rows)
+    assert sum(r.running_share_of_vertical_gmv == 1.0 for r in report) == 3
+
+
 def test_share_cut_keeps_running_values(spark):
     cut = reports.vendor_report(table(spark, ROWS), share=(0.5, 0.9)).collect()
     assert {(r.vertical_type, r.vendor_id): r.running_gmv_eur for r in cut} == {
@@ -131,6 +140,16 @@ def test_visual_totals(spark):
     row = reports.visual_totals(table(spark, ROWS)).first()
     assert row.order_count_of_marks == 6 and row.order_count_recomputed == 5
     assert row.gmv_eur_of_marks == row.gmv_eur_recomputed == 220
+    assert row.gross_profit_eur_cf_of_marks == row.gross_profit_eur_cf_recomputed == 26
+
+
+def test_dashboard_cut_reaches_verticals_only_by_selection(spark):
+    orders, cut = table(spark, ROWS), (0.5, 0.9)
+    plain = reports.dashboard(orders, share=cut)
+    linked = reports.dashboard(orders, share=cut, selected_keys=VENDOR_MARK)
+    assert plain.vendors.count() == linked.vendors.count() == 2
+    assert {r.gmv_eur for r in plain.verticals.collect() if not r.is_total} == {100, 120}
+    assert {r.gmv_eur for r in linked.verticals.collect() if not r.is_total} == {60, 100}
 
 
 def test_drill_levels(spark):
