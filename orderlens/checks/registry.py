@@ -22,7 +22,7 @@ from orderlens.operators.profit import AGGREGATE_KEYS, vendor_aggregate
 from orderlens.params import BatchParams, ReportParams, ViewFilters
 from orderlens.plans import reports
 from orderlens.plans.batch import imputed_orders, profit_orders
-from orderlens.session import pin, shared_dir, tune
+from orderlens.session import pin, shared_path, tune
 from orderlens.sources.fixtures import FIXTURE_PARAMS, entity_of_nation, fixture_sources
 from orderlens.sources.schemas import ORDER_TABLE, Sources
 from orderlens.sources.tables import duplicate_keys, publish, replace_from_self
@@ -290,7 +290,7 @@ def vendor_agg_metrics(spark, sf_dir):
 @register("publish_roundtrip", _AGGREGATE_OUTPUTS, "SELECT * FROM vendor_agg")
 def publish_roundtrip(spark, sf_dir):
     """Publish the aggregate, replace it once more, and read it back."""
-    path = f"{shared_dir(spark)}/published/vendor_aggregate_{abs(hash(str(sf_dir)))}"
+    path = shared_path(spark, "vendor-aggregate")
     publish(vendor_aggregate(orders(spark, sf_dir)), path)
     return publish(vendor_aggregate(orders(spark, sf_dir)), path)
 
@@ -302,7 +302,7 @@ def publish_roundtrip(spark, sf_dir):
 def replace_from_self_query(spark, sf_dir):
     """Store the fact, then replace it by the same table with averages and filled-in fees."""
     from orderlens.operators.impute import attach_zone_average, impute_fees
-    path = f"{shared_dir(spark)}/published/order_fact_{abs(hash(str(sf_dir)))}"
+    path = shared_path(spark, "order-fact")
     publish(facts(spark, sf_dir), path)
     return replace_from_self(
         spark, path,

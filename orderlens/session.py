@@ -18,9 +18,6 @@ SQL_SETTINGS = {
     # Where every looked-up partition turns out this small it is hashed, and the wide rows are
     # not sorted; larger ones keep the sort-merge join, which can spill.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
-    # The JVM never compiles a method beyond 8000 bytes. Fusing a stage of 80 columns gives such
-    # a method, run interpreted; this bound keeps those stages as separately compiled operators.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
@@ -49,13 +46,17 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def shared_path(spark: SparkSession, label: str) -> str:
+    """New path in the shared folder, under the application's id."""
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
 def pin(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Later branches read the same rows instead of recomputing them, a lost executor costs
     one file read, and the optimizer knows the true size when it considers a broadcast.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
