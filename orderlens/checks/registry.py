@@ -13,15 +13,16 @@ from pyspark.sql import functions as F
 from orderlens.checks.oracle import SOURCE_NAMES, text_list, total, with_steps
 from orderlens.checks.outputs import columns, spark_output, sql_output
 from orderlens.functions.money import eur_name
+from orderlens.functions.orders import normal_vertical_parent
 from orderlens.operators.dimensions import entity_dimension, flatten_zones
 from orderlens.operators.filters import CASCADING_COLUMNS, apply_context, filter_domains
-from orderlens.operators.impute import zone_average_fee
+from orderlens.operators.impute import attach_zone_average, impute_fees, zone_average_fee
 from orderlens.operators.lod import VENDOR_LEVEL, VENDOR_MARK, VERTICAL_LEVEL
 from orderlens.operators.order_fact import FREE_FLAG, PLAIN_AMOUNTS, filter_sessions, order_fact
 from orderlens.operators.profit import AGGREGATE_KEYS, vendor_aggregate
 from orderlens.params import BatchParams, ReportParams, ViewFilters
 from orderlens.plans import reports
-from orderlens.plans.batch import imputed_orders, profit_orders
+from orderlens.plans.batch import profit_orders
 from orderlens.session import pin, shared_path, tune
 from orderlens.sources.fixtures import FIXTURE_PARAMS, entity_of_nation, fixture_sources
 from orderlens.sources.schemas import ORDER_TABLE, Sources
@@ -180,7 +181,6 @@ def subscription_flag(spark, sf_dir):
        GROUP BY 1, 2""",
 )
 def vertical_parent_norm(spark, sf_dir):
-    from orderlens.functions.orders import normal_vertical_parent
     raw = F.col("vendor_vertical_parent")
     return sources(spark, sf_dir).sessions.groupBy(
         raw.alias("raw"), normal_vertical_parent(raw).alias("normalised"),
@@ -256,7 +256,6 @@ def zone_avg_fee(spark, sf_dir):
     "dps_delivery_fee_local_before_vat dps_delivery_fee_eur_before_vat", "SELECT * FROM imputed",
 )
 def impute_update(spark, sf_dir):
-    from orderlens.operators.impute import attach_zone_average, impute_fees
     fact = facts(spark, sf_dir).withColumns({
         f"fee_{u}_before_impute": F.col(f"dps_delivery_fee_{u}_before_vat") for u in ("local", "eur")
     })
@@ -301,7 +300,6 @@ def publish_roundtrip(spark, sf_dir):
 )
 def replace_from_self_query(spark, sf_dir):
     """Store the fact, then replace it by the same table with averages and filled-in fees."""
-    from orderlens.operators.impute import attach_zone_average, impute_fees
     path = shared_path(spark, "order-fact")
     publish(facts(spark, sf_dir), path)
     return replace_from_self(

@@ -1,7 +1,7 @@
 """Batch job for spark-submit.
 
-    spark-submit -m orderlens.job --sources hdfs:///warehouse --output hdfs:///profit \
-        --start 2022-06-01 --end 2022-08-31 --shuffle-partitions 40000
+    spark-submit --py-files orderlens.zip orderlens/job.py --sources hdfs:///warehouse \
+        --output hdfs:///profit --start 2022-06-01 --end 2022-08-31 --shuffle-partitions 40000
 
 ``--sources`` holds one Parquet folder per source table. Set ``spark.checkpoint.dir`` to a folder
 all executors share. Shuffle partitions are an upper bound (adaptive execution merges small

@@ -16,13 +16,13 @@ from small import (
     variant,
 )
 
-from orderlens.job import arguments
+from orderlens.job import arguments, main
 from orderlens.operators.dimensions import entity_dimension, flatten_zones
 from orderlens.operators.impute import zone_average_fee
 from orderlens.operators.order_fact import order_fact
 from orderlens.operators.profit import vendor_aggregate
 from orderlens.plans.batch import profit_orders, run_batch
-from orderlens.sources.schemas import ORDER_TABLE
+from orderlens.sources.schemas import ORDER_TABLE, SOURCE_SCHEMAS
 
 
 def orders_by_code(spark, **tables):
@@ -224,6 +224,16 @@ def test_job_arguments():
     assert args.end == "2022-08-31" and len(args.entities) == 8
 
 
+def test_job(spark, tmp_path):
+    tables = sources(spark)
+    for name in SOURCE_SCHEMAS:
+        getattr(tables, name).write.parquet(f"{tmp_path}/in/{name}")
+    main(["--sources", f"{tmp_path}/in", "--output", f"{tmp_path}/out", "--entities", "FP_TW"])
+    row = spark.read.parquet(f"{tmp_path}/out/vendors").first()
+    assert (row.region, row.vendor_id, row.is_fd_subscription, row.order_count) == ("Asia", "v1", "Y", 1)
+    assert row.gross_profit_eur == pytest.approx(18 / 4)
+
+
 def test_one_hot_key_is_split(spark, setting):
     """A third of the sessions share one order key; the join splits it and keeps every row."""
     from conftest import CHECK
