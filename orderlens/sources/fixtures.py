@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orderlens.params import BatchParams
 from orderlens.session import pin
 from orderlens.sources.schemas import SOURCE_SCHEMAS, Sources
+from orderlens.sources.tables import conform
 
 # Nation keys that carry an excluded entity id.
 SPECIAL_ENTITIES = {20: "TB_SA", 21: "FP_DE", 22: "DN_22", 23: "ODR_23"}
@@ -187,8 +188,7 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
             text = text.replace(token, spelling)
         frame = spark.sql(text, **{t: frames[t] for t in _tables_in(text)})
         if name in SOURCE_SCHEMAS:
-            schema = SOURCE_SCHEMAS[name]
-            frame = pin(_typed(frame, schema), name)
+            frame = pin(conform(frame, SOURCE_SCHEMAS[name]), name)
         frames[name] = frame
     return Sources(**{name: frames[name] for name in SOURCE_SCHEMAS})
 
@@ -196,8 +196,4 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
 def _spread(frame: DataFrame) -> DataFrame:
     """Rows over all cores where the files are too few for that."""
     cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
-
-
-def _typed(frame: DataFrame, schema) -> DataFrame:
-    return frame.select(*[frame[f.name].cast(f.dataType).alias(f.name) for f in schema])
+    return frame.repartition(cores) if len(frame.inputFiles()) < cores else frame

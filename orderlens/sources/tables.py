@@ -5,23 +5,36 @@ from __future__ import annotations
 from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from orderlens.session import pin
 from orderlens.sources.schemas import SOURCE_SCHEMAS, Sources
 
 
+def conform(frame: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns a job reads, flat ones in their declared type.
+
+    Nested columns stay as stored, so their structs may hold more fields than the job uses.
+    """
+    return frame.select(*[
+        frame[f.name] if isinstance(f.dataType, (T.ArrayType, T.StructType))
+        else frame[f.name].cast(f.dataType).alias(f.name)
+        for f in schema
+    ])
+
+
 def read_sources(spark: SparkSession, paths: Mapping[str, str]) -> Sources:
-    """Parquet folders, one per source name, read with their declared schema."""
+    """Parquet folders, one per source name."""
     return Sources(**{
-        name: spark.read.schema(schema).parquet(paths[name])
+        name: conform(spark.read.parquet(paths[name]), schema)
         for name, schema in SOURCE_SCHEMAS.items()
     })
 
 
 def read_catalog_sources(spark: SparkSession, tables: Mapping[str, str]) -> Sources:
-    """Catalog tables, one per source name, cut to the columns the job reads."""
+    """Catalog tables, one per source name."""
     return Sources(**{
-        name: spark.table(tables[name]).select(schema.fieldNames())
+        name: conform(spark.table(tables[name]), schema)
         for name, schema in SOURCE_SCHEMAS.items()
     })
 

@@ -1,7 +1,10 @@
 from pyspark.sql import functions as F
+from small import PARAMS, sources
 
+from orderlens.plans.batch import profit_orders
 from orderlens.session import pin, shared_dir
-from orderlens.sources.tables import duplicate_keys, publish, publish_table, replace_from_self
+from orderlens.sources.schemas import SOURCE_SCHEMAS
+from orderlens.sources.tables import duplicate_keys, publish, publish_table, read_sources, replace_from_self
 
 
 def test_publish_replaces(spark, tmp_path):
@@ -32,6 +35,22 @@ def test_catalog_table(spark, tmp_path):
     spark.sql("DROP DATABASE orderlens_test CASCADE")
 
 
+def test_sources_with_other_types_and_more_fields(spark, tmp_path):
+    given = sources(spark)
+    stored = {
+        "sessions": given.sessions.withColumns({
+            "order_placed_at": F.col("order_placed_at").cast("timestamp"), "zone_id": F.col("zone_id").cast("int"),
+            "more": F.lit(1)}),
+        "delivery_orders": given.delivery_orders.withColumn(
+            "value", F.col("value").withField("more", F.lit(1)))}
+    for name in SOURCE_SCHEMAS:
+        stored.get(name, getattr(given, name)).write.parquet(f"{tmp_path}/{name}")
+    read = read_sources(spark, {name: f"{tmp_path}/{name}" for name in SOURCE_SCHEMAS})
+    assert read.sessions.schema == SOURCE_SCHEMAS["sessions"]
+    assert read.sessions.collect() == given.sessions.collect()
+    assert profit_orders(read, PARAMS).first().sof_local_cdwh == 5.0
+
+
 def test_pin_is_a_stored_copy(spark):
     stored = pin(spark.range(3).withColumn("r", F.rand()), "pinned")
     assert sorted(stored.collect()) == sorted(stored.collect())
