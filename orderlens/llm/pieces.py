@@ -17,19 +17,19 @@ as a space, as in the model's own normalisation.
 
 from __future__ import annotations
 
-import re
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from orderlens.llm.common import append_columns, mix, powers
+from orderlens.llm.word_ids import WordIds, in_order, per_row
 
 MARK = "▁"
-#: Words whose ids a task remembers; then it starts anew, so memory stays bounded.
-REMEMBERED_WORDS = 300_000
 #: Code points of the words searched at once, and end positions per block of probes.
 LANES, WINDOW = 1 << 17, 1 << 12
 NONE = -np.inf
@@ -181,28 +181,52 @@ class Vocabulary:
         return out
 
 
-_WORD = re.compile(MARK + "+[^" + MARK + "]*")
-
-
 def normalise(text: str) -> str:
     return MARK + text.replace(" ", MARK)
 
 
-def encoder(model_path: str):
-    """Text -> ids as little-endian 32-bit bytes, for lists of texts."""
+def cut(data: np.ndarray, offsets: np.ndarray, breaks: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of texts, each a run of spaces and what follows it.
+
+    With ``breaks`` a line feed is a word of its own: no piece holds one, so no piece is cut.
+    """
+    begin = np.zeros(len(data) + 1, bool)
+    space = data == 32
+    begin[:-1] = space
+    begin[1:-1] &= ~space[:-1]
+    if breaks:
+        feed = np.flatnonzero(data == 10)
+        begin[feed] = True
+        begin[feed + 1] = True
+    begin[offsets] = True
+    starts = np.flatnonzero(begin[:-1])
+    return starts, np.append(starts[1:], len(data))
+
+
+@lru_cache(maxsize=2)
+def word_ids(model_path: str) -> tuple[WordIds, bool]:
+    """The words this worker knows the ids of, and whether line feeds part words."""
     vocabulary = Vocabulary(model_path)
-    known: dict[str, bytes] = {}
+    breaks = not any(b"\n" in vocabulary.bytes_of[i] for _, ids, _ in vocabulary.by_length.values() for i in ids)
 
-    def encode(texts: list[str | None]) -> list[bytes]:
-        split = [_WORD.findall(normalise(t)) if t else [] for t in texts]
-        wanted = set().union(*split)
-        if len(known) + len(wanted) > REMEMBERED_WORDS:
-            known.clear()
-        new = list(wanted.difference(known))
-        known.update(zip(new, vocabulary.search_all(new)))
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+    def encode(words: list[bytes]):
+        texts = [w.decode("utf-8", "replace").replace(" ", MARK) for w in words]
+        return in_order([np.frombuffer(ids, "<i4") for ids in vocabulary.search_all(texts)])
 
-    return encode
+    return WordIds(encode), breaks
+
+
+def encode_rows(column: pa.Array, model_path: str) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Ids of all texts one after another, the number of each text's, and the texts' crc32."""
+    known, breaks = word_ids(model_path)
+    texts = [t.replace(MARK.encode(), b" ") for t in pc.fill_null(column.cast(pa.large_binary()), b"").to_pylist()]
+    # The model puts a space before each text that is not empty.
+    marked = [b" " + t if t else t for t in texts]
+    data = np.frombuffer(b"".join(marked), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in marked])]).astype(np.int64)
+    starts, ends = cut(data, offsets, breaks)
+    ids, sizes = known(data, starts, ends)
+    return ids, per_row(sizes, starts, offsets), [zlib.crc32(t) for t in texts]
 
 
 def encode(docs: DataFrame, model_path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -210,22 +234,15 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", keep: list[str]
     fields = [T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
               T.StructField("text_crc32", T.LongType())]
 
-    def work():
-        ids_of = encoder(model_path)
-
-        def made(part: pa.RecordBatch) -> list[pa.Array]:
-            texts = part.column("text__").to_pylist()
-            coded = ids_of(texts)
-            offsets = np.concatenate([[0], np.cumsum([len(c) // 4 for c in coded])]).astype(np.int32)
-            null = np.array([t is None for t in texts], bool)
-            lists = pa.ListArray.from_arrays(
-                pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), "<i4")), mask=pa.array(null))
-            crcs = [None if t is None else zlib.crc32(t.replace(MARK, " ").encode()) for t in texts]
-            return [lists, pa.array(crcs, pa.int64())]
-
-        return made
+    def made(part: pa.RecordBatch) -> list[pa.Array]:
+        column = part.column("text__")
+        null = column.is_null()
+        ids, counts, crcs = encode_rows(column, model_path)
+        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids), mask=null)
+        return [lists, pc.if_else(null, pa.scalar(None, pa.int64()), pa.array(crcs, pa.int64()))]
 
-    return append_columns(docs, text, fields, work, keep)
+    return append_columns(docs, text, fields, lambda: made, keep)
 
 
 def decode(coded: DataFrame, model_path: str) -> DataFrame:

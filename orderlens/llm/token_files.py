@@ -13,7 +13,9 @@ Columns beyond id and text are not written.
 
 from __future__ import annotations
 
+import os
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +24,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens.llm.common import slices
-
-#: Words whose ids a task remembers; then it starts anew, so memory stays bounded.
-REMEMBERED_WORDS = 300_000
+from orderlens.llm.common import slices, text_offsets
+from orderlens.llm.word_ids import WordIds, in_order, per_row
 
 WRITE_OPTIONS = {
     "compression": "zstd",
@@ -38,32 +38,88 @@ WRITE_OPTIONS = {
 }
 
 
-def word_encoder(tokenizer_path: str):
-    """Text -> its ids as little-endian 32-bit bytes.
+# Kinds of bytes that decide where a text may be cut.
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_LETTER = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyz"))
+_OPENS = np.isin(np.arange(256), list(b",.;:!?"))
+
+
+def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the pieces of lower-case texts that are encoded by themselves.
 
-    The tokenizer splits at white space and never joins across it, so encoding a text is joining
-    the ids of its space- and newline-separated words; each word is encoded once per task.
+    The tokenizer drops white space and never joins across it. A run of plain punctuation at a
+    word's end, after an ASCII letter, is a token of its own too, so it is cut off, which makes
+    fewer distinct pieces.
     """
+    inside = np.concatenate([[False], ~_SPACE[data], [False]])
+    edge = np.zeros(len(inside), bool)
+    edge[offsets + 1] = True
+    first = inside[1:-1] & (~inside[:-2] | edge[1:-1])
+    last = inside[1:-1] & (~inside[2:] | edge[2:])
+    # The trailing punctuation of a word: the word's last bytes back to the last other byte.
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    other = np.where(~_OPENS[data] & inside[1:-1], np.arange(len(data)), -1)
+    np.maximum.accumulate(other, out=other)
+    core = other[ends - 1] + 1
+    off = (core > starts) & (core < ends)
+    off[off] = _LETTER[data[core[off] - 1]]
+    split = core[off]
+    return np.sort(np.concatenate([starts, split])), np.sort(np.concatenate([ends, split]))
+
+
+@lru_cache(maxsize=2)
+def word_ids(tokenizer_path: str) -> WordIds:
+    """The words this worker knows the ids of."""
     from tokenizers import Tokenizer
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(tokenizer_path)
-    known: dict[str, bytes] = {"": b""}
 
-    def encode(text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        new = list(set(words).difference(known))
-        if new:
-            if len(known) + len(new) > REMEMBERED_WORDS:
-                known.clear()
-                known[""] = b""
-                new = list(set(words) - {""})
-            for at in range(0, len(new), 4096):
-                part = new[at: at + 4096]
-                for word, got in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                    known[word] = np.array(got.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, words))
-
-    return encode
+    ends_word = np.zeros(tokenizer.get_vocab_size() + 1, bool)
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+    if suffix:
+        ends_word[[i for t, i in tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+
+    def alone(texts: list[str]) -> list[np.ndarray]:
+        return [np.array(got.ids, np.int32) for got in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def together(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words that are one token of the pre-tokenizer each: their last ids show where they end."""
+        groups = [" ".join(texts[at: at + 500]) for at in range(0, len(texts), 500)]
+        ids = np.concatenate([np.zeros(0, np.int32), *alone(groups)])
+        last = np.flatnonzero(ends_word[ids]) + 1
+        if len(last) != len(texts):
+            return in_order(alone(texts))
+        counts = np.diff(last, prepend=0)
+        return ids, last - counts, counts
+
+    def encode(words: list[bytes]):
+        texts = [w.decode("utf-8", "replace") for w in words]
+        single = np.array([bool(suffix) and t.isalpha() for t in texts], bool)
+        parts = (together([t for t, s in zip(texts, single) if s]),
+                 in_order(alone([t for t, s in zip(texts, single) if not s])))
+        begins, counts = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        begins[single], counts[single] = parts[0][1:]
+        begins[~single], counts[~single] = parts[1][1] + len(parts[0][0]), parts[1][2]
+        return np.concatenate([parts[0][0], parts[1][0]]), begins, counts
+
+    return WordIds(encode)
+
+
+def encode_rows(column: pa.Array, known: WordIds) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts of a column one after another, and the number of each text's.
+
+    The tokenizer lowers all letters itself, so ASCII ones may be lowered before; not in texts that
+    may hold its special tokens, which are told apart by case.
+    """
+    offsets, data = text_offsets(column)
+    if b"<|" not in data.tobytes():
+        data = _LOWER[data]
+    starts, ends = cut(data, offsets)
+    ids, sizes = known(data, starts, ends)
+    return ids, per_row(sizes, starts, offsets)
 
 
 def encode(docs: DataFrame, tokenizer_path: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -85,18 +141,17 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int, key: str = "doc_id
     ])
 
     def run(batches):
-        ids_of = word_encoder(tokenizer_path)
-        end = np.array([end_id], "<u4").tobytes()
+        known = word_ids(tokenizer_path)
         before, chunk = 0, TaskContext.get().partitionId()
         for part in slices(batches, "text"):
-            made = [ids_of(t) + end for t in part.column("text").to_pylist()]
-            counts = np.fromiter(map(len, made), np.int64, len(made)) // 4
+            ids, counts = encode_rows(part.column("text"), known)
+            ids = np.insert(ids, np.cumsum(counts), end_id)
+            counts = counts + 1
             ends = np.cumsum(counts)
-            ids = np.frombuffer(b"".join(made), "<i4")
             offsets = np.concatenate([[0], ends]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"),
-                pa.array(np.full(len(made), chunk, np.int32)),
+                pa.array(np.full(len(part), chunk, np.int32)),
                 pa.array(before + ends - counts),
                 pa.array(counts),
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)),
