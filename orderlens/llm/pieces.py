@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from orderlens.llm.common import append_columns, mix, powers
-from orderlens.llm.word_ids import WordIds, in_order, per_row
+from orderlens.llm.word_ids import WordIds, gathered, in_order, per_row
 
 MARK = "▁"
 #: Code points of the words searched at once, and end positions per block of probes.
@@ -89,6 +89,11 @@ class Vocabulary:
             self.bytes_of[i] = texts[i].encode()
         for value, i in self.byte_ids.items():
             self.bytes_of[i] = bytes([value])
+        # What each id gives back, in one array.
+        spaced = [b.replace(MARK.encode(), b" ") for b in self.bytes_of]
+        self.flat = np.frombuffer(b"".join(spaced), np.uint8)
+        self.sizes = np.array([len(b) for b in spaced], np.int64)
+        self.places = np.cumsum(self.sizes) - self.sizes
 
     def probe(self, sums: np.ndarray, length: int, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
         """Scores and ids of the substrings of ``length`` that end at first..last-1; NONE and -1 where no piece."""
@@ -204,8 +209,8 @@ def cut(data: np.ndarray, offsets: np.ndarray, breaks: bool) -> tuple[np.ndarray
 
 
 @lru_cache(maxsize=2)
-def word_ids(model_path: str) -> tuple[WordIds, bool]:
-    """The words this worker knows the ids of, and whether line feeds part words."""
+def word_ids(model_path: str) -> tuple[WordIds, bool, Vocabulary]:
+    """The words this worker knows the ids of, whether line feeds part words, and the pieces."""
     vocabulary = Vocabulary(model_path)
     breaks = not any(b"\n" in vocabulary.bytes_of[i] for _, ids, _ in vocabulary.by_length.values() for i in ids)
 
@@ -213,12 +218,12 @@ def word_ids(model_path: str) -> tuple[WordIds, bool]:
         texts = [w.decode("utf-8", "replace").replace(" ", MARK) for w in words]
         return in_order([np.frombuffer(ids, "<i4") for ids in vocabulary.search_all(texts)])
 
-    return WordIds(encode), breaks
+    return WordIds(encode), breaks, vocabulary
 
 
 def encode_rows(column: pa.Array, model_path: str) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """Ids of all texts one after another, the number of each text's, and the texts' crc32."""
-    known, breaks = word_ids(model_path)
+    known, breaks, _ = word_ids(model_path)
     texts = [t.replace(MARK.encode(), b" ") for t in pc.fill_null(column.cast(pa.large_binary()), b"").to_pylist()]
     # The model puts a space before each text that is not empty.
     marked = [b" " + t if t else t for t in texts]
@@ -229,38 +234,57 @@ def encode_rows(column: pa.Array, model_path: str) -> tuple[np.ndarray, np.ndarr
     return ids, per_row(sizes, starts, offsets), [zlib.crc32(t) for t in texts]
 
 
-def encode(docs: DataFrame, model_path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Adds ``ids`` (array of int) and ``text_crc32``, the crc32 of the text the ids stand for."""
-    fields = [T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
-              T.StructField("text_crc32", T.LongType())]
+def decode_rows(ids: np.ndarray, counts: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of all rows one after another, without the spaces the model puts first, and their offsets."""
+    sizes = vocabulary.sizes[ids]
+    data = gathered(vocabulary.flat, vocabulary.places[ids], sizes)
+    ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
+    return np.delete(data, ends[:-1][counts > 0]), ends - np.concatenate([[0], np.cumsum(counts > 0)])
+
+
+def encode(
+    docs: DataFrame, model_path: str, text: str = "text", keep: list[str] | None = None, decoded: bool = False,
+) -> DataFrame:
+    """Adds ``ids`` (array of int) and ``text_crc32``, the crc32 of the text the ids stand for.
+
+    With ``decoded`` the ids are also decoded on the spot, which adds ``decoded_chars`` and
+    ``decoded_crc32`` of the text they give back.
+    """
+    fields = [T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("text_crc32", T.LongType())]
+    if decoded:
+        fields += [T.StructField("decoded_chars", T.LongType()), T.StructField("decoded_crc32", T.LongType())]
 
     def made(part: pa.RecordBatch) -> list[pa.Array]:
         column = part.column("text__")
         null = column.is_null()
         ids, counts, crcs = encode_rows(column, model_path)
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids), mask=null)
-        return [lists, pc.if_else(null, pa.scalar(None, pa.int64()), pa.array(crcs, pa.int64()))]
+        out = [crcs]
+        if decoded:
+            data, ends = decode_rows(ids, counts, word_ids(model_path)[2])
+            points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+            out += [np.diff(points[ends]), [zlib.crc32(data[a:b]) for a, b in zip(ends[:-1], ends[1:])]]
+        nothing = pa.scalar(None, pa.int64())
+        return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids), mask=null),
+                *[pc.if_else(null, nothing, pa.array(o, pa.int64())) for o in out]]
 
     return append_columns(docs, text, fields, lambda: made, keep)
 
 
 def decode(coded: DataFrame, model_path: str) -> DataFrame:
-    """Adds ``decoded``, the text of ``ids``; null ids give null."""
+    """Adds ``decoded``, the text of ``ids``; null ids give null, bytes that are no UTF-8 a replacement mark."""
     kept = [c for c in coded.columns if c.lower() != "decoded"]
     schema = T.StructType([coded.schema[c] for c in kept] + [T.StructField("decoded", T.StringType())])
 
     def run(batches):
-        bytes_of = Vocabulary(model_path).bytes_of
-        mark = MARK.encode()
+        vocabulary = word_ids(model_path)[2]
         for batch in batches:
-            texts = []
-            for ids in (batch.column("ids").slice(i, 1) for i in range(len(batch))):
-                if ids.null_count:
-                    texts.append(None)
-                    continue
-                raw = b"".join(map(bytes_of.__getitem__, ids.flatten().to_numpy().tolist()))
-                texts.append(raw.replace(mark, b" ")[1:].decode("utf-8", "replace"))
+            lists = batch.column("ids")
+            counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+            data, ends = decode_rows(lists.flatten().to_numpy(), counts, vocabulary)
+            raw = data.tobytes()
+            texts = [raw[a:b].decode("utf-8", "replace") if known else None
+                     for a, b, known in zip(ends[:-1], ends[1:], lists.is_valid().to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in kept] + [pa.array(texts, pa.string())], schema.names)
 

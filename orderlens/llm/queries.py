@@ -145,13 +145,11 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids per document; ``round_trip`` says that decoding them gave the text back."""
-    model = tokenizer_file(PIECE_MODEL)
-    coded = pieces.encode(table(spark, sf_dir, "documents"), model, keep=["doc_id"])
-    back = F.crc32(F.col("decoded").cast("binary"))
-    return pieces.decode(coded, model).select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_ids"), "ids",
-        F.length("decoded").cast("bigint").alias("decoded_chars"),
-        back.eqNullSafe(F.col("text_crc32")).alias("round_trip"))
+    coded = pieces.encode(
+        table(spark, sf_dir, "documents"), tokenizer_file(PIECE_MODEL), keep=["doc_id"], decoded=True)
+    return coded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_ids"), "ids", "decoded_chars",
+        F.col("decoded_crc32").eqNullSafe(F.col("text_crc32")).alias("round_trip"))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

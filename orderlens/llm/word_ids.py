@@ -15,7 +15,7 @@ import numpy as np
 from orderlens.llm.common import mix, powers
 
 #: Pieces a worker remembers: about 60 bytes each.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_000_000
 
 
 def two_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
