@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Text bytes worked on at once inside a task; a longer text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def fold(key: str, folds: int) -> Column:
