@@ -43,8 +43,8 @@ def text_list(values) -> str:
 
 
 def total(column: str) -> str:
-    """Decimal sum as a double, the way money is added up."""
-    return f"CAST(SUM(CAST({column} AS DECIMAL(20,6))) AS DOUBLE)"
+    """Plain sum of doubles."""
+    return f"SUM({column})"
 
 
 def _eur_columns(prefix: str = "") -> str:
@@ -53,7 +53,7 @@ def _eur_columns(prefix: str = "") -> str:
 
 ENTITY_LIST = text_list(FIXTURE_PARAMS.entity_ids)
 DATE_RANGE = f"DATE '{FIXTURE_PARAMS.start_date}' AND DATE '{FIXTURE_PARAMS.end_date}'"
-ORDER_COLUMNS = ", ".join(ORDER_TABLE.fieldNames())
+ORDER_COLUMNS = ", ".join([*ORDER_TABLE.fieldNames(), "zone_shape", "longitude", "latitude", "free_flag"])
 
 STEPS = {
     **_fixture_steps(),
@@ -131,11 +131,11 @@ FROM looked_up""",
 
     "zone_avg": """
 SELECT entity_id, zone_name,
-       CAST(SUM(CAST(actual_df_paid_by_customer_local AS DECIMAL(20,6))) FILTER (WHERE is_fd_subscription = 'N') AS DOUBLE)
+       SUM(actual_df_paid_by_customer_local) FILTER (WHERE is_fd_subscription = 'N')
          / NULLIF(COUNT(DISTINCT platform_order_code) FILTER (
              WHERE is_fd_subscription = 'N' AND actual_df_paid_by_customer_local IS NOT NULL), 0)
          AS avg_actual_df_paid_local_impute,
-       CAST(SUM(CAST(actual_df_paid_by_customer_eur AS DECIMAL(20,6))) FILTER (WHERE is_fd_subscription = 'N') AS DOUBLE)
+       SUM(actual_df_paid_by_customer_eur) FILTER (WHERE is_fd_subscription = 'N')
          / NULLIF(COUNT(DISTINCT platform_order_code) FILTER (
              WHERE is_fd_subscription = 'N' AND actual_df_paid_by_customer_eur IS NOT NULL), 0)
          AS avg_actual_df_paid_eur_impute

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # kind -> decimals kept first, decimals of the result
-ROUNDING = {"money": (6, 4), "row": (6, 6), "share": (8, 8), "average": (10, 10)}
+ROUNDING = {"money": (6, 4), "row": (6, 6), "share": (8, 8), "average": (8, 8)}
 
 
 def columns(text: str) -> dict[str, str]:

@@ -160,14 +160,29 @@ _LATE_COLUMNS = {n for n in ORDER_TABLE.fieldNames()
                  if n.startswith(("avg_", "revenue_", "gross_profit_"))}
 
 
-@register("order_fact", _table_outputs(n for n in ORDER_TABLE.fieldNames() if n not in _LATE_COLUMNS),
-          "SELECT * FROM order_fact")
+_PLACE_OUTPUTS = f"; key: zone_shape; row: longitude latitude; text: {FREE_FLAG}"
+
+
+def _with_place(frame: DataFrame) -> DataFrame:
+    """The location as two columns, which both engines can compare."""
+    return frame.withColumns({n: F.col(f"customer_location.{n}") for n in ("longitude", "latitude")})
+
+
+def _with_place_sql(rows: str) -> str:
+    """A point needs both coordinates."""
+    return f"""SELECT * REPLACE (CASE WHEN latitude IS NOT NULL THEN longitude END AS longitude,
+                          CASE WHEN longitude IS NOT NULL THEN latitude END AS latitude),
+       free_flag AS {FREE_FLAG} FROM {rows}"""
+
+
+@register("order_fact", _table_outputs(n for n in ORDER_TABLE.fieldNames() if n not in _LATE_COLUMNS) + _PLACE_OUTPUTS,
+          _with_place_sql("order_fact"))
 def order_fact_query(spark, sf_dir):
-    return facts(spark, sf_dir)
+    return _with_place(facts(spark, sf_dir))
 
 
 @register("subscription_flag", ORDER_KEY + f"text: {FREE_FLAG}; key: is_fd_subscription",
-          f"SELECT *, free_flag AS {FREE_FLAG} FROM order_fact")
+          _with_place_sql("order_fact"))
 def subscription_flag(spark, sf_dir):
     return facts(spark, sf_dir)
 
@@ -273,9 +288,9 @@ def order_profit(spark, sf_dir):
 
 
 @register("order_table_columns", _table_outputs(n for n in ORDER_TABLE.fieldNames() if not n.startswith("avg_"))
-          + f"; average: {_AVERAGES}", "SELECT * FROM order_table")
+          + f"; average: {_AVERAGES}" + _PLACE_OUTPUTS, _with_place_sql("order_table"))
 def order_table_columns(spark, sf_dir):
-    return orders(spark, sf_dir)
+    return _with_place(orders(spark, sf_dir))
 
 
 _AGGREGATE_OUTPUTS = f"key: {' '.join(AGGREGATE_KEYS)}; int: order_count; money: gmv_eur gross_profit_eur gross_profit_eur_cf"
@@ -310,7 +325,15 @@ def replace_from_self_query(spark, sf_dir):
 
 @register(
     "join_key_duplicates", "key: join_key; int: repeated_keys",
-    """SELECT 'delivery_orders' AS join_key, COUNT(*) AS repeated_keys
+    """SELECT 'subs_apac' AS join_key, COUNT(*) AS repeated_keys
+       FROM (SELECT 1 FROM subs_apac WHERE uuid IS NOT NULL AND created_date_utc IS NOT NULL
+             GROUP BY uuid, created_date_utc HAVING COUNT(*) > 1)
+       UNION ALL SELECT 'subs_eu', COUNT(*)
+       FROM (SELECT 1 FROM subs_eu WHERE uuid IS NOT NULL AND created_date_utc IS NOT NULL
+             GROUP BY uuid, created_date_utc HAVING COUNT(*) > 1)
+       UNION ALL SELECT 'entities', COUNT(*)
+       FROM (SELECT 1 FROM entity_dim GROUP BY entity_id HAVING COUNT(*) > 1)
+       UNION ALL SELECT 'delivery_orders' AS join_key, COUNT(*) AS repeated_keys
        FROM (SELECT 1 FROM delivery_orders GROUP BY global_entity_id, order_id HAVING COUNT(*) > 1)
        UNION ALL SELECT 'platform_orders', COUNT(*)
        FROM (SELECT 1 FROM platform_orders GROUP BY global_entity_id, code, created_date_utc HAVING COUNT(*) > 1)
@@ -319,7 +342,12 @@ def replace_from_self_query(spark, sf_dir):
 )
 def join_key_duplicates(spark, sf_dir):
     tables = sources(spark, sf_dir)
+    subscription_key = ["uuid", "created_date_utc"]
     checked = {
+        "subs_apac": (tables.subs_apac, subscription_key),
+        "subs_eu": (tables.subs_eu, subscription_key),
+        "entities": (entity_dimension(tables.entities).join(
+            tables.sessions.select("entity_id"), "entity_id", "left_semi"), ["entity_id"]),
         "delivery_orders": (tables.delivery_orders, ["global_entity_id", "order_id"]),
         "platform_orders": (tables.platform_orders, ["global_entity_id", "code", "created_date_utc"]),
         "zones": (zones(spark, sf_dir), ["entity_id", "country_code", "zone_id"]),
@@ -340,7 +368,7 @@ def live_order_view(spark, sf_dir):
     orders(spark, sf_dir).createOrReplaceTempView("order_profit")
     return spark.sql("""
         SELECT entity_id, is_fd_subscription, count(DISTINCT platform_order_code) AS order_count,
-               sum(CAST(gmv_eur AS DECIMAL(20,6))) AS gmv_eur
+               sum(gmv_eur) AS gmv_eur
         FROM order_profit GROUP BY entity_id, is_fd_subscription""")
 
 
@@ -450,7 +478,7 @@ SELECT region, entity_id, vertical_type, {total("gmv_eur")} AS vertical_gmv_eur
 FROM context_rows GROUP BY ALL""",
         "shown_marks": f"""
 SELECT m.*, t.vertical_gmv_eur,
-       CAST(SUM(CAST(m.gmv_eur AS DECIMAL(20,6))) OVER (PARTITION BY m.vendor_id) AS DOUBLE) AS vendor_total
+       SUM(m.gmv_eur) OVER (PARTITION BY m.vendor_id) AS vendor_total
 FROM vendor_marks m
 LEFT JOIN vertical_total t ON t.region IS NOT DISTINCT FROM m.region
       AND t.entity_id IS NOT DISTINCT FROM m.entity_id
@@ -459,7 +487,7 @@ WHERE m.gmv_eur IS NOT NULL AND m.gross_profit_eur IS NOT NULL""",
         "vendor_lines": f"""
 SELECT *, gmv_eur / NULLIF(vertical_gmv_eur, 0) AS share_of_vertical_gmv, {_scenario_sql()},
        ROW_NUMBER() OVER pane AS pane_position,
-       CAST(SUM(CAST(gmv_eur AS DECIMAL(20,6))) OVER pane AS DOUBLE) AS running_gmv_eur,
+       SUM(gmv_eur) OVER pane AS running_gmv_eur,
        SUM(gmv_eur / NULLIF(vertical_gmv_eur, 0)) OVER pane AS running_share_of_vertical_gmv
 FROM shown_marks
 WINDOW pane AS (PARTITION BY region, entity_id, vertical_type
@@ -545,7 +573,7 @@ WHERE m.gmv_eur IS NOT NULL AND m.gross_profit_eur IS NOT NULL""",
         "vertical_lines": """
 SELECT *, 0 AS is_total, gmv_eur / NULLIF(vertical_gmv_eur, 0) AS share_of_vertical_gmv,
        ROW_NUMBER() OVER pane AS pane_position,
-       CAST(SUM(CAST(gmv_eur AS DECIMAL(20,6))) OVER pane AS DOUBLE) AS running_gmv_eur,
+       SUM(gmv_eur) OVER pane AS running_gmv_eur,
        SUM(gmv_eur / NULLIF(vertical_gmv_eur, 0)) OVER pane AS running_share_of_vertical_gmv
 FROM shown_verticals
 WINDOW pane AS (PARTITION BY region, entity_id
@@ -577,6 +605,13 @@ def vertical_totals(spark, sf_dir):
     return reports.vertical_report(orders(spark, sf_dir), ALL, PARAMS)
 
 
+@register("vertical_totals_chunked", _VERTICAL_OUTPUTS, "SELECT * FROM vertical_report",
+          {**_vendor_steps(), **_vertical_steps()})
+def vertical_totals_chunked(spark, sf_dir):
+    """The same with running sums cut into chunks of a few marks."""
+    return reports.vertical_report(orders(spark, sf_dir), ALL, PARAMS, rows_per_task=10)
+
+
 def _selection_steps(keys) -> dict[str, str]:
     matched = " AND ".join(f"c.{k} IS NOT DISTINCT FROM m.{k}" for k in keys)
     return {
@@ -602,8 +637,10 @@ def action_filter_verticals(spark, sf_dir):
 
 
 @register("dashboard_vendors", _VENDOR_OUTPUTS,
-          # The cut at 1 is on the exact share: a sum of rounded shares may pass 1 by an ulp.
-          "SELECT * FROM vendor_lines WHERE running_gmv_eur / vertical_gmv_eur BETWEEN 0.00064293826459584406e0 AND 1e0",
+          # The reference's running sum of shares; summed as doubles it may pass 1 by some ulps, which
+          # the engine's exact sum does not, so the upper end has that tolerance.
+          "SELECT * FROM vendor_lines "
+          "WHERE running_share_of_vertical_gmv BETWEEN 0.00064293826459584406e0 AND 1e0 + 1e-12",
           _vendor_steps())
 def dashboard_vendors(spark, sf_dir):
     """Upper half of the dashboard, at the saved running-share range."""
@@ -618,7 +655,7 @@ _VISUAL = reports.VISUAL_TOTAL_MEASURES
         f"{'int' if m == 'order_count' else 'money'}: {m}_{kind}"
         for m in _VISUAL for kind in ("of_marks", "recomputed")),
     "SELECT " + ", ".join(
-        f"SUM(CAST({m} AS DECIMAL(30,6))) FILTER (WHERE is_total = 0) AS {m}_of_marks, "
+        f"SUM({m}) FILTER (WHERE is_total = 0) AS {m}_of_marks, "
         f"MAX({m}) FILTER (WHERE is_total = 1) AS {m}_recomputed" for m in _VISUAL)
     + " FROM vertical_report",
     {**_vendor_steps(), **_vertical_steps()},
@@ -661,23 +698,35 @@ _TABLE_ORDER = """region ASC NULLS FIRST, entity_id ASC NULLS FIRST, vertical_ty
                        vendor_total DESC NULLS LAST, vendor_id ASC NULLS FIRST"""
 
 
-@register(
-    "gmv_diff_prev", f"{_VENDOR_MARK_KEYS}; money: gmv_eur pane_difference table_difference",
-    f"""SELECT *, CAST(gmv_eur AS DECIMAL(20,6)) - LAG(CAST(gmv_eur AS DECIMAL(20,6))) OVER (
+_DIFFERENCE_SQL = f"""SELECT *, gmv_eur - LAG(gmv_eur) OVER (
                       PARTITION BY region, entity_id, vertical_type
                       ORDER BY vendor_total DESC NULLS LAST, vendor_id ASC NULLS FIRST) AS pane_difference,
-               CAST(gmv_eur AS DECIMAL(20,6)) - LAG(CAST(gmv_eur AS DECIMAL(20,6))) OVER (
+               gmv_eur - LAG(gmv_eur) OVER (
                       ORDER BY {_TABLE_ORDER}) AS table_difference
-        FROM shown_marks""",
+        FROM shown_marks"""
+
+
+@register(
+    "gmv_diff_prev", f"{_VENDOR_MARK_KEYS}; money: gmv_eur pane_difference table_difference",
+    _DIFFERENCE_SQL,
     _vendor_steps(),
 )
 def gmv_diff_prev(spark, sf_dir):
     return reports.gmv_difference(orders(spark, sf_dir))
 
 
+@register(
+    "gmv_diff_prev_chunked", f"{_VENDOR_MARK_KEYS}; money: gmv_eur pane_difference table_difference",
+    _DIFFERENCE_SQL,
+    _vendor_steps(),
+)
+def gmv_diff_prev_chunked(spark, sf_dir):
+    return reports.gmv_difference(orders(spark, sf_dir), rows_per_task=10)
+
+
 @register(
     "gmv_cum_then_diff", f"{_VENDOR_MARK_KEYS}; money: gmv_eur running_gmv_eur running_difference",
-    """SELECT *, CAST(running_gmv_eur AS DECIMAL(20,6)) - LAG(CAST(running_gmv_eur AS DECIMAL(20,6))) OVER (
+    """SELECT *, running_gmv_eur - LAG(running_gmv_eur) OVER (
                      PARTITION BY region, entity_id, vendor_id
                      ORDER BY vertical_type ASC NULLS FIRST) AS running_difference
        FROM vendor_lines""",

@@ -5,25 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Amounts are added up exactly, to a millionth: unlike a sum of doubles the total does not
-# depend on how rows are partitioned, or on which tasks run again after a lost executor.
+# Amounts are added up as whole numbers of units, millionths and millionths of those: unlike a sum
+# of doubles the total does not depend on how rows are partitioned, or on which tasks run again
+# after a lost executor. What is below 1e-12 of a row's amount is noise of the double itself.
 MILLION = 1_000_000
-MONEY = "decimal(30,6)"
+MONEY = "decimal(34,12)"
 
 
-def money_parts(amount: Column) -> tuple[Column, Column]:
-    """Whole units and millionths as integers, whose sums are as fast as those of doubles.
+PARTS = ("whole", "millionths", "rest")
+
+
+def money_parts(amount: Column) -> tuple[Column, ...]:
+    """The three parts of an amount as integers, whose sums are as fast as those of doubles.
 
     An infinite or NaN amount is an error.
     """
-    millionths = F.rint(amount * float(MILLION))
-    whole = F.floor(millionths / float(MILLION))
-    return whole, (millionths - whole * float(MILLION)).cast("bigint")
+    whole = F.floor(amount)
+    scaled = (amount - whole) * float(MILLION)
+    millionths = F.floor(scaled)
+    return whole, millionths, F.rint((scaled - millionths) * float(MILLION)).cast("bigint")
 
 
-def from_parts(whole: Column, millionths: Column) -> Column:
-    wide = "decimal(26,0)"
-    return (whole.cast(wide) + millionths.cast(wide) / F.lit(MILLION)).cast(MONEY)
+def from_parts(whole: Column, millionths: Column, rest: Column) -> Column:
+    wide = "decimal(20,0)"
+    fraction = millionths.cast(wide) / F.lit(MILLION) + rest.cast(wide) / F.lit(MILLION) / F.lit(MILLION)
+    return (whole.cast(wide) + fraction.cast(MONEY)).cast(MONEY)
 
 
 def exact_sum(amount: Column) -> Column:

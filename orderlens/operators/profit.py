@@ -44,9 +44,13 @@ def add_profit(orders: DataFrame) -> DataFrame:
     })
 
 
+# Published besides the columns the reports read.
+PLACE_COLUMNS = ("zone_shape", "customer_location", "is_free_delivery_subscription_order")
+
+
 def order_table(priced: DataFrame) -> DataFrame:
-    """The published columns, in published order."""
-    return priced.select(ORDER_TABLE.fieldNames())
+    """The published columns: those the reports read, in published order, then three more."""
+    return priced.select(*ORDER_TABLE.fieldNames(), *PLACE_COLUMNS)
 
 
 def vendor_aggregate(orders: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlens.session import pin
 
@@ -30,6 +31,8 @@ def running(
     chunks before it. There are at most as many chunk totals as range partitions and panes.
     """
     outputs = {position: F.lit(1).cast("bigint"), **sums}
+    # The types an ordinary window gives, whichever way the sums are made.
+    types = {f.name: f.dataType for f in marked.select(*[F.sum(v).alias(n) for n, v in outputs.items()]).schema}
     tasks = -(-marked.count() // rows_per_task)
     upto = (Window.unboundedPreceding, Window.currentRow)
     if tasks <= 1:
@@ -54,13 +57,19 @@ def running(
     shifted = inside.join(shifts, _same(inside, shifts, keys), "left")
     return shifted.select(
         *marked.columns,
-        *[_add_known(F.col(n), F.col(f"before_{n}")).alias(n) for n in outputs],
+        *[_add_known(F.col(n), F.col(f"before_{n}"), types[n]).alias(n) for n in outputs],
     )
 
 
-def _add_known(inside: Column, before: Column) -> Column:
-    """Sum of the known parts, as a running sum skips NULL."""
-    return F.coalesce(inside + before, inside, before)
+def _add_known(inside: Column, before: Column, result: T.DataType) -> Column:
+    """Sum of the known parts, as a running sum skips NULL.
+
+    Two decimals of full precision would lose a digit when added, so both give up a leading one.
+    """
+    if isinstance(result, T.DecimalType):
+        narrow = T.DecimalType(result.precision - 1, result.scale)
+        inside, before = inside.cast(narrow), before.cast(narrow)
+    return F.coalesce(inside + before, inside, before).cast(result)
 
 
 def previous(

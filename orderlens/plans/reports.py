@@ -24,7 +24,7 @@ from orderlens.operators.lod import (
     roll_up,
     sums,
 )
-from orderlens.operators.running import previous, running
+from orderlens.operators.running import ROWS_PER_TASK, previous, running
 from orderlens.params import DEFAULT_RUNNING_SHARE_RANGE, ReportParams, ViewFilters
 from orderlens.session import pin
 
@@ -158,6 +158,7 @@ def measure_rows(report: DataFrame, keys: Sequence[str], measures: Sequence[str]
 def _vertical_rows(
     orders: DataFrame, filters: ViewFilters, params: ReportParams,
     selected: Optional[DataFrame] = None, selected_keys: Sequence[str] = VENDOR_MARK,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Vertical marks and their total with every measure, sums still decimal.
 
@@ -183,7 +184,7 @@ def _vertical_rows(
             "running_gmv_eur": F.col("gmv_eur"),
             "running_share_of_vertical_gmv": F.col("share_of_vertical_gmv").cast("decimal(30,15)"),
         },
-        position="pane_position",
+        position="pane_position", rows_per_task=rows_per_task,
     ).withColumn("is_total", F.lit(0))
 
     total_orders = keep_selected(rows, shown, VERTICAL_LEVEL).agg(
@@ -201,12 +202,13 @@ def _vertical_rows(
 def vertical_report(
     orders: DataFrame, filters: ViewFilters = ALL_ROWS, params: ReportParams = ReportParams(),
     selected: Optional[DataFrame] = None, selected_keys: Sequence[str] = VENDOR_MARK,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Vertical rows and a grand total, optionally for rows selected in the vendor report.
 
     ``is_total`` tells the total row from a row with NULL keys.
     """
-    measured = _doubles(_vertical_rows(orders, filters, params, selected, selected_keys))
+    measured = _doubles(_vertical_rows(orders, filters, params, selected, selected_keys, rows_per_task))
     return measured.select(*VERTICAL_LEVEL, "is_total", "pane_position", VERTICAL_GMV, *REPORT_MEASURES)
 
 
@@ -284,11 +286,13 @@ def _report_order() -> Sequence[Column]:
     return (*[F.col(k).asc_nulls_first() for k in VERTICAL_LEVEL], *vendor_order())
 
 
-def gmv_difference(orders: DataFrame, filters: ViewFilters = ALL_ROWS) -> DataFrame:
+def gmv_difference(
+    orders: DataFrame, filters: ViewFilters = ALL_ROWS, rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
     """GMV minus that of the row above, within the pane and down the whole table."""
     marked = pin(vendor_marks(orders, filters), "vendor-rows")
-    in_pane = previous(marked, VERTICAL_LEVEL, vendor_order(), {"pane_previous": "gmv_eur"})
-    in_table = previous(in_pane, [], _report_order(), {"table_previous": "gmv_eur"})
+    in_pane = previous(marked, VERTICAL_LEVEL, vendor_order(), {"pane_previous": "gmv_eur"}, rows_per_task)
+    in_table = previous(in_pane, [], _report_order(), {"table_previous": "gmv_eur"}, rows_per_task)
     return _doubles(in_table.select(
         *VENDOR_MARK,
         "gmv_eur",

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from orderlens.session import pin
 from orderlens.sources.schemas import SOURCE_SCHEMAS, Sources
 
 
@@ -42,20 +42,35 @@ def read_catalog_sources(spark: SparkSession, tables: Mapping[str, str]) -> Sour
 def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Create or replace the table at ``path`` and return it as read back.
 
+    The new rows are written beside the old ones and take their place once complete, whatever
+    overwrite mode the session has; a failed job leaves the old table, and ``df`` may read it.
     With partition columns the rows are first rebalanced on them, so each folder gets a few
     well-sized files and a folder holding most of the rows is split over several writers.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    beside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(beside)
+    _take_place(df.sparkSession, beside, path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
 
 
+def _take_place(spark: SparkSession, beside: str, path: str) -> None:
+    """Move the folder ``beside`` to ``path``, in place of what is there."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    new, old = folder(beside), folder(path)
+    files = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(old, True)
+    if not files.rename(new, old):
+        raise OSError(f"{beside} could not be moved to {path}")
+    spark.catalog.refreshByPath(path)
+
+
 def publish_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Create or replace a catalog table."""
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite").format("parquet")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)
@@ -65,11 +80,8 @@ def publish_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -
 def replace_from_self(
     spark: SparkSession, path: str, transform: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """Replace a table by a query over itself.
-
-    The new rows are complete in the shared folder before the old ones are overwritten.
-    """
-    return publish(pin(transform(spark.read.parquet(path)), "replacement"), path)
+    """Replace a table by a query over itself, written once."""
+    return publish(transform(spark.read.parquet(path)), path)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

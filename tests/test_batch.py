@@ -20,7 +20,7 @@ from orderlens.job import arguments, main
 from orderlens.operators.dimensions import entity_dimension, flatten_zones
 from orderlens.operators.impute import zone_average_fee
 from orderlens.operators.order_fact import order_fact
-from orderlens.operators.profit import vendor_aggregate
+from orderlens.operators.profit import PLACE_COLUMNS, vendor_aggregate
 from orderlens.plans.batch import profit_orders, run_batch
 from orderlens.sources.schemas import ORDER_TABLE, SOURCE_SCHEMAS
 
@@ -48,8 +48,8 @@ def test_entity_patterns(spark):
 
 def test_published_columns(spark):
     frame = profit_orders(sources(spark), PARAMS)
-    assert [(f.name, f.dataType) for f in frame.schema] == [(f.name, f.dataType) for f in ORDER_TABLE]
-    assert len(frame.columns) == 88
+    assert [(f.name, f.dataType) for f in frame.schema] [:88] == [(f.name, f.dataType) for f in ORDER_TABLE]
+    assert frame.columns[88:] == ["zone_shape", "customer_location", "is_free_delivery_subscription_order"]
 
 
 def test_subscription_order(spark):
@@ -179,7 +179,7 @@ def test_zone_average_per_distinct_order(spark):
     averages = zone_average_fee(order_fact(tables, flatten_zones(tables.countries, PARAMS), PARAMS)).collect()
     by_zone = {r.zone_name: (r.avg_actual_df_paid_local_impute, r.avg_actual_df_paid_eur_impute) for r in averages}
     # Z: codes a (1.0 twice), b (2.0), q (no platform order, charged 10.0) -> 14 over three orders
-    assert by_zone["Z"] == pytest.approx((14 / 3, 14 / 3 / 4), abs=1e-6)
+    assert by_zone["Z"] == pytest.approx((14 / 3, 14 / 3 / 4), abs=1e-12)
     assert by_zone[None] == (3.0, 0.75)
     assert by_zone["only nulls"] == (None, None)
 
@@ -187,7 +187,7 @@ def test_zone_average_per_distinct_order(spark):
 def test_impute_takes_the_average_only_without_a_quoted_fee(spark):
     rows = {r.platform_order_code: r for r in profit_orders(average_sources(spark), PARAMS).collect()}
     assert rows["m"].dps_delivery_fee_local_before_vat == 3.0
-    assert rows["q"].dps_delivery_fee_local_before_vat == pytest.approx(14 / 3, abs=1e-6)
+    assert rows["q"].dps_delivery_fee_local_before_vat == pytest.approx(14 / 3, abs=1e-12)
     assert rows["a"].dps_delivery_fee_local_before_vat == 10.0
     assert rows["m"].revenue_local_cf == pytest.approx(3 + 20 + 2 + 1 + 20)
 
@@ -214,7 +214,7 @@ def test_run_batch_replaces_whole_tables(spark, tmp_path):
     run_batch(two, PARAMS, str(tmp_path))
     tables = run_batch(sources(spark), PARAMS, str(tmp_path))
     assert tables.orders.count() == 1 and tables.zones.count() == 1 and tables.vendors.count() == 1
-    assert tables.orders.columns == ORDER_TABLE.fieldNames()
+    assert tables.orders.columns == [*ORDER_TABLE.fieldNames(), *PLACE_COLUMNS]
     stored = spark.read.parquet(f"{tmp_path}/orders")
     assert [str(r[0]) for r in stored.select("created_date_utc").collect()] == [str(DAY)]
 

@@ -101,14 +101,20 @@ def test_exact_sum(spark):
         result = frame.agg(exact_sum(F.col("x"))).first()[0]
         return None if result is None else str(result)
 
-    assert total([0.1] * 10) == "1.000000"
-    assert total([-1.25, 0.1, None, 0.2]) == "-0.950000"
+    assert total([0.1] * 10) == "1.000000000000"
+    assert total([-1.25, 0.1, None, 0.2]) == "-0.950000000000"
     assert total([None, None]) is None
-    assert total([8e12] * 2_000) == "16000000000000000.000000"
+    assert total([8e12] * 2_000) == "16000000000000000.000000000000"
     with pytest.raises(PySparkException):
         total([float("nan")])
 
 
+def test_exact_sum_keeps_small_digits(spark):
+    for amount, expected in ((1 / 3, 1e6 / 3), (4e-7, 0.4)):
+        rows = spark.range(1_000_000).select(F.lit(amount).alias("x"))
+        assert float(rows.agg(exact_sum(F.col("x"))).first()[0]) == pytest.approx(expected, rel=1e-10)
+
+
 def test_report_ratio_has_no_division_error(spark):
     assert evaluate(spark, "a double, b bigint", [(4.0, 2), (4.0, 0), (None, 2)],
                     ratio(F.col("a"), F.col("b"))) == [2.0, None, None]

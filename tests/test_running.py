@@ -82,3 +82,15 @@ def test_chunks_stay_small(spark):
         .groupBy(F.spark_partition_id().alias("chunk")).count().collect()
     )
     assert len(chunks) >= 8 and max(c["count"] for c in chunks) <= 30
+
+
+def test_chunks_give_the_type_and_digits_of_a_window(spark):
+    """Shares of 15 decimals are where a sum of two full decimals would lose one."""
+    rows = spark.range(200).select(
+        (F.col("id") % 3).alias("pane"), F.col("id"), (F.col("id") / 7.0).cast("decimal(30,15)").alias("share"),
+        (F.col("id") / 3.0).cast("decimal(34,12)").alias("gmv"))
+    whole, chunked = (
+        running(rows, ["pane"], [F.col("id")], {"s": F.col("share"), "g": F.col("gmv")}, "at", n) for n in (1000, 10))
+    assert whole.schema["s"].dataType == chunked.schema["s"].dataType
+    assert whole.schema["g"].dataType == chunked.schema["g"].dataType
+    assert sorted(whole.collect()) == sorted(chunked.collect())

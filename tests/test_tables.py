@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 from small import PARAMS, sources
 
@@ -20,6 +21,21 @@ def test_publish_partitioned_keeps_column_order(spark, tmp_path):
     assert {tuple(r) for r in stored.collect()} == {(i % 2, i) for i in range(10)}
 
 
+def test_publish_drops_old_partitions_in_any_overwrite_mode(spark, setting, tmp_path):
+    setting("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    path = str(tmp_path / "t")
+    publish(spark.range(2).select((F.col("id") % 2).alias("part"), "id"), path, ["part"])
+    assert publish(spark.range(1).select((F.col("id") % 2).alias("part"), "id"), path, ["part"]).count() == 1
+
+
+def test_a_failed_replacement_keeps_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    publish(spark.range(3), path)
+    with pytest.raises(Exception):
+        publish(spark.range(2).select(F.raise_error(F.lit("no")).cast("bigint").alias("id")), path)
+    assert spark.read.parquet(path).count() == 3
+
+
 def test_replace_from_self(spark, tmp_path):
     path = str(tmp_path / "t")
     publish(spark.range(4), path)
