@@ -70,7 +70,7 @@ def _exact_scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    return np.lexsort((ids, -scores))[:k]
+    return np.lexsort((ids, ~scores))[:k]
 
 
 def search_block(queries: pd.DataFrame, rows: pd.DataFrame, params: TopKParams) -> pd.DataFrame:
