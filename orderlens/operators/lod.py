@@ -8,8 +8,9 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.functions.money import exact_sum
+from orderlens.functions.money import MONEY, exact_sum
 
+ORDER = "platform_order_code"
 MEASURES = ("gmv_eur", "gross_profit_eur", "gross_profit_eur_cf")
 VENDOR_LEVEL = ("entity_id", "vendor_id")
 VERTICAL_LEVEL = ("region", "entity_id", "vertical_type")
@@ -25,11 +26,22 @@ def marks(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Decimal sums plus exact distinct orders. Spark shuffles on key and order code first, so
     a vendor with most of the orders is still spread over all tasks."""
     return rows.groupBy(*keys).agg(
-        F.count_distinct("platform_order_code").alias("order_count"),
+        F.count_distinct(ORDER).alias("order_count"),
         *[exact_sum(F.col(m)).alias(m) for m in MEASURES],
     )
 
 
+def per_order(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Sums per key and order code, from which marks and distinct orders of any keys follow."""
+    return sums(rows, [*keys, ORDER])
+
+
+def marks_of_orders(reduced: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Marks from ``per_order`` rows of the same keys."""
+    return reduced.groupBy(*keys).agg(
+        F.count(ORDER).alias("order_count"), *[F.sum(m).cast(MONEY).alias(m) for m in MEASURES])
+
+
 def roll_up(marked: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """GMV per coarser key from already summed marks; sums add up, distinct counts would not."""
     return marked.groupBy(*keys).agg(F.sum("gmv_eur").alias(name))

@@ -19,8 +19,11 @@ from orderlens.operators.lod import (
     VENDOR_LEVEL,
     VENDOR_MARK,
     VERTICAL_LEVEL,
+    ORDER,
     attach,
     marks,
+    marks_of_orders,
+    per_order,
     roll_up,
     sums,
 )
@@ -95,13 +98,21 @@ def vendor_order() -> Sequence[Column]:
     return (F.col(VENDOR_TOTAL).desc_nulls_last(), F.col("vendor_id").asc_nulls_first())
 
 
-def vendor_marks(orders: DataFrame, filters: ViewFilters = ALL_ROWS) -> DataFrame:
+def context_marks(orders: DataFrame, filters: ViewFilters) -> DataFrame:
+    """All vendor marks of the context rows, stored, as several totals come from them."""
+    return pin(marks(apply_context(orders, filters), VENDOR_MARK), "vendor-marks")
+
+
+def vendor_marks(
+    orders: DataFrame, filters: ViewFilters = ALL_ROWS, stored: Optional[DataFrame] = None,
+) -> DataFrame:
     """Marks of the vendor report, with the fixed vertical total and the vendor's sort total.
 
-    The order rows are read once; totals come from the pinned marks. The vertical total counts
-    marks the non-null filter drops, the sort total only those shown.
+    The order rows are read once, or not at all if their marks are ``stored`` already; totals come
+    from the marks. The vertical total counts marks the non-null filter drops, the sort total only
+    those shown.
     """
-    all_marks = pin(marks(apply_context(orders, filters), VENDOR_MARK), "vendor-marks")
+    all_marks = context_marks(orders, filters) if stored is None else stored
     shown = keep_known_measures(all_marks)
     with_vertical = attach(shown, roll_up(all_marks, VERTICAL_LEVEL, VERTICAL_GMV), VERTICAL_LEVEL, VERTICAL_GMV)
     return attach(with_vertical, roll_up(shown, ["vendor_id"], VENDOR_TOTAL), ["vendor_id"], VENDOR_TOTAL)
@@ -113,14 +124,14 @@ def _share(gmv: str) -> Column:
 
 def vendor_report(
     orders: DataFrame, filters: ViewFilters = ALL_ROWS, params: ReportParams = ReportParams(),
-    share: Optional[tuple] = None,
+    share: Optional[tuple] = None, stored: Optional[DataFrame] = None,
 ) -> DataFrame:
     """Vendor rows: keys, position in the pane, ten measures.
 
     All shares of a pane have one denominator, so their running sum is the running GMV over it;
     that way a full pane ends at exactly 1. ``share`` cuts on the running share once computed.
     """
-    marked = vendor_marks(orders, filters).withColumn("share_of_vertical_gmv", _share("gmv_eur"))
+    marked = vendor_marks(orders, filters, stored).withColumn("share_of_vertical_gmv", _share("gmv_eur"))
     summed = running(
         marked, VERTICAL_LEVEL, vendor_order(), {"running_gmv_eur": F.col("gmv_eur")}, position="pane_position",
     ).withColumn("running_share_of_vertical_gmv", _share("running_gmv_eur"))
@@ -158,21 +169,26 @@ def measure_rows(report: DataFrame, keys: Sequence[str], measures: Sequence[str]
 def _vertical_rows(
     orders: DataFrame, filters: ViewFilters, params: ReportParams,
     selected: Optional[DataFrame] = None, selected_keys: Sequence[str] = VENDOR_MARK,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int = ROWS_PER_TASK, stored: Optional[DataFrame] = None,
 ) -> DataFrame:
     """Vertical marks and their total with every measure, sums still decimal.
 
+    The order rows are reduced once to a row per vertical and order, which gives the marks and the
+    distinct orders of the total; the full verticals are rolled up from the context's vendor marks.
+
     The selection applies after the fixed vertical totals, so shares stay shares of the full
     vertical; without one the marks are those totals. The total counts distinct orders again
     over the rows of the shown marks.
     """
     context = apply_context(orders, filters)
     rows = context if selected is None else keep_selected(context, selected, selected_keys)
-    all_marks = marks(rows, VERTICAL_LEVEL)
+    reduced = pin(per_order(rows, VERTICAL_LEVEL), "vertical-orders")
+    all_marks = marks_of_orders(reduced, VERTICAL_LEVEL)
     if selected is None:
         with_totals = all_marks.withColumn(VERTICAL_GMV, F.col("gmv_eur"))
     else:
-        totals = sums(context, VERTICAL_LEVEL, ["gmv_eur"]).withColumnRenamed("gmv_eur", VERTICAL_GMV)
+        vendors = context_marks(orders, filters) if stored is None else stored
+        totals = roll_up(vendors, VERTICAL_LEVEL, VERTICAL_GMV)
         with_totals = attach(all_marks, totals, VERTICAL_LEVEL, VERTICAL_GMV)
     shown = pin(keep_known_measures(with_totals), "shown-verticals")
 
@@ -187,8 +203,8 @@ def _vertical_rows(
         position="pane_position", rows_per_task=rows_per_task,
     ).withColumn("is_total", F.lit(0))
 
-    total_orders = keep_selected(rows, shown, VERTICAL_LEVEL).agg(
-        F.count_distinct("platform_order_code").alias("order_count"))
+    total_orders = keep_selected(reduced, shown, VERTICAL_LEVEL).agg(
+        F.count_distinct(ORDER).alias("order_count"))
     total_sums = shown.agg(
         *[F.sum(m).alias(m) for m in (*MEASURES, VERTICAL_GMV)],
         F.sum("gmv_eur").alias("running_gmv_eur"),
@@ -202,13 +218,13 @@ def _vertical_rows(
 def vertical_report(
     orders: DataFrame, filters: ViewFilters = ALL_ROWS, params: ReportParams = ReportParams(),
     selected: Optional[DataFrame] = None, selected_keys: Sequence[str] = VENDOR_MARK,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int = ROWS_PER_TASK, stored: Optional[DataFrame] = None,
 ) -> DataFrame:
     """Vertical rows and a grand total, optionally for rows selected in the vendor report.
 
     ``is_total`` tells the total row from a row with NULL keys.
     """
-    measured = _doubles(_vertical_rows(orders, filters, params, selected, selected_keys, rows_per_task))
+    measured = _doubles(_vertical_rows(orders, filters, params, selected, selected_keys, rows_per_task, stored))
     return measured.select(*VERTICAL_LEVEL, "is_total", "pane_position", VERTICAL_GMV, *REPORT_MEASURES)
 
 
@@ -226,9 +242,11 @@ def dashboard(
     The running-share cut of the vendor report reaches the vertical one only by selecting the
     vendors it leaves, that is, when ``selected_keys`` is given.
     """
-    vendors = pin(vendor_report(orders, filters, params, share), "vendor-report")
+    stored = context_marks(orders, filters)
+    vendors = pin(vendor_report(orders, filters, params, share, stored), "vendor-report")
     selected = None if selected_keys is None else vendors
-    return Dashboard(vendors, vertical_report(orders, filters, params, selected, selected_keys or VENDOR_MARK))
+    verticals = vertical_report(orders, filters, params, selected, selected_keys or VENDOR_MARK, stored=stored)
+    return Dashboard(vendors, verticals)
 
 
 # The measures that also have a total adding up what is shown.

@@ -88,3 +88,25 @@ def test_results_do_not_depend_on_the_layout(spark, setting, name):
         assert rows() == expected
     finally:
         registry.tune = tuned
+
+
+@pytest.mark.parametrize("linked, scans", [(False, 1), (True, 2)])
+def test_order_table_scans_of_the_vertical_report(spark, monkeypatch, linked, scans):
+    """Everything read from the order table is written once; all else comes from what was written."""
+    table = registry.orders(spark, CHECK)
+    folder = table.inputFiles()[0].rsplit("/", 1)[0]
+    written = []
+
+    def watched(df, label):
+        if any(f.startswith(folder) for f in df.inputFiles()):
+            written.append(label)
+        return real(df, label)
+
+    real = reports.pin
+    monkeypatch.setattr(reports, "pin", watched)
+    if linked:
+        result = reports.dashboard(table, registry.ALL, registry.PARAMS, registry.PARETO_RANGE, VENDOR_MARK).verticals
+    else:
+        result = reports.vertical_report(table, registry.ALL, registry.PARAMS)
+    assert len(written) == scans
+    assert not any(f.startswith(folder) for f in result.inputFiles())
