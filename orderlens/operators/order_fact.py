@@ -18,6 +18,7 @@ from orderlens.functions.orders import (
 )
 from orderlens.operators.dimensions import entity_dimension
 from orderlens.params import BatchParams
+from orderlens.session import pin
 from orderlens.sources.schemas import ORDER_TABLE, Sources
 
 # Local amounts that are only divided by the exchange rate.
@@ -102,9 +103,14 @@ def join_sources(sources: Sources, zones: DataFrame, params: BatchParams) -> Dat
 
     The join on two order keys comes before the one on those keys plus the date, so both can
     use one layout of the session rows. Entities need no scan of the sessions here: joining
-    them to sessions already drops those without any.
+    them to sessions already drops those without any. They are cut to the chosen ones and stored
+    first: a table of a few known rows is broadcast, where an estimate could have the order rows
+    shuffled on the entity alone, one task for each.
     """
-    regions = entity_dimension(sources.entities).select("entity_id", "region")
+    regions = pin(
+        entity_dimension(sources.entities).filter(F.col("entity_id").isin(*params.entity_ids))
+        .select("entity_id", "region"),
+        "regions")
     shapes = zones.select("entity_id", "country_code", "zone_id", "zone_shape")
     return (
         filter_sessions(sources.sessions, params)

@@ -110,3 +110,19 @@ def test_order_table_scans_of_the_vertical_report(spark, monkeypatch, linked, sc
         result = reports.vertical_report(table, registry.ALL, registry.PARAMS)
     assert len(written) == scans
     assert not any(f.startswith(folder) for f in result.inputFiles())
+
+
+def test_entities_of_unknown_size_do_not_shuffle_the_order_rows(spark, setting):
+    """An entity table without statistics, past the threshold as far as the optimizer can tell."""
+    from dataclasses import replace
+
+    setting("spark.sql.autoBroadcastJoinThreshold", "100k")
+    setting("spark.sql.adaptive.autoBroadcastJoinThreshold", "100k")
+    setting("spark.sql.defaultSizeInBytes", str(1 << 50))
+    tables = registry.sources(spark, CHECK)
+    unknown = spark.createDataFrame(tables.entities.rdd, tables.entities.schema)
+    fact = order_fact(replace(tables, entities=unknown), registry.zones(spark, CHECK), registry.FIXTURE_PARAMS)
+    plan = plan_of(fact.select("region", "gmv_eur"))
+    assert not re.search(r"hashpartitioning\(entity_id#\d+, \d+\)", plan)
+    expected = registry.facts(spark, CHECK).groupBy("region").count()
+    assert sorted(map(repr, fact.groupBy("region").count().collect())) == sorted(map(repr, expected.collect()))
