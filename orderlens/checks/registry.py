@@ -688,6 +688,16 @@ def gmv_bins(spark, sf_dir):
     return reports.gmv_bins(orders(spark, sf_dir), ALL, PARAMS)
 
 
+@register("gmv_bins_1000", "int: gmv_bin; money: gross_profit_eur gross_profit_eur_cf", _bins_sql(1000.0))
+def gmv_bins_1000(spark, sf_dir):
+    return reports.gmv_bins(orders(spark, sf_dir), ALL, ReportParams(gmv_bin_size=1000.0))
+
+
+@register("gmv_bins_10000", "int: gmv_bin; money: gross_profit_eur gross_profit_eur_cf", _bins_sql(10000.0))
+def gmv_bins_10000(spark, sf_dir):
+    return reports.gmv_bins(orders(spark, sf_dir), ALL, ReportParams(gmv_bin_size=10000.0))
+
+
 @register("vendor_scatter", f"{_VENDOR_MARK_KEYS}; int: order_count; money: gmv_eur gross_profit_eur gross_profit_eur_cf",
           f"SELECT * FROM vendor_marks WHERE {_KNOWN}", _vendor_steps())
 def vendor_scatter(spark, sf_dir):

@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 
 from orderlens.params import DEFAULT_END, DEFAULT_ENTITIES, DEFAULT_START, BatchParams
 from orderlens.plans.batch import run_batch
-from orderlens.session import tune
+from orderlens.session import temporary, tune
 from orderlens.sources.schemas import SOURCE_SCHEMAS
 from orderlens.sources.tables import read_sources
 
@@ -39,7 +39,8 @@ def main(argv=None) -> None:
         spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
     paths = {name: f"{args.sources}/{name}" for name in SOURCE_SCHEMAS}
     params = BatchParams(args.entities, args.start, args.end)
-    run_batch(read_sources(spark, paths), params, args.output)
+    with temporary(spark):
+        run_batch(read_sources(spark, paths), params, args.output)
 
 
 if __name__ == "__main__":

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,9 +48,28 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_SCOPES: list[list[str]] = []
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
     """New path in the shared folder, under the application's id."""
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are deleted at the end; results must be written by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path in _SCOPES.pop():
+            made = folder(path)
+            made.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(made, True)
 
 
 def pin(df: DataFrame, label: str) -> DataFrame:
