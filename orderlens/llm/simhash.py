@@ -8,7 +8,8 @@ one, has fingerprint zero and links like any other.
 Links: equal fingerprints are reduced to one first. Two that differ in at most ``distance`` bits
 agree on one of ``distance + 1`` blocks of the 64 bits, and the rest of their bits agree on one of
 as many sub-blocks, so each fingerprint goes to (distance + 1)^2 buckets of equal block and
-sub-block, and each linked pair meets in one at least. Within a bucket the fingerprints are sorted
+sub-block, and each linked pair meets in one at least. A bucket with very many fingerprints is cut in
+the same way by the bits it leaves free, so no task takes an unbounded one. Within a bucket the fingerprints are sorted
 by Gray rank, which puts those with common bits side by side. Runs of them become the nodes of a
 tree that holds the bits all below it share, each level only those its parent has not. A search
 goes down from the top with the bits in which it differs so far, drops a node and all below it when
@@ -24,7 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +36,8 @@ from orderlens.session import pin
 BITS, SEED = 64, 42
 #: Children of a tree node, and searches that go down together.
 FANOUT, SEARCHES = 16, 4096
+#: Fingerprints from which a bucket is cut further, unless it has only so many free bits; kinds of buckets at most.
+LARGE, FEW_BITS, KINDS = 1 << 16, 21, 1 << 12
 
 
 def fingerprint_of(text: bytes, shingle: int) -> np.ndarray:
@@ -74,25 +77,59 @@ def fingerprints(docs: DataFrame, shingle: int, text: str = "text", keep: list[s
     return append_columns(docs, text, [T.StructField("fp", T.LongType())], work, keep)
 
 
-def _blocks(distance: int, width: int) -> list[tuple[int, int]]:
-    """Cut ``width`` bits into distance + 1 blocks: (shift, width) of each."""
-    edges = np.linspace(0, width, distance + 2).astype(int)
-    return [(int(a), int(b - a)) for a, b in zip(edges[:-1], edges[1:])]
+def equal_bits(distance: int, levels: int) -> list[int]:
+    """Masks of the bits that agree in each kind of bucket, (distance + 1)**levels kinds.
+
+    Each level cuts the bits that a kind leaves free into distance + 1 blocks; kind q becomes the
+    kinds from q * (distance + 1) on.
+    """
+    kinds = [0]
+    for _ in range(levels):
+        kinds = [held | block for held in kinds for block in _blocks(held, distance)]
+    return kinds
+
+
+def _blocks(held: int, distance: int) -> list[int]:
+    free = [b for b in range(BITS) if not held >> b & 1]
+    edges = np.linspace(0, len(free), distance + 2).astype(int)
+    return [sum(1 << b for b in free[a:e]) for a, e in zip(edges[:-1], edges[1:])]
 
 
-def bucket_keys(fp: Column, distance: int) -> Column:
-    """The buckets of a fingerprint: number and equal bits of each block and sub-block."""
-    def cut(value: Column, shift: int, width: int) -> Column:
-        return F.shiftrightunsigned(value, shift).bitwiseAND(F.lit((1 << width) - 1))
+def in_buckets(marks: DataFrame, distance: int, level: int) -> DataFrame:
+    """fp, kind and bucket: each row of ``marks`` (fp, kind of the level before) in its buckets of ``level``."""
+    # Signed, as the fingerprints are.
+    masks = F.array(*[F.lit(m - (m >> 63 << 64)).cast("bigint") for m in equal_bits(distance, level)])
+    below = F.sequence(F.col("kind") * (distance + 1), F.col("kind") * (distance + 1) + distance)
+    spread = marks.select("fp", F.explode(below).alias("kind"))
+    held = F.col("fp").bitwiseAND(F.element_at(masks, F.col("kind") + 1))
+    return spread.withColumn("bucket", F.xxhash64("kind", held))
 
-    keys = []
-    for i, (shift, width) in enumerate(_blocks(distance, BITS)):
-        low = cut(fp, 0, shift) if shift else F.lit(0).cast("bigint")
-        high = F.shiftrightunsigned(fp, shift + width) if shift + width < BITS else F.lit(0).cast("bigint")
-        rest = F.shiftleft(high, shift).bitwiseOR(low)
-        for j, (sub_shift, sub_width) in enumerate(_blocks(distance, BITS - width)):
-            keys.append(F.xxhash64(F.lit(i * (distance + 1) + j), cut(fp, shift, width), cut(rest, sub_shift, sub_width)))
-    return F.array(*keys)
+
+def split_buckets(marks: DataFrame, distance: int, most: int) -> DataFrame:
+    """fp and bucket of all fingerprints; buckets of more than ``most`` are cut by further equal bits.
+
+    Two fingerprints of a bucket differ only in its free bits, so the same argument holds again: they
+    agree on one of distance + 1 blocks of those. It ends where a bucket has so few free bits that
+    it is bounded by them (after two more levels for a distance of 3), or KINDS is reached.
+    """
+    level = 2
+    spread = in_buckets(in_buckets(marks.withColumn("kind", F.lit(0)), distance, 1), distance, 2)
+    done = []
+    while (
+        max(BITS - m.bit_count() for m in equal_bits(distance, level)) > FEW_BITS
+        and (distance + 1) ** (level + 1) <= KINDS
+    ):
+        large = pin(
+            spread.groupBy("kind", "bucket").count().filter(F.col("count") > most).select("kind", "bucket"), "large-buckets")
+        if large.isEmpty():
+            break
+        done.append(spread.join(large, ["kind", "bucket"], "left_anti").select("fp", "bucket"))
+        level += 1
+        spread = in_buckets(spread.join(large, ["kind", "bucket"], "left_semi"), distance, level)
+    whole = spread.select("fp", "bucket")
+    for part in done:
+        whole = whole.unionAll(part)
+    return whole
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -195,9 +232,9 @@ def _pair_links(codes: np.ndarray, starts: np.ndarray, distance: int) -> tuple[n
     return left[near], right[near]
 
 
-def links(marks: DataFrame, distance: int) -> DataFrame:
+def links(marks: DataFrame, distance: int, most: int = LARGE) -> DataFrame:
     """Links between the distinct fingerprints in column ``fp``, a forest per bucket: columns a, b."""
-    spread = marks.select("fp", F.explode(bucket_keys(F.col("fp"), distance)).alias("bucket"))
+    spread = split_buckets(marks.select("fp"), distance, most)
     sorted_ = spread.repartition("bucket").sortWithinPartitions("bucket")
 
     def run(batches):

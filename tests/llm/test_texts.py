@@ -193,6 +193,22 @@ def test_index_finds_all_links(spark):
     frame = spark.createDataFrame(rows, "doc_id long, fp long")
     got = [r.component_id for r in simhash.group(frame, 3).orderBy("doc_id").collect()]
     assert got == brute_components(codes)
+    # Buckets cut as often as can be lose no link.
+    joined = {r.node: r.component for r in components(simhash.links(frame.select("fp"), 3, most=8)).collect()}
+    roots = [joined.get(c, c) for _, c in rows]
+    assert [roots.index(r) for r in roots] == brute_components(codes)
+
+
+def test_large_buckets_are_cut(spark):
+    """Fingerprints that agree in all bits of one bucket are spread by the others."""
+    rng = random.Random(3)
+    codes = {rng.getrandbits(35) << 28 for _ in range(2000)}
+    frame = spark.createDataFrame([(c,) for c in codes], "fp long")
+    uncut, cut = (
+        max(r["count"] for r in simhash.split_buckets(frame, 3, most).groupBy("bucket").count().collect()) for most in (2000, 100))
+    assert uncut == len(codes) and cut <= 100
+    # The last level leaves so few bits that they bound a bucket.
+    assert [max(64 - m.bit_count() for m in simhash.equal_bits(3, level)) for level in (2, 3, 4)] == [36, 27, 21]
 
 
 def test_one_document_of_each_group_stays(spark):
