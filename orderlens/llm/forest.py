@@ -82,7 +82,7 @@ class Forest:
     def _grow(self, sample: np.ndarray, weight: float, random, depth: int) -> Node:
         p = self.params
         expected = len(sample) * weight
-        if expected > p.leaf and depth < p.deepest and len(sample) >= 8:
+        if expected > p.leaf and depth < p.deepest and len(sample) >= 2:
             direction = random.standard_normal(sample.shape[1])
             direction /= np.linalg.norm(direction)
             places = sample @ direction
