@@ -108,24 +108,29 @@ def in_buckets(marks: DataFrame, distance: int, level: int) -> DataFrame:
 def split_buckets(marks: DataFrame, distance: int, most: int) -> DataFrame:
     """fp and bucket of all fingerprints; buckets of more than ``most`` are cut by further equal bits.
 
+    Rows are counted in cells of many buckets, so few numbers are shuffled; an eighth of ``most`` is
+    expected in a cell, and all buckets of a cell that holds more than ``most`` are cut.
+
     Two fingerprints of a bucket differ only in its free bits, so the same argument holds again: they
     agree on one of distance + 1 blocks of those. It ends where a bucket has so few free bits that
     it is bounded by them (after two more levels for a distance of 3), or KINDS is reached.
     """
     level = 2
     spread = in_buckets(in_buckets(marks.withColumn("kind", F.lit(0)), distance, 1), distance, 2)
+    rows = marks.count()
     done = []
     while (
         max(BITS - m.bit_count() for m in equal_bits(distance, level)) > FEW_BITS
         and (distance + 1) ** (level + 1) <= KINDS
     ):
-        large = pin(
-            spread.groupBy("kind", "bucket").count().filter(F.col("count") > most).select("kind", "bucket"), "large-buckets")
+        cells = 4096 + 8 * rows * (distance + 1) ** level // most
+        dealt = spread.withColumn("cell", F.pmod("bucket", F.lit(cells)))
+        large = pin(dealt.groupBy("cell").count().filter(F.col("count") > most).select("cell"), "large-cells")
         if large.isEmpty():
             break
-        done.append(spread.join(large, ["kind", "bucket"], "left_anti").select("fp", "bucket"))
+        done.append(dealt.join(large, "cell", "left_anti").select("fp", "bucket"))
         level += 1
-        spread = in_buckets(spread.join(large, ["kind", "bucket"], "left_semi"), distance, level)
+        spread = in_buckets(dealt.join(large, "cell", "left_semi"), distance, level)
     whole = spread.select("fp", "bucket")
     for part in done:
         whole = whole.unionAll(part)
