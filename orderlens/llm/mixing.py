@@ -142,6 +142,25 @@ def training_time(demand: Column, place: Column, schedules=SCHEDULES) -> Column:
     return cases
 
 
+#: What a row's plan must say for its copies to be dealt.
+STEP = ("copies", "middle", "source_size", "target", "place")
+
+
+def copies(rows: DataFrame, step: str, schedules=SCHEDULES) -> DataFrame:
+    """One row per copy that a row's plan, the struct ``step``, takes: its epoch ``copy__`` and ``position``."""
+    of = F.col(step)
+    kept = without(rows, ["position"])
+    epochs = F.sequence(F.lit(0), of["copies"].cast("int") - 1)
+    copied = kept.filter(of["copies"] > 0).select(*kept.columns, F.explode(epochs).alias("copy__"))
+    demand = F.try_divide(of["middle"] + F.col("copy__") * of["source_size"], of["target"])
+    return copied.withColumn("position", training_time(demand, of["place"], schedules))
+
+
+def in_training_order(copied: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``copied`` range-sorted by ``position``."""
+    return copied.repartitionByRange("position", F.col(key)).sortWithinPartitions("position", key)
+
+
 def mix(
     docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: float = 2.0,
     schedules=SCHEDULES, key: str = "doc_id", text: str = "text", source: str = "source",
@@ -152,16 +171,8 @@ def mix(
     """
     planned = plan(pin(measured(docs, key, text, source), "mix-sizes"), weights, share, most, schedules).filter("copies > 0")
     steps = planned.groupBy(F.col("doc_id").alias("key__")).agg(
-        F.max("copies").alias("copies__"), F.min("middle").alias("middle__"), F.max("source_size").alias("line__"),
-        F.max("target").alias("target__"), F.max("place").alias("place__"))
+        F.max("copies").alias("copies"), F.min("middle").alias("middle"), F.max("source_size").alias("source_size"),
+        F.max("target").alias("target"), F.max("place").alias("place")).select("key__", F.struct(*STEP).alias("step__"))
     rows = without(docs, ["position"])
-    joined = rows.join(steps, rows[key].eqNullSafe(F.col("key__")))
-    copy = F.explode(F.sequence(F.lit(0), F.col("copies__").cast("int") - 1)).alias("copy__")
-    demand = F.try_divide(F.col("middle__") + F.col("copy__") * F.col("line__"), F.col("target__"))
-    copied = joined.select(*[rows[c] for c in rows.columns], "middle__", "line__", "target__", "place__", copy)
-    timed = copied.withColumn("position", training_time(demand, F.col("place__"), schedules))
-    return (
-        timed.select(*rows.columns, "position")
-        .repartitionByRange("position", F.col(key))
-        .sortWithinPartitions("position", key)
-    )
+    joined = rows.join(steps, rows[key].eqNullSafe(F.col("key__"))).select(*[rows[c] for c in rows.columns], "step__")
+    return in_training_order(copies(joined, "step__", schedules).select(*rows.columns, "position"), key)

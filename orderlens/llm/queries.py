@@ -157,9 +157,31 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dealt(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The plan of every document, and the copies it takes, stored in training order."""
     sizes = pin(mixing.measured(table(spark, sf_dir, "documents")), "mix-sizes")
-    return mixing.plan(sizes).select("doc_id", "size", "source_size", "target", "taken")
+    planned = pin(mixing.plan(sizes), "mix-plan")
+    steps = planned.select("doc_id", "source", F.struct(*mixing.STEP).alias("step"))
+    order = mixing.in_training_order(mixing.copies(steps, "step"))
+    return planned, pin(order.select("doc_id", "source", "step.middle", F.col("copy__").alias("copy"), "position"), "mix-order")
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each document gives to the training order, counted from its copies there."""
+    planned, order = dealt(spark, sf_dir)
+    # Middles differ within a source: a row without words lies at the edge of others and takes no copy.
+    counted = order.groupBy(F.col("source").alias("line"), F.col("middle").alias("at")).agg(F.count("position").alias("n"))
+    both = planned.join(
+        counted, planned["source"].eqNullSafe(F.col("line")) & (planned["middle"] == F.col("at")) & (planned["size"] > 0),
+        "left")
+    taken = F.coalesce(F.col("n"), F.lit(0)) * F.col("size")
+    return both.select("doc_id", "size", "source_size", "target", taken.cast("bigint").alias("taken"))
+
+
+def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every copy that is trained on, range-sorted by its position in the training."""
+    _, order = dealt(spark, sf_dir)
+    return mixing.in_training_order(order.select("doc_id", "copy", "position", "source"))
 
 
 OP10_SQL = r"""
@@ -205,6 +227,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash": op9_simhash,
     "op10_mixing": op10_mixing,
+    "op10_training_order": op10_training_order,
 }
 
 SQL = {

@@ -1,5 +1,6 @@
 """Chat, vectors, mixing, the pipeline, and every query that SQL can express."""
 
+import hashlib
 import json
 import random
 
@@ -161,6 +162,47 @@ def test_mix_comes_near_its_targets_and_is_in_training_order(spark):
     assert mixing.mix(documents(spark, [])).count() == 0
 
 
+def time_asked(points, share):
+    """The time at which the schedule has asked for this share of its integral, by halving."""
+    grid, weights = zip(*points)
+
+    def asked(until):
+        inside = [t for t in grid if t < until] + [until]
+        return np.trapezoid(np.interp(inside, grid, weights), inside)
+
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        mid = (low + high) / 2
+        low, high = (mid, high) if asked(mid) < share * asked(1.0) else (low, mid)
+    return low
+
+
+def test_registered_mix_is_made_of_its_training_order(spark, monkeypatch):
+    stored = []
+    real = mixing.in_training_order
+    monkeypatch.setattr(mixing, "in_training_order", lambda *a: stored.append(real(*a)) or stored[-1])
+    taken = {r.doc_id: r for r in QUERIES["op10_mixing"](spark, CHECK).collect()}
+    assert stored
+    rows = QUERIES["op10_training_order"](spark, CHECK).collect()
+    assert [r.position for r in rows] == sorted(r.position for r in rows)
+    copies = {}
+    for r in rows:
+        copies.setdefault(r.doc_id, []).append(r)
+    assert {d: len(c) * taken[d].size for d, c in copies.items()} == {d: r.taken for d, r in taken.items() if r.taken}
+    # Each source's documents in the order of their digests, epoch after epoch, inverted one by one.
+    sources = {r.doc_id: r.source for r in table(spark, CHECK, "documents").collect()}
+    names, checked = sorted(set(sources.values())), 0
+    for source in names:
+        at, points = 0, mixing.SCHEDULES[names.index(source) % 3]
+        for d in sorted((d for d in sources if sources[d] == source), key=lambda d: hashlib.md5(str(d).encode()).hexdigest()):
+            for c in copies.get(d, []):
+                middle = at + taken[d].size / 2 + c.copy * taken[d].source_size
+                assert c.source == source and c.position == pytest.approx(time_asked(points, middle / taken[d].target), abs=1e-9)
+                checked += 1
+            at += taken[d].size
+    assert checked == len(rows) > 1000
+
+
 @pytest.mark.parametrize("turn", [0, 1, 2])
 def test_training_time_inverts_the_integral_of_the_schedule(spark, turn):
     points = mixing.SCHEDULES[turn]
