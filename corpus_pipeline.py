@@ -15,11 +15,17 @@ LEAST_LANGUAGE_SCORE = 0.2
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a recognisable language go; a missing language is filled in."""
+    """Texts without a recognisable language go; a missing language is filled in.
+
+    Texts of one-letter words have no n-gram to go by and stay, ``und`` where their language is missing.
+    """
     model = langid.learn(docs, fold("doc_id", 4) != 2)
-    marked = langid.predict(docs.withColumns({"lang__": F.col("lang")}), model)
-    kept = marked.filter((F.col("lang_pred") != langid.UNDECIDED) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
-    return kept.withColumn("lang", F.coalesce("lang__", "lang_pred")).select(*docs.columns)
+    marked = langid.predict(docs.withColumns({"lang__": F.col("lang")}), model, grams=True)
+    silent = F.col("n_grams") == 0
+    kept = marked.filter(
+        (F.col("lang_pred") != langid.UNDECIDED) & (silent | (F.col("score") >= LEAST_LANGUAGE_SCORE)))
+    told = F.when(silent, langid.UNDECIDED).otherwise(F.col("lang_pred"))
+    return kept.withColumn("lang", F.coalesce("lang__", told)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -187,9 +187,16 @@ def learn(
     return LanguageFilter.build(grams, params)
 
 
-def predict(docs: DataFrame, model: LanguageFilter, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Adds ``lang_pred`` and ``score``, the share of the text's n-grams its language holds."""
+def predict(
+    docs: DataFrame, model: LanguageFilter, text: str = "text", keep: list[str] | None = None, grams: bool = False,
+) -> DataFrame:
+    """Adds ``lang_pred`` and ``score``, the share of the text's n-grams its language holds.
+
+    ``grams`` adds ``n_grams``, their number: a text of one-letter words has none, and its score says nothing.
+    """
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    if grams:
+        fields.append(T.StructField("n_grams", T.LongType()))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work():
@@ -205,7 +212,8 @@ def predict(docs: DataFrame, model: LanguageFilter, text: str = "text", keep: li
                 best = np.argmax(held, axis=1)
                 score = np.clip(held[np.arange(len(part)), best] / np.maximum(total, 1), 0, 1)
             best = np.where(with_letter, best, len(known.languages))
-            return [pa.array(names[best], pa.string()), pa.array(np.where(with_letter, score, 0.0))]
+            out = [pa.array(names[best], pa.string()), pa.array(np.where(with_letter, score, 0.0))]
+            return out + [pa.array(np.bincount(rows, minlength=len(part)))] * grams
 
         return made
 

@@ -231,6 +231,16 @@ def test_pipeline(spark):
     assert counts["source_mix"] == counts["sentencepiece"] > 1000
 
 
+def test_language_stage_keeps_texts_of_one_letter_words(spark):
+    docs = table(spark, CHECK, "documents")
+    texts = [("A.", "en"), ("I - a, B", None), ("é", "fr"), ("...", "en"), ("", None), (None, "en"), ("ЖЩЪЫ ЖЩЪЫ", "en")]
+    more = spark.createDataFrame([(-1 - i, t, lang, "s", 0) for i, (t, lang) in enumerate(texts)], docs.schema)
+    kept = corpus_pipeline.language_id(spark, docs.unionByName(more), CHECK).collect()
+    assert sorted((r.doc_id, r.text, r.lang) for r in kept if r.doc_id < 0) == [
+        (-3, "é", "fr"), (-2, "I - a, B", "und"), (-1, "A.", "en")]
+    assert len(kept) == 1000 + 3
+
+
 def test_pipeline_stages_take_odd_and_empty_tables(spark):
     from .conftest import DOCUMENT
 
