@@ -15,12 +15,12 @@ sources in the order in which they fill up.
 
 Prefix sums are cut by digest: rows are added up per (source, first digits of the digest), those
 sums over the source, and the rows within their piece, so a source with most of the rows is spread
-over many tasks. A copy is taken if its middle lies before the target, so a source ends within one
+over many tasks. A digest of many rows (null or repeated ids) is cut further by size and row hash. A copy is taken if its middle lies before the target, so a source ends within one
 document of it. Everything depends on values alone, so reruns agree.
 
 Nulls: a null text has no words and is never trained on; a null id sorts first; a null source is a
-source, the last one. Repeated rows stay and are ordered by (digest, id, size). An empty table gives
-an empty mix. Extra columns are carried, columns named like an output column are replaced.
+source, the last one. Repeated ids stay, each row with a plan of its own; they are ordered by (digest,
+id, size, hash of the whole row). An empty table gives an empty mix. Extra columns are carried, columns named like an output column are replaced.
 """
 
 from __future__ import annotations
@@ -36,6 +36,8 @@ from orderlens.session import pin
 WORD = r"[^\x20\x09-\x0D]+"
 #: Digits of the digest that cut a source: 16^3 pieces.
 PIECE_DIGITS = 3
+#: Rows of one digest beyond which it is cut further.
+CROWDED = 65_536
 #: Times and relative weights of the default schedules; sources take them in turn. Their integrals are 1.
 SCHEDULES = (
     ((0.0, 1.5), (1.0, 0.5)),
@@ -73,20 +75,48 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], share: float, most:
         F.coalesce(F.least(F.col("cap"), F.col("final") * F.col("weight")), F.col("cap")).alias("target"))
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """Hash of a whole row; nulls count by their place, maps by their text."""
+    cells = [F.to_json(F.struct(docs[c])) if "map<" in kind else docs[c] for c, kind in docs.dtypes]
+    return F.xxhash64(*cells, *[docs[c].isNull() for c in docs.columns])
+
+
 def measured(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """id, source, size and digest of each row."""
+    """id, source, size, digest and row hash of each row."""
     return docs.select(
         docs[key].alias("doc_id"), docs[source].alias("source"), word_count(docs[text]).alias("size"),
-        F.md5(F.coalesce(docs[key].cast("string"), F.lit("")).cast("binary")).alias("digest"))
+        F.md5(F.coalesce(docs[key].cast("string"), F.lit("")).cast("binary")).alias("digest"),
+        row_hash(docs).alias("row"))
+
+
+def with_pieces(rows: DataFrame, crowded: int) -> DataFrame:
+    """``rows`` with the ``piece`` that cuts a source, in the order of (digest, id, size, row).
+
+    A piece is the digest's first digits. A digest of more than ``crowded`` rows, those of null or
+    repeated ids, is cut by size and row hash, and so lies between two parts of its digits' piece.
+    """
+    start = F.substring("digest", 1, PIECE_DIGITS)
+    many = rows.groupBy("digest").count().filter(F.col("count") > crowded)
+    found = pin(many.groupBy(start.alias("start__")).agg(F.collect_list("digest").alias("many__")), "mix-crowded")
+    if found.isEmpty():
+        return rows.withColumn("piece", start)
+    beside = rows.join(found, start == found["start__"], "left")
+    inner = F.concat(
+        "digest", F.when(F.col("doc_id").isNull(), "0").otherwise("1"), F.lpad(F.hex("size"), 16, "0"),
+        F.hex(F.pmod("row", F.lit(16))))
+    before = F.array_max(F.filter("many__", lambda d: d < F.col("digest")))
+    piece = F.when(F.array_contains("many__", F.col("digest")), inner).when(
+        before.isNotNull(), F.concat(before, F.lit("~"))).otherwise(start)
+    return beside.withColumn("piece", piece).drop("start__", "many__")
 
 
 def plan(
     rows: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: float = 2.0,
-    schedules=SCHEDULES,
+    schedules=SCHEDULES, crowded: int = CROWDED,
 ) -> DataFrame:
-    """``rows`` (doc_id, source, size, digest, ...) with source_size, target, copies, taken and the first copy's position."""
-    piece = F.substring("digest", 1, PIECE_DIGITS)
-    pieces = pin(rows.groupBy("source", piece.alias("piece")).agg(F.sum("size").alias("words")), "mix-pieces")
+    """``rows`` (doc_id, source, size, digest, row, ...) with source_size, target, copies, taken and the first copy's position."""
+    cut = with_pieces(rows, crowded)
+    pieces = pin(cut.groupBy("source", "piece").agg(F.sum("size").alias("words")), "mix-pieces")
     ahead = Window.partitionBy("source").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select("source", "piece", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("offset"))
     sizes = pieces.groupBy("source").agg(F.sum("words").alias("source_size"))
@@ -95,8 +125,8 @@ def plan(
         offsets.join(targets, offsets["source"].eqNullSafe(targets["source"])).drop(targets["source"]), "mix-starts"
     ).select(F.col("source").alias("source__"), F.col("piece").alias("piece__"), "offset", "source_size", "place", "target")
 
-    cut = rows.withColumn("piece", piece)
-    inside = Window.partitionBy("source", "piece").orderBy("digest", "doc_id", "size").rowsBetween(
+    inside = Window.partitionBy("source", "piece").orderBy(
+        "digest", "doc_id", "size", F.pmod("row", F.lit(16)), "row").rowsBetween(
         Window.unboundedPreceding, -1)
     placed = cut.withColumn("ahead", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     joined = placed.join(
@@ -167,12 +197,16 @@ def mix(
 ) -> DataFrame:
     """The training order: one row of ``docs`` per copy taken, range-sorted by ``position``.
 
-    Rows are matched to their plan by id; where ids repeat, their rows share the plan of one of them.
+    Rows are matched to their plan by id and row hash. Rows that are equal in every column have a plan
+    each; there one of them stands for all, and each plan takes its copies of it.
     """
-    planned = plan(pin(measured(docs, key, text, source), "mix-sizes"), weights, share, most, schedules).filter("copies > 0")
-    steps = planned.groupBy(F.col("doc_id").alias("key__")).agg(
-        F.max("copies").alias("copies"), F.min("middle").alias("middle"), F.max("source_size").alias("source_size"),
-        F.max("target").alias("target"), F.max("place").alias("place")).select("key__", F.struct(*STEP).alias("step__"))
-    rows = without(docs, ["position"])
-    joined = rows.join(steps, rows[key].eqNullSafe(F.col("key__"))).select(*[rows[c] for c in rows.columns], "step__")
-    return in_training_order(copies(joined, "step__", schedules).select(*rows.columns, "position"), key)
+    sizes = pin(measured(docs, key, text, source), "mix-sizes")
+    planned = plan(sizes, weights, share, most, schedules).filter("copies > 0")
+    steps = planned.select(F.col("doc_id").alias("key__"), F.col("row").alias("plan__"), F.struct(*STEP).alias("step__"))
+    kept = [c for c in docs.columns if c.lower() != "position"]
+    rows = docs.withColumn("row__", row_hash(docs))
+    if not sizes.groupBy("doc_id", "row").count().filter("count > 1").isEmpty():
+        rows = rows.dropDuplicates([key, "row__"])
+    joined = rows.join(steps, rows[key].eqNullSafe(F.col("key__")) & (rows["row__"] == F.col("plan__")))
+    copied = copies(joined.select(*[rows[c] for c in kept], "step__"), "step__", schedules)
+    return in_training_order(copied.select(*kept, "position"), key)

@@ -203,6 +203,57 @@ def test_registered_mix_is_made_of_its_training_order(spark, monkeypatch):
     assert checked == len(rows) > 1000
 
 
+def slow_plan(rows):
+    """Copies, middle and place of each (id, source, size), in the order of SQL."""
+    names = sorted({r[1] for r in rows}, key=lambda s: (s is None, s))
+    weights = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
+    own = {s: sum(r[2] for r in rows if r[1] == s) for s in names}
+    target, total = {}, 1.5 * sum(own.values())
+    while True:
+        open_ = [s for s in names if s not in target]
+        rest = (total - sum(target.values())) / sum(weights[s] for s in open_)
+        over = {s: 2.0 * own[s] for s in open_ if rest * weights[s] > 2.0 * own[s]}
+        if not over:
+            target |= {s: rest * weights[s] for s in open_}
+            break
+        target |= over
+    out, at = [], dict.fromkeys(names, 0)
+    key = lambda r: (hashlib.md5(b"" if r[0] is None else str(r[0]).encode()).hexdigest(), r[0] is not None, r[0] or 0, r[2])
+    for i, s, size in sorted(rows, key=key):
+        middle = at[s] + size / 2
+        out.append((i, s, size, int(np.ceil((target[s] - middle) / own[s])) if size and middle < target[s] else 0))
+        at[s] += size
+    return out
+
+
+def test_rows_of_null_and_repeated_ids_have_their_own_plans(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice([None, None, None, 1, 2, rng.randrange(9_000)]), rng.choice(["a", "a", "a", "b", None]),
+             "w " * rng.randrange(30), rng.choice(["x", None])) for _ in range(900)]
+    # Ids whose digests lie around that of a null id, and rows that are equal in every column.
+    rows += [(i, "a", "w " * 9, "x") for i in range(60_000) if hashlib.md5(str(i).encode()).hexdigest().startswith("d41")]
+    rows += [(7, "b", "twin twin twin", None)] * 40 + [(None, "b", "null twin", None)] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, extra string").repartition(5)
+    sizes = mixing.measured(docs)
+    wanted = slow_plan([(i, s, len(t.split())) for i, s, t, _ in rows])
+    order = lambda r: tuple((x is None, x) for x in r)
+    for crowded in (mixing.CROWDED, 30):
+        plan = mixing.plan(sizes, crowded=crowded).collect()
+        assert sorted([(r.doc_id, r.source, r.size, r.copies) for r in plan], key=order) == sorted(wanted, key=order)
+    whole, cut = (
+        max(r["count"] for r in mixing.with_pieces(sizes, c).groupBy("source", "piece").count().collect()) for c in (mixing.CROWDED, 30))
+    assert whole > 200 and cut <= 60
+    mixed = mixing.mix(docs).collect()
+    assert len(mixed) == sum(w[3] for w in wanted)
+    words, taken = {}, {}
+    for r in mixed:
+        words[r.source] = words.get(r.source, 0) + len(r.text.split())
+    for _, s, size, n in wanted:
+        taken[s] = taken.get(s, 0) + size * n
+    assert words == taken
+    assert {(r.doc_id, r.source, r.text, r.extra) for r in mixed} <= set(rows)
+
+
 @pytest.mark.parametrize("turn", [0, 1, 2])
 def test_training_time_inverts_the_integral_of_the_schedule(spark, turn):
     points = mixing.SCHEDULES[turn]
