@@ -44,8 +44,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every row's text."""
-    return pieces.encode(docs, tokenizer_file(PIECE_MODEL), keep=["doc_id", "lang", "source"])
+    """Ids of every row's text, and the length and crc32 of what decoding them gives back."""
+    return pieces.encode(docs, tokenizer_file(PIECE_MODEL), keep=["doc_id", "lang", "source"], decoded=True)
 
 
 STAGES = [

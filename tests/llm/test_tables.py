@@ -3,6 +3,7 @@
 import hashlib
 import json
 import random
+import zlib
 
 import duckdb
 import numpy as np
@@ -292,6 +293,14 @@ def test_language_stage_keeps_texts_of_one_letter_words(spark):
     assert len(kept) == 1000 + 3
 
 
+def test_last_stage_decodes_what_it_encodes(spark):
+    rows = {r.doc_id: r for r in corpus_pipeline.token_ids(spark, documents(spark, ODD), CHECK).collect()}
+    for key, text in enumerate(ODD):
+        plain = None if text is None else text.replace("▁", " ")
+        wanted = (None, None) if text is None else (len(plain), zlib.crc32(plain.encode()))
+        assert (rows[key].decoded_chars, rows[key].decoded_crc32) == wanted and rows[key].text_crc32 == wanted[1]
+
+
 def test_pipeline_stages_take_odd_and_empty_tables(spark):
     from .conftest import DOCUMENT
 
