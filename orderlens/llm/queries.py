@@ -144,12 +144,12 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids per document; ``round_trip`` says that decoding them gave the text back."""
-    coded = pieces.encode(
-        table(spark, sf_dir, "documents"), tokenizer_file(PIECE_MODEL), keep=["doc_id"], decoded=True)
+    """Ids per document; ``round_trip`` says that decoding them gave the stored text back, byte for byte."""
+    docs = table(spark, sf_dir, "documents").withColumn("stored_crc32", F.crc32(F.col("text").cast("binary")))
+    coded = pieces.encode(docs, tokenizer_file(PIECE_MODEL), keep=["doc_id", "stored_crc32"], decoded=True)
     return coded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_ids"), "ids", "decoded_chars",
-        F.col("decoded_crc32").eqNullSafe(F.col("text_crc32")).alias("round_trip"))
+        F.col("decoded_crc32").eqNullSafe(F.col("stored_crc32")).alias("round_trip"))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

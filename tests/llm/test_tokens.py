@@ -9,7 +9,7 @@ from conftest import CHECK
 from pyspark.sql import functions as F
 
 from orderlens.llm import pieces, token_files
-from orderlens.llm.queries import PIECE_MODEL, WORD_BPE, table, tokenizer_file
+from orderlens.llm.queries import PIECE_MODEL, QUERIES, WORD_BPE, table, tokenizer_file
 from orderlens.session import shared_path
 
 from .conftest import LONG, ODD, documents
@@ -119,6 +119,13 @@ def test_round_trip(spark):
     assert pieces.encode(documents(spark, []), model).count() == 0
 
 
+def test_round_trip_of_the_query_is_that_of_the_stored_text(spark, tmp_path):
+    given = ["plain text", "a ▁ b", "▁", "", None, "  two  spaces\n"]
+    documents(spark, given).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in QUERIES["op8_sentencepiece"](spark, str(tmp_path)).collect()}
+    assert [rows[i].round_trip for i in range(len(given))] == ["▁" not in (t or "") for t in given]
+
+
 def test_scores_of_a_unigram_model_stay():
     assert pieces.log_probabilities({3: -1.5, 4: -2.25}) == {3: -1.5, 4: -2.25}
     made = pieces.log_probabilities({3: 0.0, 4: -1.0, 5: -2.0})
