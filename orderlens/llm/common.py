@@ -52,25 +52,43 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             start = end
 
 
+def free_name(name: str, *frames: DataFrame) -> str:
+    """``name``, lengthened until no column of the frames is called so, in either case."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def texts_of(part: pa.RecordBatch) -> pa.Array:
+    """The text of a slice that ``append_columns`` passes on: its last column."""
+    return part.column(part.num_columns - 1)
+
+
 def append_columns(
     df: DataFrame, text: str, fields: list[T.StructField],
     work: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]], keep: list[str] | None = None,
+    reads: tuple[Column, ...] = (),
 ) -> DataFrame:
     """``df`` with the columns that ``work()`` makes from slices of it; input columns of their names go.
 
-    ``keep`` names the input columns to carry over. The text itself may be left out that way.
+    ``keep`` names the input columns to carry over. The text itself may be left out that way. A slice holds
+    the carried columns, then those of ``reads``, then the text.
     """
     carried = without(df, [f.name for f in fields])
     kept = [c for c in carried.columns if keep is None or c in keep]
-    # The text is read under a name of its own, so that it can also be among the new columns' names.
-    source = df.select(*[df[c] for c in kept], df[text].cast("string").alias("text__"))
+    # Read under names of their own, so that the text can also be among the carried or the new columns.
+    own = free_name("text", carried)
+    more = [free_name(f"read{i}", carried) for i in range(len(reads))]
+    source = df.select(
+        *[df[c] for c in kept], *[r.alias(n) for r, n in zip(reads, more)], df[text].cast("string").alias(own))
     schema = T.StructType([source.schema[c] for c in kept] + fields)
     names = schema.names
 
     def run(batches):
         made = work()
-        for part in slices(batches, "text__"):
-            yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + made(part), names)
+        for part in slices(batches, own):
+            yield pa.RecordBatch.from_arrays(part.columns[: len(kept)] + made(part), names)
 
     return source.mapInArrow(run, schema)
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens.llm.common import append_columns, mix, share_hash, slices, text_offsets
+from orderlens.llm.common import append_columns, mix, share_hash, slices, text_offsets, texts_of
 
 UNDECIDED = "und"
 
@@ -204,7 +204,7 @@ def predict(
         names = np.array(known.languages + [UNDECIDED], object)
 
         def made(part: pa.RecordBatch) -> list[pa.Array]:
-            hashes, rows, with_letter = letter_grams(part.column("text__"), known.orders)
+            hashes, rows, with_letter = letter_grams(texts_of(part), known.orders)
             if not known.languages:
                 best, score = np.zeros(len(part), int), np.zeros(len(part))
             else:

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from orderlens.llm.common import append_columns, mix, powers
+from orderlens.llm.common import append_columns, mix, powers, texts_of
 from orderlens.llm.word_ids import WordIds, gathered, in_order, per_row
 
 MARK = "▁"
@@ -255,7 +255,7 @@ def encode(
         fields += [T.StructField("decoded_chars", T.LongType()), T.StructField("decoded_crc32", T.LongType())]
 
     def made(part: pa.RecordBatch) -> list[pa.Array]:
-        column = part.column("text__")
+        column = texts_of(part)
         null = column.is_null()
         ids, counts, crcs = encode_rows(column, model_path)
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import chat, forest, langid, mixing, pieces, secrets, simhash, token_files, topk, toxicity
+from orderlens.llm import chat, fim, forest, langid, mixing, pieces, secrets, simhash, token_files, topk, toxicity
 from orderlens.llm.common import fold
 from orderlens.session import pin, shared_path
 
@@ -216,6 +216,43 @@ FROM placed
 """
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+    def digest(text):
+        return F.sha2(text.cast("binary"), 256)
+
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+        digest(fim.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+OP11_SQL = r"""
+WITH lines AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+           sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS digest
+    FROM documents
+), drawn AS (
+    SELECT *, len(units) AS n, ('0x' || digest[1:8])::UBIGINT % (len(units) + 1) AS one,
+           ('0x' || digest[9:16])::UBIGINT % (len(units) + 1) AS two,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+                WHEN ('0x' || digest[25:32])::UBIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+    FROM lines
+), parts AS (
+    SELECT *, array_to_string(units[1:least(one, two)], '') AS prefix,
+           array_to_string(units[least(one, two) + 1:greatest(one, two)], '') AS middle,
+           array_to_string(units[greatest(one, two) + 1:n], '') AS suffix
+    FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_language_id": op2_language_id,
@@ -228,6 +265,7 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_mixing": op10_mixing,
     "op10_training_order": op10_training_order,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
 SQL = {
@@ -235,4 +273,5 @@ SQL = {
     "op4_embedding_forest": OP4_SQL,
     "op6_pivot_top_k": OP6_SQL,
     "op10_mixing": OP10_SQL,
+    "op11_fill_in_middle": OP11_SQL,
 }

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.llm.automaton import Automaton, compile_patterns
-from orderlens.llm.common import append_columns, text_offsets
+from orderlens.llm.common import append_columns, text_offsets, texts_of
 
 
 @dataclass(frozen=True)
@@ -189,7 +189,7 @@ def find(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", k
     """Adds ``secrets``, the spans of each text."""
     def work():
         scan = scanner(rules)
-        return lambda part: [_as_structs(spans_of(part.column("text__"), scan))]
+        return lambda part: [_as_structs(spans_of(texts_of(part), scan))]
 
     return append_columns(docs, text, [T.StructField("secrets", SPANS)], work, keep)
 
@@ -215,7 +215,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text",
         scan = scanner(rules)
 
         def made(part: pa.RecordBatch) -> list[pa.Array]:
-            column = part.column("text__")
+            column = texts_of(part)
             texts = [t if not s else hide(t, s) for t, s in zip(column.to_pylist(), spans_of(column, scan))]
             return [pa.array(texts, pa.string())]
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens.llm.common import append_columns, without
+from orderlens.llm.common import append_columns, texts_of, without
 from orderlens.llm.components import components
 from orderlens.session import pin
 
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, shingle: int, text: str = "text", keep: list[s
     """Adds ``fp``, the fingerprint as a signed 64-bit integer."""
     def work():
         def made(part: pa.RecordBatch) -> list[pa.Array]:
-            texts = pc.fill_null(part.column("text__").cast(pa.binary()), b"").to_pylist()
+            texts = pc.fill_null(texts_of(part).cast(pa.binary()), b"").to_pylist()
             marks = np.array([majority_bits(fingerprint_of(t, shingle)) for t in texts], np.uint64)
             return [pa.array(marks.view(np.int64))]
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens.llm.common import append_columns, share_hash, slices, span_hashes, text_offsets
+from orderlens.llm.common import append_columns, share_hash, slices, span_hashes, text_offsets, texts_of
 
 # Identity terms by kind; a term is swapped for the others of its kind.
 IDENTITY_TERMS = (
@@ -250,7 +250,7 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", keep: list[
         known = shared.value
 
         def made(part: pa.RecordBatch) -> list[pa.Array]:
-            scores = score_texts(part.column("text__"), known)
+            scores = score_texts(texts_of(part), known)
             return [pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))]
 
         return made
