@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import chat, fim, forest, langid, mixing, pieces, secrets, simhash, token_files, topk, toxicity
+from orderlens.llm import chat, fim, forest, langid, mixing, pieces, secrets, simhash, token_files, topk, toxicity, whitening
 from orderlens.llm.common import fold
 from orderlens.session import pin, shared_path
 
@@ -253,6 +253,14 @@ FROM parts
 """
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    each = rows.select("*", F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "one"))
+    return each.select(
+        "vec_id", (F.col("at") + 1).cast("int").alias("component"), "n", "deviation",
+        F.col("one.whitened").alias("whitened"), F.col("one.explained").alias("explained"), "identity_error")
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_language_id": op2_language_id,
@@ -266,6 +274,7 @@ QUERIES = {
     "op10_mixing": op10_mixing,
     "op10_training_order": op10_training_order,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_whitening": op13_whitening,
 }
 
 SQL = {
