@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import chat, fim, forest, langid, mixing, pieces, secrets, simhash, token_files, topk, toxicity, whitening
+from orderlens.llm import chat, fim, forest, langid, mixing, multiprobe, pieces, secrets, simhash, token_files, topk, toxicity, whitening
 from orderlens.llm.common import fold
 from orderlens.session import pin, shared_path
 
@@ -253,6 +253,10 @@ FROM parts
 """
 
 
+def op12_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiprobe.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
     each = rows.select("*", F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "one"))
@@ -274,6 +278,7 @@ QUERIES = {
     "op10_mixing": op10_mixing,
     "op10_training_order": op10_training_order,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_multiprobe": op12_multiprobe,
     "op13_whitening": op13_whitening,
 }
 
