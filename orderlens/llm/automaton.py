@@ -115,7 +115,29 @@ def compile_patterns(patterns: list[bytes], anywhere: bool) -> Automaton:
     if anywhere:
         nfa.moves[start].append(((1 << 256) - 1, start))
     ends = [nfa.add(_parse(p), _after(nfa, start), False) for p in patterns]
+    return _determined(nfa, start, ends)
 
+
+def compile_backwards(pattern: bytes) -> Automaton:
+    """Automaton for a text read from its end: it is final at every place where a match begins."""
+    forwards = _Nfa()
+    first = forwards.state()
+    last = forwards.add(_parse(pattern), first, False)
+    nfa = _Nfa()
+    for _ in forwards.moves:
+        nfa.state()
+    for s, (moves, free) in enumerate(zip(forwards.moves, forwards.free)):
+        for mask, target in moves:
+            nfa.moves[target].append((mask, s))
+        for target in free:
+            nfa.free[target].append(s)
+    start = nfa.state()
+    nfa.moves[start].append(((1 << 256) - 1, start))
+    nfa.free[start].append(last)
+    return _determined(nfa, start, [first])
+
+
+def _determined(nfa: _Nfa, start: int, ends: list[int]) -> Automaton:
     masks = {mask for moves in nfa.moves for mask, _ in moves}
     signatures = [tuple(mask >> b & 1 for mask in masks) for b in range(256)]
     kinds = {s: i for i, s in enumerate(dict.fromkeys(signatures))}

@@ -7,7 +7,7 @@ false positives its language's filling predicts, and the largest corrected count
 
 An n-gram belongs to the languages in which it is common: those with at least ``min_share`` of its
 rates added over the languages. The filters are learned from a bounded sample of the labelled rows
-(``sample_per_language``, drawn by a hash of the row) and hold at most ``grams_per_language``
+(``sample_per_language``, drawn by a hash of the id, so that copies of a text are drawn one by one) and hold at most ``grams_per_language``
 n-grams each; those two parameters bound the model, which goes through the driver. Predictions read
 whole texts.
 
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens.llm.common import append_columns, mix, share_hash, slices, text_offsets, texts_of
+from orderlens.llm.common import append_columns, mix, slices, text_offsets, texts_of
 
 UNDECIDED = "und"
 
@@ -48,34 +48,38 @@ class LanguageModelParams:
 
 
 @lru_cache(maxsize=1)
-def lowered_letters() -> np.ndarray:
-    """For each code point its lower-case letter, 0 if it is no letter."""
+def lowered_letters() -> tuple[np.ndarray, np.ndarray]:
+    """For each code point its lower-case letter or mark, 0 if it is neither, and whether it is a letter."""
     table = np.zeros(sys.maxunicode + 2, np.uint32)
+    letter = np.zeros(sys.maxunicode + 2, bool)
     for code in range(sys.maxunicode + 1):
-        if unicodedata.category(chr(code))[0] in "LM":
+        kind = unicodedata.category(chr(code))[0]
+        if kind in "LM":
             low = chr(code).lower()
             table[code] = ord(low) if len(low) == 1 else code
-    return table
+            letter[code] = kind == "L"
+    return table, letter
 
 
 def letter_grams(column: pa.Array, orders: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of all letter n-grams, the row of each, and whether each row has a letter.
 
-    Other characters are word edges; an n-gram starts at an edge or a letter and holds no edge
+    Marks are parts of words, but a text of marks alone has no letter. Other characters are word edges; an n-gram starts at an edge or a letter and holds no edge
     inside, and rows never share an n-gram.
     """
     offsets, data = text_offsets(column)
     codes = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), "<u4")
     begins = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
     rows = np.repeat(np.arange(len(column)), np.diff(begins))
-    low = lowered_letters()[codes]
+    lowered, letter = lowered_letters()
+    low = lowered[codes]
     widest = max(orders)
     letters = np.zeros(len(low) + len(column) + widest, np.uint64)
     letters[np.arange(len(low)) + rows + 1] = low
     owner = np.zeros(len(letters), np.int64)
     owner[np.arange(len(low)) + rows + 1] = rows
     with_letter = np.zeros(len(column), bool)
-    with_letter[rows[low > 0]] = True
+    with_letter[rows[letter[codes]]] = True
 
     hashes, owners = [], []
     isletter = letters > 0
@@ -159,17 +163,19 @@ def _count_grams(texts: DataFrame, orders: tuple[int, ...]) -> DataFrame:
 
 def learn(
     docs: DataFrame, usable: Column, params: LanguageModelParams = LanguageModelParams(),
-    text: str = "text", lang: str = "lang",
+    text: str = "text", lang: str = "lang", key: str = "doc_id",
 ) -> LanguageFilter:
-    """Filters from rows that are ``usable`` and have a language."""
-    rows = docs.filter(usable).select(docs[lang].cast("string").alias("lang"), docs[text].alias("text"))
+    """Filters from rows that are ``usable`` and have a language; rows of a null id are drawn at random."""
+    luck = F.when(docs[key].isNull(), F.rand(17)).otherwise(F.pmod(F.xxhash64(docs[key]), F.lit(1 << 30)) / float(1 << 30))
+    rows = docs.filter(usable).select(
+        docs[lang].cast("string").alias("lang"), docs[text].alias("text"), luck.alias("luck"))
     rows = rows.filter("lang is not null and text is not null")
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
         return LanguageFilter.build({}, params)
     shares = F.create_map(*[F.lit(x) for name, n in sizes.items()
                             for x in (name, min(1.0, params.sample_per_language / n))])
-    sample = rows.filter(share_hash("text") <= shares[F.col("lang")])
+    sample = rows.filter(F.col("luck") <= shares[F.col("lang")])
 
     counted = _count_grams(sample, params.orders).filter(F.col("n") >= params.min_count)
     rate = F.col("n") / F.sum("n").over(Window.partitionBy("lang"))

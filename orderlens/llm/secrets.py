@@ -3,12 +3,13 @@
 The rules' patterns become one deterministic, minimised automaton that looks for all of them at
 once. Bytes that send every state back to the start cut a text into stretches that no match crosses;
 the stretches of many texts are read in step, longest first, one table lookup a byte. A stretch in
-which a pattern was recognised is then read by each rule's own automaton, which gives the leftmost,
-longest, non-overlapping matches; those that fail the rule's length are dropped.
+which a pattern was recognised is then read by each rule's own automata: one reads it backwards and marks
+where matches begin, the other gives from there the leftmost, longest, non-overlapping matches; those that
+fail the rule's length are dropped. Both read a byte a bounded number of times, however long the text is.
 
 Spans count code points, end exclusive, ordered by start and then by the rules' order. A null text
 is an empty one and has no spans. Repeated rows stay; extra columns are carried, input columns named
-like an output column are replaced.
+like an output column are replaced. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens.llm.automaton import Automaton, compile_patterns
+from orderlens.llm.automaton import Automaton, compile_backwards, compile_patterns
 from orderlens.llm.common import append_columns, text_offsets, texts_of
 
 
@@ -64,6 +65,7 @@ class Scanner:
     rules: tuple[Rule, ...]
     all_rules: Automaton
     each: tuple[Automaton, ...]
+    backwards: tuple[Automaton, ...]
     shortest: int
     cutting: np.ndarray
 
@@ -77,7 +79,8 @@ def scanner(rules: tuple[Rule, ...] = RULES) -> Scanner:
         reached = set(joined.table[list(reached)].ravel().tolist())
         steps += 1
     cutting = (joined.table == 0).all(axis=0)[joined.classes]
-    return Scanner(rules, joined, tuple(compile_patterns([r.pattern], anywhere=False) for r in rules), steps, cutting)
+    return Scanner(rules, joined, tuple(compile_patterns([r.pattern], anywhere=False) for r in rules),
+                   tuple(compile_backwards(r.pattern) for r in rules), steps, cutting)
 
 
 def flagged_stretches(data: np.ndarray, offsets: np.ndarray, scan: Scanner) -> tuple[np.ndarray, np.ndarray]:
@@ -125,15 +128,30 @@ def flagged_stretches(data: np.ndarray, offsets: np.ndarray, scan: Scanner) -> t
     return starts[hit], ends[hit]
 
 
-def leftmost_matches(raw: bytes, auto: Automaton) -> list[tuple[int, int]]:
-    """Leftmost, longest, non-overlapping matches of one rule."""
-    table, classes, first_final, dead = auto.table, auto.classes, auto.first_final, auto.dead
-    codes = classes[np.frombuffer(raw, np.uint8)]
-    begin = np.flatnonzero(table[0][codes] != dead).tolist()
+def match_starts(codes: list[int], auto: Automaton) -> list[int]:
+    """Where matches begin, in order, by reading backwards."""
+    rows, first_final = auto.table.tolist(), auto.first_final
+    state, found = 0, []
+    for i in range(len(codes) - 1, -1, -1):
+        state = rows[state][codes[i]]
+        if state >= first_final:
+            found.append(i)
+    return found[::-1]
+
+
+def leftmost_matches(raw: bytes, auto: Automaton, backwards: Automaton) -> list[tuple[int, int]]:
+    """Leftmost, longest, non-overlapping matches of one rule.
+
+    A first pass, backwards, marks where matches begin, so that no run starts in vain.
+    """
+    data = np.frombuffer(raw, np.uint8)
+    codes = auto.classes[data]
+    if not (auto.table[0][codes] != auto.dead).any():
+        return []
+    rows, dead, first_final = auto.table.tolist(), auto.dead, auto.first_final
     codes = codes.tolist()
-    rows = table.tolist()
     found, free = [], 0
-    for start in begin:
+    for start in match_starts(backwards.classes[data].tolist(), backwards):
         if start < free:
             continue
         state, end = 0, -1
@@ -143,9 +161,8 @@ def leftmost_matches(raw: bytes, auto: Automaton) -> list[tuple[int, int]]:
                 break
             if state >= first_final:
                 end = i + 1
-        if end > start:
-            found.append((start, end))
-            free = end
+        found.append((start, end))
+        free = end
     return found
 
 
@@ -164,8 +181,8 @@ def spans_of(column: pa.Array, scan: Scanner) -> list[list[tuple[str, int, int]]
     for start, end in zip(starts.tolist(), ends.tolist()):
         row = int(np.searchsorted(offsets, start, "right")) - 1
         raw = data[start:end].tobytes()
-        for kind, (rule, auto) in enumerate(zip(scan.rules, scan.each)):
-            for a, b in leftmost_matches(raw, auto):
+        for kind, (rule, auto, backwards) in enumerate(zip(scan.rules, scan.each, scan.backwards)):
+            for a, b in leftmost_matches(raw, auto, backwards):
                 if (_assigned_length(raw[a:b]) if rule.value_only else b - a) >= rule.shortest:
                     found.setdefault(row, []).append((start + a, kind, start + b))
     out: list[list[tuple[str, int, int]]] = [[] for _ in range(len(column))]

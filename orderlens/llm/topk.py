@@ -5,7 +5,9 @@ them into lower bounds of the distance between a query and a vector, the largest
 and with the vectors' lengths into an upper bound of their inner product. Vectors are evaluated in
 the order of that bound until the next bound is below the k-th score, when none of the rest can
 enter. Rows and queries are cut into blocks that meet pairwise, each meeting gives the best k of its
-rows, and the best k of those are the result.
+rows, and the best k of those are the result. Every query first meets one bounded sample of the rows: no
+block need look at a bound below the k-th score that it found there, and a block without any is skipped.
+Pivots are taken from that sample, each as far as possible from those before it.
 
 Components are whole numbers, floor(scale * x); scores are exact. Those beyond 64 bits are set to the
 nearest long. Ties go to the smaller id. A row whose id or vector is null, or whose vector has a
@@ -39,6 +41,8 @@ class TopKParams:
     queries: int = 16_384
     together: int = 256
     step: int = 256
+    #: Rows that pivots are chosen from and that give each query its first scores.
+    sample: int = 4_096
 
 
 LONG = (-(1 << 63), (1 << 63) - 1)
@@ -61,6 +65,33 @@ def pivot_table(numbers: DataFrame, pivots: list[list[float]]) -> DataFrame:
     return numbers.mapInArrow(run, schema)
 
 
+def known_scores(asks: DataFrame, sample: list, k: int) -> DataFrame:
+    """Adds the k-th best score of each query among the sampled rows: -inf where there are fewer."""
+    shared = asks.sparkSession.sparkContext.broadcast([(r["vec_id"], r["numbers"]) for r in sample])
+    schema = T.StructType([*asks.schema, T.StructField("known", T.DoubleType())])
+
+    def run(batches):
+        for batch in batches:
+            out = np.full(len(batch), -np.inf)
+            ids = batch.column("vec_id").to_numpy()
+            for at, matrix in matrices(batch.column("numbers")):
+                same = [(i, v) for i, v in shared.value if len(v) == matrix.shape[1]]
+                if len(same) <= k or not matrix.shape[1]:
+                    continue
+                theirs, vectors = np.array([i for i, _ in same]), np.array([v for _, v in same])
+                # Beyond 2**52 scores are not whole in doubles, so nothing is known beforehand.
+                if np.abs(matrix).max() * np.abs(vectors).max() * matrix.shape[1] >= 2.0**52:
+                    continue
+                for start in range(0, len(at), 256):
+                    rows = at[start: start + 256]
+                    scores = matrix[start: start + 256] @ vectors.T
+                    scores[ids[rows][:, None] == theirs[None, :]] = -np.inf
+                    out[rows] = np.partition(scores, -k, axis=1)[:, -k]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], schema.names)
+
+    return asks.mapInArrow(run, schema)
+
+
 def _exact_scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Inner products in Python's whole numbers, for components too large for doubles."""
     left = np.array([[int(x) for x in q] for q in queries], object)
@@ -73,11 +104,32 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, ~scores))[:k]
 
 
+def spread_pivots(sample: list[list[float]], count: int) -> list[list[float]]:
+    """``count`` vectors of the sample over all lengths, each as far as possible from those chosen before it."""
+    by_length: dict[int, list[list[float]]] = {}
+    for vector in sample:
+        by_length.setdefault(len(vector), []).append(vector)
+    chosen = []
+    for length, vectors in sorted(by_length.items()):
+        matrix = np.array(vectors, np.float64).reshape(len(vectors), length)
+        share = max(1, round(count * len(vectors) / len(sample)))
+        far = np.full(len(matrix), np.inf)
+        at = 0
+        for _ in range(min(share, len(matrix))):
+            chosen.append(matrix[at].tolist())
+            far = np.minimum(far, np.sqrt(((matrix - matrix[at]) ** 2).sum(axis=1)))
+            at = int(far.argmax())
+            if far[at] == 0:
+                break
+    return chosen
+
+
 def search_block(queries: pd.DataFrame, rows: pd.DataFrame, params: TopKParams) -> pd.DataFrame:
     """The best k of ``rows`` for each of ``queries``; all vectors have one length."""
     q, c = (np.stack(f["numbers"].to_numpy()).astype(np.float64) for f in (queries, rows))
     q_far, c_far = (np.stack(f["distances"].to_numpy()).astype(np.float64) for f in (queries, rows))
     q_id, c_id = queries["vec_id"].to_numpy(), rows["vec_id"].to_numpy()
+    known = queries["known"].to_numpy().astype(np.float64)
     largest = np.abs(q).max(initial=0) * np.abs(c).max(initial=0) * max(1, q.shape[1])
     whole = largest < 2.0**52
     q_len, c_len = (q * q).sum(axis=1), (c * c).sum(axis=1)
@@ -98,9 +150,10 @@ def search_block(queries: pd.DataFrame, rows: pd.DataFrame, params: TopKParams)
         limit = (q_len[part][:, None] + c_len[None, :] - near * near) / 2
         # Roundings of the distances are far below this.
         limit += 1e-9 * (q_len[part][:, None] + c_len[None, :]) + 0.5
-        order = np.argsort(-limit, axis=1)
         for i in range(part.start, part.stop):
-            places, bound = order[i - at], limit[i - at]
+            bound = limit[i - at]
+            places = np.flatnonzero(bound >= known[i])
+            places = places[np.argsort(-bound[places])]
             ids, scores = np.zeros(0, c_id.dtype), np.zeros(0, np.int64)
             for first in range(0, len(places), params.step):
                 if len(ids) == params.k and bound[places[first]] < scores[-1]:
@@ -115,7 +168,7 @@ def search_block(queries: pd.DataFrame, rows: pd.DataFrame, params: TopKParams)
     which = np.concatenate([f[0] for f in found]).astype(np.int64)
     return pd.DataFrame({
         "row": queries["row"].to_numpy()[which], "query_id": q_id[which],
-        "vec_id": np.concatenate([f[1] for f in found]), "score": np.concatenate([f[2] for f in found])})
+        "vec_id": np.concatenate([f[1] for f in found]), "score": np.concatenate([f[2] for f in found]).astype(np.int64)})
 
 
 RESULT = "row bigint, query_id bigint, vec_id bigint, score bigint"
@@ -128,7 +181,8 @@ def top_k(table: DataFrame, is_query: Column, params: TopKParams = TopKParams(),
         F.transform(table[vector], lambda x: _floor(x, params.scale)).alias("numbers"),
         F.coalesce(is_query, F.lit(False)).alias("asks"))
     stored = pin(numbers, "numbers")
-    pivots = [r["numbers"] for r in stored.orderBy(F.xxhash64("vec_id", "numbers")).limit(params.pivots).collect()]
+    drawn = stored.orderBy(F.xxhash64("vec_id", "numbers")).limit(params.sample).select("vec_id", "numbers").collect()
+    pivots = spread_pivots([r["numbers"] for r in drawn], params.pivots)
     counts = stored.agg(F.count("*").alias("rows"), F.count_if("asks").alias("asks")).first()
     row_blocks = max(1, -(-counts["rows"] // params.rows))
     query_blocks = max(1, -(-counts["asks"] // params.queries))
@@ -139,7 +193,7 @@ def top_k(table: DataFrame, is_query: Column, params: TopKParams = TopKParams(),
     query_block = F.pmod(F.xxhash64("row"), F.lit(query_blocks)).cast("int")
     columns = ["vec_id", "row", "numbers", "distances", "length"]
     rows = known.select(*columns, row_block.alias("row_block"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("query_block"))
-    asks = known.filter("asks").select(*columns, query_block.alias("query_block"), F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).alias("row_block"))
+    asks = known_scores(known.filter("asks"), drawn, params.k).select(*columns, "known", query_block.alias("query_block"), F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).alias("row_block"))
     keys = ["query_block", "row_block", "length"]
 
     def meet(queries, candidates):
@@ -158,8 +212,7 @@ def top_k(table: DataFrame, is_query: Column, params: TopKParams = TopKParams(),
 def _floor(x: Column, scale: int) -> Column:
     """floor(scale * x) as a double, also where it exceeds a long."""
     scaled = x.cast("double") * F.lit(float(scale))
-    whole = scaled - F.pmod(scaled, F.lit(1.0))
-    return F.when(F.abs(scaled) < 2.0**52, whole).otherwise(scaled)
+    return F.when(F.abs(scaled) < 2.0**52, F.floor(scaled).cast("double")).otherwise(scaled)
 
 
 def _no_score(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:

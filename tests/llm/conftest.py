@@ -20,4 +20,5 @@ def documents(spark, texts, first=0, extra=False):
 
 
 LONG = "The quick brown fox, jumps over it. " * 3_000
-ODD = [None, "", " ", "\n\n", "...", "x", "Ünïcode ▁ ﬁ́ 日本語 \U0001F600\x1c", "a  b   c", LONG, "same text here", "same text here"]
+ODD = [None, "", " ", "\n\n", "...", "x", "Ünïcode ▁ ﬁ́ 日本語 \U0001F600\x1c", "a  b   c", LONG, "same text here", "same text here",
+       "❤️ ⚠️", "\u0301\u0302", "\u200d1️⃣"]

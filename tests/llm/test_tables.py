@@ -7,6 +7,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from compare import normal
 from conftest import CHECK
@@ -116,9 +117,35 @@ def test_forest_links_are_those_of_brute_force(spark):
     assert forest.near_duplicates(vectors(spark, [])).count() == 0
 
 
-def test_top_k_is_exact(spark):
+def test_pivots_lie_far_apart():
+    near = np.random.default_rng(1).standard_normal((200, 4)) * 0.01
+    corners = 10 * np.eye(4)
+    chosen = topk.spread_pivots([*near.tolist(), *corners.tolist(), [1.0], [2.0]], 6)
+    assert all(c in chosen for c in corners.tolist()) and sum(len(c) == 1 for c in chosen) == 1
+    assert topk.spread_pivots([[1.0, 2.0]] * 9, 4) == [[1.0, 2.0]]
+
+
+def test_blocks_without_a_bound_are_skipped():
+    """Queries that know a score look only at rows whose bound reaches it."""
+    rng = np.random.default_rng(4)
+    centres = 100 * np.eye(6)
+    rows = np.floor(np.repeat(centres, 50, axis=0) + rng.standard_normal((300, 6)))
+    pivots = topk.spread_pivots(rows.tolist(), 8)
+    far = np.array([[np.linalg.norm(r - p) for p in pivots] for r in rows])
+    frame = pd.DataFrame({"vec_id": np.arange(300), "row": np.arange(300), "numbers": list(rows), "distances": list(far)})
+    queries = frame.iloc[::50].assign(known=9_500.0)
+    here, elsewhere = frame.iloc[:50], frame.iloc[50:100]
+    found = topk.search_block(queries.iloc[:1], here, topk.TopKParams())
+    assert len(found) == 5 and (found["score"] >= 9_500).all()
+    assert topk.search_block(queries.iloc[:1], elsewhere, topk.TopKParams()).empty
+
+
+@pytest.mark.parametrize("sample", [1, 40, 4096])
+def test_top_k_is_exact(spark, sample):
     rows = odd_vectors(np.random.default_rng(2)) + [(4000, [3e38] * 16, 1), (4050, [-3e38] * 16, 1)]
-    params = topk.TopKParams(rows=64, queries=8, together=3, step=10, pivots=6)
+    # Just below nil the floor is -1.
+    rows += [(4100, [1.0] * 3, 1), (4101, [-1e-20, 1.0, 1e-20], 1), (4102, [-0.0, 1.0, -1.0], 1)]
+    params = topk.TopKParams(rows=64, queries=8, together=3, step=10, pivots=6, sample=sample)
     got = topk.top_k(vectors(spark, rows, extra=True), F.col("vec_id") % 50 == 0, params).collect()
     good = [(i, [int(np.floor(256.0 * float(x))) for x in v]) for i, v, _ in rows if v is not None and None not in v and np.isfinite(v).all()]
     wanted = []

@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import time
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +13,7 @@ from conftest import CHECK
 from pyspark.sql import functions as F
 
 from orderlens.llm import langid, secrets, simhash, toxicity
-from orderlens.llm.automaton import compile_patterns
+from orderlens.llm.automaton import compile_backwards, compile_patterns
 from orderlens.llm.components import components
 from orderlens.llm.queries import QUERIES, table
 
@@ -25,6 +27,72 @@ def test_language_of_held_out_documents(spark):
     assert np.mean([r.lang == r.lang_pred for r in held]) > 0.97
 
 
+def slow_prediction(text, grams, orders):
+    """Language and score by plain sets of n-grams; the first of the best by name."""
+    letters = "".join(c.lower() if len(c.lower()) == 1 else c for c in text or "")
+    kind = [unicodedata.category(c)[0] for c in text or ""]
+    if "L" not in kind:
+        return "und", 0.0
+    padded = ["", *[c if k in "LM" else "" for c, k in zip(letters, kind)], ""]
+    own = []
+    for order in orders:
+        for i in range(len(padded) - order + 1):
+            part = padded[i: i + order]
+            if all(part[1:-1]) and (part[0] or part[-1]):
+                own.append((order, *part))
+    held = {name: sum(g in known for g in own) for name, known in sorted(grams.items())}
+    best = max(held, key=held.get)
+    return best, held[best] / max(1, len(own))
+
+
+def test_predictions_are_those_of_exact_sets(spark):
+    """The filters against sets of the same n-grams, made in plain Python."""
+    stored = table(spark, CHECK, "documents").filter("doc_id < 400").collect()
+    texts = [r.text for r in stored] + ODD
+    params = langid.LanguageModelParams(min_count=1, min_share=0.0, sample_per_language=10**6, grams_per_language=10**6)
+    docs = spark.createDataFrame([(i, t, None if i >= len(stored) else stored[i].lang) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string")
+    model = langid.learn(docs, F.lit(True), params)
+    rows = {r.doc_id: r for r in langid.predict(docs, model).collect()}
+    grams = {}
+    for r in stored:
+        if r.lang is not None and r.text is not None:
+            letters = "".join(c.lower() if len(c.lower()) == 1 else c for c in r.text)
+            padded = ["", *[c if unicodedata.category(o)[0] in "LM" else "" for c, o in zip(letters, r.text)], ""]
+            for order in params.orders:
+                for i in range(len(padded) - order + 1):
+                    part = padded[i: i + order]
+                    if all(part[1:-1]) and (part[0] or part[-1]):
+                        grams.setdefault(r.lang, set()).add((order, *part))
+    differ = 0
+    for i, text in enumerate(texts):
+        lang, score = slow_prediction(text, grams, params.orders)
+        assert (rows[i].lang_pred == "und") == (lang == "und")
+        assert rows[i].score == pytest.approx(score, abs=0.03)
+        differ += rows[i].lang_pred != lang
+    # Only texts that two languages hold to the same share may come out differently.
+    assert differ <= 0.01 * len(texts)
+
+
+def test_copies_are_drawn_one_by_one(spark):
+    docs = spark.createDataFrame([(i, "the same words again", "en") for i in range(4000)] + [(None, "the same words again", "en")] * 4000,
+                                 "doc_id long, text string, lang string")
+    seen = []
+    wanted = langid.LanguageModelParams(sample_per_language=800, min_count=1)
+    real = langid._count_grams
+
+    def count(sample, orders):
+        seen.append(sample.count())
+        return real(sample, orders)
+
+    langid._count_grams, old = count, langid._count_grams
+    try:
+        langid.learn(docs, F.lit(True), wanted)
+    finally:
+        langid._count_grams = old
+    assert 600 < seen[0] < 1000
+
+
 def test_language_filter_counts_are_those_of_sets():
     rng = np.random.default_rng(5)
     grams = {n: rng.integers(0, 1 << 62, 3_000) for n in ("a", "b", "c")}
@@ -123,6 +191,38 @@ def test_secrets_are_those_of_the_regexes():
             assert [s for s in spans if s[0] in base] == by_regex(text)
 
 
+@pytest.mark.parametrize("part", ["eyJ", "eyJa.", "password", "token ", "-----BEGIN ", "ghp_", "a1", "AKIA", "xoxb-"])
+def test_long_runs_are_read_in_steps_that_grow_with_them(part):
+    scan = secrets.scanner()
+    short, long = (pa.array([part * (n // len(part)) + " secret=abcdefgh"]) for n in (1 << 17, 1 << 20))
+    times = []
+    for texts in (short, short, long):
+        began = time.perf_counter()
+        spans = secrets.spans_of(texts, scan)[0]
+        times.append(time.perf_counter() - began)
+    base = {r.kind for r in secrets.BASE_RULES}
+    assert [s for s in spans if s[0] in base] == by_regex(texts[0].as_py())
+    assert times[2] < 8 * 4 * max(times[1], 0.01)
+
+
+def test_match_starts_are_those_of_all_runs():
+    rng = random.Random(12)
+    for rule in secrets.RULES:
+        forwards, backwards = compile_patterns([rule.pattern], anywhere=False), compile_backwards(rule.pattern)
+        for _ in range(60):
+            raw = "".join(rng.choice(["eyJ", "a", ".", "token", "=", " ", "'", "AKIA", "B", "0", "ghp_", "xoxb-", "-----BEGIN ", "PRIVATE KEY-----"])
+                          for _ in range(30)).encode()
+            starts = []
+            for i in range(len(raw)):
+                state = 0
+                for byte in raw[i:]:
+                    state = int(forwards.table[state, forwards.classes[byte]])
+                    if state >= forwards.first_final:
+                        starts.append(i)
+                        break
+            assert secrets.match_starts(backwards.classes[np.frombuffer(raw, np.uint8)].tolist(), backwards) == starts
+
+
 def test_the_method_adds_spans_and_redaction_hides_them(spark):
     text = "see ghp_" + "Ab1" * 12 + ", -----BEGIN PRIVATE KEY----- and token: abcdef. end"
     docs = documents(spark, [text, None, "", "clean text", LONG], extra=True)
