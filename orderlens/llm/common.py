@@ -52,6 +52,44 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             start = end
 
 
+def stretches(data: np.ndarray, places: Callable[[np.ndarray], np.ndarray], limit: int = 0) -> Iterator[tuple[int, int]]:
+    """Starts and ends of stretches of about ``limit`` bytes of one long text.
+
+    ``places`` gives the indexes of a window before which the text may be cut, 0 never among them. Where
+    there is none for a while, the stretch is longer.
+    """
+    limit = limit or SLICE_BYTES
+    at = 0
+    while len(data) - at > limit:
+        found = places(data[at + limit // 2: at + limit])
+        end = at + limit // 2 + int(found[-1]) if len(found) else len(data)
+        look = at + limit - 1
+        while not len(found) and look < len(data):
+            found = places(data[look: look + limit])
+            end = look + int(found[0]) if len(found) else len(data)
+            look += limit - 1
+        yield at, end
+        at = end
+    if at < len(data) or not len(data):
+        yield at, len(data)
+
+
+def after_space(window: np.ndarray) -> np.ndarray:
+    """Places after white space."""
+    before = window[:-1]
+    return np.flatnonzero((before == 32) | ((before >= 9) & (before <= 13))) + 1
+
+
+def long_pieces(column: pa.Array, places: Callable[[np.ndarray], np.ndarray]) -> Iterator[pa.Array]:
+    """A slice's texts, or the stretches of its only one, a column of one row each."""
+    offsets, data = text_offsets(column)
+    if len(column) != 1 or len(data) <= SLICE_BYTES:
+        yield column
+        return
+    for start, end in stretches(data, places):
+        yield pa.array([data[start:end].tobytes()], pa.large_binary())
+
+
 def free_name(name: str, *frames: DataFrame) -> str:
     """``name``, lengthened until no column of the frames is called so, in either case."""
     taken = {c.lower() for df in frames for c in df.columns}

@@ -7,8 +7,10 @@ make up for that. All pairs within a leaf are compared by cosine in doubles; a p
 several leaves counts in the first one they share. A leaf too large for one task is cut into blocks,
 every two of which meet in a task.
 
-The trees are fitted on a bounded sample (``sample`` vectors over all labels); every vector is indexed. Of a leaf's links
-only each vector's number of them and a spanning forest leave the task.
+The trees are fitted on a bounded sample (``sample`` vectors over all labels); every vector is indexed. A label
+that is no larger than a leaf, or of which fewer than two vectors are drawn, has no tree: all of it is one leaf,
+cut into blocks by its counted size. So the trees are bounded by the sample, however many labels there are. Of a
+leaf's links only each vector's number of them and a spanning forest leave the task.
 
 Defined results: a row whose label, id or vector is null, whose vector is zero or has a component
 that is null or not finite, links with nothing (its component is its own id). Repeated rows are equal
@@ -69,14 +71,14 @@ def margin(dims: int, params: ForestParams) -> float:
 
 
 class Forest:
-    """Trees per (label, length); leaves are numbered over all of them."""
+    """Trees per (label, length); leaves are numbered from 1 over all of them, 0 is a whole label."""
 
     def __init__(self, params: ForestParams):
-        self.params, self.trees, self.leaves = params, {}, 0
+        self.params, self.trees, self.leaves = params, {}, 1
 
     def fit(self, key: tuple[int, int], sample: np.ndarray, total: int) -> None:
         random = np.random.default_rng([self.params.seed, key[0] % 2**32, key[1]])
-        weight = total / max(1, len(sample))
+        weight = total / len(sample)
         self.trees[key] = [self._grow(sample, weight, random, 0) for _ in range(self.params.trees)]
 
     def _grow(self, sample: np.ndarray, weight: float, random, depth: int) -> Node:
@@ -98,11 +100,13 @@ class Forest:
         self.leaves += 1
         return Node(leaf=self.leaves - 1, blocks=max(1, int(np.ceil(1.2 * expected / p.block))))
 
-    def leaves_of(self, key: tuple[int, int], vectors: np.ndarray) -> list[tuple[Node, np.ndarray]]:
-        """Each leaf that some vector goes to, with the rows of those vectors."""
+    def leaves_of(self, key: tuple[int, int], vectors: np.ndarray, size: int) -> list[tuple[Node, np.ndarray]]:
+        """Each leaf that some vector goes to, with the rows of those vectors; the label has ``size`` vectors."""
+        if key not in self.trees:
+            return [(Node(leaf=0, blocks=-(-size // self.params.block)), np.arange(len(vectors)))]
         found = []
         wide = margin(vectors.shape[1], self.params)
-        todo = [(tree, np.arange(len(vectors))) for tree in self.trees.get(key, [])]
+        todo = [(tree, np.arange(len(vectors))) for tree in self.trees[key]]
         while todo:
             node, rows = todo.pop()
             if not len(rows):
@@ -116,41 +120,45 @@ class Forest:
         return found
 
 
+def with_sizes(vectors: DataFrame) -> DataFrame:
+    """``vectors`` with ``dims`` and ``size``, the number of vectors of their label and length."""
+    measured = vectors.withColumn("dims", F.size("vector"))
+    sizes = pin(measured.groupBy("label", "dims").agg(F.count("*").alias("size")), "label-sizes")
+    return measured.join(sizes, ["label", "dims"])
+
+
 def grow_forest(vectors: DataFrame, params: ForestParams) -> Forest:
-    """Forest over ``vectors`` (rep, label, vector), fitted on a sample drawn by a hash of the id."""
-    sizes = {
-        (r["label"], r["dims"]): r["count"]
-        for r in vectors.groupBy("label", F.size("vector").alias("dims")).count().collect()
-    }
-    total = sum(sizes.values())
-    drawn = vectors.filter(share_hash("rep") <= min(1.0, params.sample / max(1, total))).orderBy("rep")
+    """Forest over ``vectors`` (rep, label, vector, size), fitted on a sample drawn by a hash of the id."""
+    total = vectors.count()
+    drawn = vectors.filter(share_hash("rep") <= min(1.0, params.sample / max(1, total))).filter(
+        F.col("size") > params.leaf).orderBy("rep")
     forest = Forest(params)
-    rows: dict[tuple[int, int], list] = {key: [] for key in sorted(sizes)}
-    for r in drawn.select("label", "vector").collect():
-        rows[r["label"], len(r["vector"])].append(r["vector"])
-    for key, sample in rows.items():
-        matrix = unit(np.array(sample, np.float64)) if sample else np.zeros((0, key[1]))
-        forest.fit(key, matrix, sizes[key])
+    rows: dict[tuple[int, int], list] = {}
+    sizes = {}
+    for r in drawn.select("label", "size", "vector").collect():
+        rows.setdefault((r["label"], len(r["vector"])), []).append(r["vector"])
+        sizes[r["label"], len(r["vector"])] = r["size"]
+    for key, sample in sorted(rows.items()):
+        if len(sample) >= 2:
+            forest.fit(key, unit(np.array(sample, np.float64)), sizes[key])
     return forest
 
 
 def _spread(vectors: DataFrame, forest: Forest) -> DataFrame:
     """A row per task in which a vector is compared: leaf, the two blocks that meet there, its own block."""
     shared = vectors.sparkSession.sparkContext.broadcast(forest)
-    names = ["leaf", "first", "second", "block", "rep", "copies", "vector", "leaves"]
+    names = ["label", "dims", "leaf", "first", "second", "block", "rep", "copies", "vector", "leaves"]
 
     def run(batches):
         grown = shared.value
         for batch in batches:
             labels = batch.column("label").to_numpy()
-            reps, copies = batch.column("rep").to_numpy(), batch.column("copies").to_numpy()
+            reps, copies, sizes = (batch.column(c).to_numpy() for c in ("rep", "copies", "size"))
             for at, matrix in matrices(batch.column("vector")):
                 for label in np.unique(labels[at]):
                     own = labels[at] == label
                     rows, vectors_ = at[own], unit(matrix[own])
-                    met = grown.leaves_of((int(label), matrix.shape[1]), vectors_)
-                    if not met:
-                        continue
+                    met = grown.leaves_of((int(label), matrix.shape[1]), vectors_, int(sizes[rows[0]]))
                     pairs = np.concatenate([np.column_stack([r, np.full(len(r), n.leaf)]) for n, r in met])
                     pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
                     starts = np.searchsorted(pairs[:, 0], np.arange(len(rows) + 1))
@@ -164,14 +172,15 @@ def _spread(vectors: DataFrame, forest: Forest) -> DataFrame:
                         for other in range(node.blocks):
                             n = len(members)
                             yield pa.RecordBatch.from_arrays([
+                                pa.array(np.full(n, label, np.int64)), pa.array(np.full(n, matrix.shape[1], np.int32)),
                                 pa.array(np.full(n, node.leaf, np.int32)),
                                 pa.array(np.minimum(block, other).astype(np.int32)),
                                 pa.array(np.maximum(block, other).astype(np.int32)),
                                 pa.array(block), pa.array(reps[rows[members]]), pa.array(copies[rows[members]]),
                                 lists(matrix[own][members], np.float64), leaves], names)
 
-    return vectors.select("rep", "copies", "label", "vector").mapInArrow(
-        run, "leaf int, first int, second int, block int, rep bigint, copies bigint, vector array<double>, leaves array<int>")
+    return vectors.select("rep", "copies", "label", "size", "vector").mapInArrow(
+        run, "label bigint, dims int, leaf int, first int, second int, block int, rep bigint, copies bigint, vector array<double>, leaves array<int>")
 
 
 def _first_shared(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -225,13 +234,14 @@ def near_duplicates(
         marked.groupBy("label", "mark1", "mark2").agg(
             F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("vector").alias("vector")),
         "vectors")
-    forest = grow_forest(distinct, params)
+    sized = with_sizes(distinct)
+    forest = grow_forest(sized, params)
 
     def compare(key_, part):
-        return compare_leaf(int(key_[0]), part, params.similarity)
+        return compare_leaf(int(key_[2]), part, params.similarity)
 
     found = pin(
-        _spread(distinct, forest).groupBy("leaf", "first", "second").applyInPandas(
+        _spread(sized, forest).groupBy("label", "dims", "leaf", "first", "second").applyInPandas(
             compare, "rep bigint, links bigint, root bigint"),
         "leaf-links")
     counts = found.groupBy(F.col("rep").alias("counted")).agg(F.sum("links").alias("links"))

@@ -13,7 +13,9 @@ whole texts.
 
 Nulls: rows with a null language teach nothing; a null text, or one without a letter, is ``und``
 with score 0, and so is every text if nothing was learned. A text whose n-grams no language holds
-gets the first of the best languages by name, with score 0. Ties go to the smaller name. Repeated
+gets the first of the best languages by name, with score 0. Ties go to the smaller name. A long text is
+read in stretches of a megabyte that no n-gram crosses, so memory does not grow with it. An empty table gives an
+empty one. Repeated
 rows stay, extra columns are carried, and input columns named like an output column are replaced.
 """
 
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens.llm.common import append_columns, mix, slices, text_offsets, texts_of
+from orderlens.llm.common import append_columns, long_pieces, mix, slices, text_offsets, texts_of
 
 UNDECIDED = "und"
 
@@ -98,6 +100,12 @@ def letter_grams(column: pa.Array, orders: tuple[int, ...]) -> tuple[np.ndarray,
     return np.concatenate(hashes), np.concatenate(owners), with_letter
 
 
+def after_no_letter(window: np.ndarray) -> np.ndarray:
+    """Places after an ASCII byte that is no letter: no n-gram reaches across."""
+    before = window[:-1] | 32
+    return np.flatnonzero((window[:-1] < 128) & ((before < ord("a")) | (before > ord("z")))) + 1
+
+
 @dataclass
 class LanguageFilter:
     """Bit slices: words[w, p] holds the bits of languages 64*w ... at position p."""
@@ -127,8 +135,12 @@ class LanguageFilter:
         mask = np.uint64(self.words.shape[1] - 1)
         return [((hashes >> np.uint64(21 * k)) & mask).astype(np.int64) for k in range(self.probes)]
 
-    def counts(self, hashes: np.ndarray, rows: np.ndarray, n_rows: int) -> np.ndarray:
-        """Per row and language, n-grams held, less the false positives expected among the rest."""
+    def counts(self, hashes: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
+        """Per row and language, n-grams held, less the false positives expected among the rest; and all n-grams."""
+        return self.corrected(*self.found(hashes, rows, n_rows))
+
+    def found(self, hashes: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
+        """Per row and language the n-grams that the filter holds, and all n-grams of the row."""
         places = self.positions(hashes)
         total = np.bincount(rows, minlength=n_rows).astype(float)
         held = np.zeros((n_rows, len(self.languages)))
@@ -139,6 +151,9 @@ class LanguageFilter:
             for i in range(64 * w, min(len(self.languages), 64 * w + 64)):
                 bit = (masks >> np.uint64(i % 64)) & np.uint64(1)
                 held[:, i] = np.bincount(rows, weights=bit, minlength=n_rows)
+        return held, total
+
+    def corrected(self, held: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         false = np.minimum(self.false_rate, 0.999)
         return np.clip((held - total[:, None] * false) / (1 - false), 0, None), total
 
@@ -147,15 +162,15 @@ def _count_grams(texts: DataFrame, orders: tuple[int, ...]) -> DataFrame:
     """n-grams per language and slice of rows; equal ones are added up before the shuffle."""
     def run(batches):
         for part in slices(batches, "text"):
-            names = part.column("lang")
-            hashes, rows, _ = letter_grams(part.column("text"), orders)
-            kinds = names.dictionary_encode()
-            codes = kinds.indices.to_numpy()[rows]
-            for code, name in enumerate(kinds.dictionary.to_pylist()):
-                grams, counts = np.unique(hashes[codes == code], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(counts)],
-                    ["lang", "gram", "n"])
+            kinds = part.column("lang").dictionary_encode()
+            for piece in long_pieces(part.column("text"), after_no_letter):
+                hashes, rows, _ = letter_grams(piece, orders)
+                codes = kinds.indices.to_numpy()[rows]
+                for code, name in enumerate(kinds.dictionary.to_pylist()):
+                    grams, counts = np.unique(hashes[codes == code], return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([name] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(counts)],
+                        ["lang", "gram", "n"])
 
     counted = texts.select("lang", "text").mapInArrow(run, "lang string, gram bigint, n bigint")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -210,16 +225,21 @@ def predict(
         names = np.array(known.languages + [UNDECIDED], object)
 
         def made(part: pa.RecordBatch) -> list[pa.Array]:
-            hashes, rows, with_letter = letter_grams(texts_of(part), known.orders)
+            held, total = np.zeros((len(part), len(known.languages))), np.zeros(len(part))
+            with_letter = np.zeros(len(part), bool)
+            for piece in long_pieces(texts_of(part), after_no_letter):
+                hashes, rows, letters = letter_grams(piece, known.orders)
+                held_, total_ = known.found(hashes, rows, len(part))
+                held, total, with_letter = held + held_, total + total_, with_letter | letters
             if not known.languages:
                 best, score = np.zeros(len(part), int), np.zeros(len(part))
             else:
-                held, total = known.counts(hashes, rows, len(part))
+                held, total = known.corrected(held, total)
                 best = np.argmax(held, axis=1)
                 score = np.clip(held[np.arange(len(part)), best] / np.maximum(total, 1), 0, 1)
             best = np.where(with_letter, best, len(known.languages))
             out = [pa.array(names[best], pa.string()), pa.array(np.where(with_letter, score, 0.0))]
-            return out + [pa.array(np.bincount(rows, minlength=len(part)))] * grams
+            return out + [pa.array(total.astype(np.int64))] * grams
 
         return made
 

@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import without
+from orderlens.llm.common import free_name, without
 from orderlens.session import pin
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -176,13 +176,13 @@ def training_time(demand: Column, place: Column, schedules=SCHEDULES) -> Column:
 STEP = ("copies", "middle", "source_size", "target", "place")
 
 
-def copies(rows: DataFrame, step: str, schedules=SCHEDULES) -> DataFrame:
-    """One row per copy that a row's plan, the struct ``step``, takes: its epoch ``copy__`` and ``position``."""
+def copies(rows: DataFrame, step: str, schedules=SCHEDULES, copy: str = "copy") -> DataFrame:
+    """One row per copy that a row's plan, the struct ``step``, takes: its epoch ``copy`` and ``position``."""
     of = F.col(step)
-    kept = without(rows, ["position"])
+    kept = without(rows, ["position", copy])
     epochs = F.sequence(F.lit(0), of["copies"].cast("int") - 1)
-    copied = kept.filter(of["copies"] > 0).select(*kept.columns, F.explode(epochs).alias("copy__"))
-    demand = F.try_divide(of["middle"] + F.col("copy__") * of["source_size"], of["target"])
+    copied = kept.filter(of["copies"] > 0).select(*kept.columns, F.explode(epochs).alias(copy))
+    demand = F.try_divide(of["middle"] + F.col(copy) * of["source_size"], of["target"])
     return copied.withColumn("position", training_time(demand, of["place"], schedules))
 
 
@@ -202,11 +202,13 @@ def mix(
     """
     sizes = pin(measured(docs, key, text, source), "mix-sizes")
     planned = plan(sizes, weights, share, most, schedules).filter("copies > 0")
-    steps = planned.select(F.col("doc_id").alias("key__"), F.col("row").alias("plan__"), F.struct(*STEP).alias("step__"))
+    own, plan_key, plan_row, step, copy = (
+        free_name(n, docs) for n in ("own_row", "plan_key", "plan_row", "plan_step", "plan_copy"))
+    steps = planned.select(F.col("doc_id").alias(plan_key), F.col("row").alias(plan_row), F.struct(*STEP).alias(step))
     kept = [c for c in docs.columns if c.lower() != "position"]
-    rows = docs.withColumn("row__", row_hash(docs))
+    rows = docs.withColumn(own, row_hash(docs))
     if not sizes.groupBy("doc_id", "row").count().filter("count > 1").isEmpty():
-        rows = rows.dropDuplicates([key, "row__"])
-    joined = rows.join(steps, rows[key].eqNullSafe(F.col("key__")) & (rows["row__"] == F.col("plan__")))
-    copied = copies(joined.select(*[rows[c] for c in kept], "step__"), "step__", schedules)
+        rows = rows.dropDuplicates([key, own])
+    joined = rows.join(steps, rows[key].eqNullSafe(steps[plan_key]) & (rows[own] == steps[plan_row]))
+    copied = copies(joined.select(*[rows[c] for c in kept], step), step, schedules, copy)
     return in_training_order(copied.select(*kept, "position"), key)

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from orderlens.llm.common import append_columns, mix, powers, texts_of
+from orderlens.llm.common import SLICE_BYTES, append_columns, long_pieces, mix, powers, text_offsets, texts_of
 from orderlens.llm.word_ids import WordIds, gathered, in_order, per_row
 
 MARK = "▁"
@@ -190,6 +190,11 @@ def normalise(text: str) -> str:
     return MARK + text.replace(" ", MARK)
 
 
+def before_spaces(window: np.ndarray) -> np.ndarray:
+    """Places before a run of spaces, where a word begins."""
+    return np.flatnonzero((window[1:] == 32) & (window[:-1] != 32)) + 1
+
+
 def cut(data: np.ndarray, offsets: np.ndarray, breaks: bool) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words of texts, each a run of spaces and what follows it.
 
@@ -226,22 +231,46 @@ def encode_rows(column: pa.Array, model_path: str) -> tuple[np.ndarray, np.ndarr
     known, breaks, _ = word_ids(model_path)
     texts = [t.replace(MARK.encode(), b" ") for t in pc.fill_null(column.cast(pa.large_binary()), b"").to_pylist()]
     # The model puts a space before each text that is not empty.
-    marked = [b" " + t if t else t for t in texts]
-    data = np.frombuffer(b"".join(marked), np.uint8)
-    offsets = np.concatenate([[0], np.cumsum([len(t) for t in marked])]).astype(np.int64)
-    starts, ends = cut(data, offsets, breaks)
-    ids, sizes = known(data, starts, ends)
-    return ids, per_row(sizes, starts, offsets), [zlib.crc32(t) for t in texts]
-
-
-def decode_rows(ids: np.ndarray, counts: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of all rows one after another, without the spaces the model puts first, and their offsets."""
+    marked = pa.array([b" " + t if t else t for t in texts], pa.large_binary())
+    ids, counts = [], np.zeros(len(column), np.int64)
+    for piece in long_pieces(marked, before_spaces):
+        offsets, data = text_offsets(piece)
+        starts, ends = cut(data, offsets, breaks)
+        made, sizes = known(data, starts, ends)
+        ids.append(made)
+        counts += per_row(sizes, starts, offsets)
+    return np.concatenate(ids), counts, [zlib.crc32(t) for t in texts]
+
+
+def decode_rows(
+    ids: np.ndarray, counts: np.ndarray, vocabulary: Vocabulary, first: bool = True,
+) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of all rows one after another, without the spaces the model puts first, and their offsets.
+
+    Without ``first`` the ids are no row's first ones, and no space goes.
+    """
     sizes = vocabulary.sizes[ids]
     data = gathered(vocabulary.flat, vocabulary.places[ids], sizes)
     ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
+    if not first:
+        return data, ends
     return np.delete(data, ends[:-1][counts > 0]), ends - np.concatenate([[0], np.cumsum(counts > 0)])
 
 
+def decoded_digests(ids: np.ndarray, counts: np.ndarray, vocabulary: Vocabulary) -> tuple[list[int], list[int]]:
+    """Code points and crc32 of each row's decoded text; a long row is decoded in runs of its ids."""
+    if len(counts) != 1 or len(ids) <= SLICE_BYTES:
+        data, ends = decode_rows(ids, counts, vocabulary)
+        points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        return np.diff(points[ends]).tolist(), [zlib.crc32(data[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+    chars, crc = 0, 0
+    for at in range(0, len(ids), SLICE_BYTES):
+        part = ids[at: at + SLICE_BYTES]
+        data, _ = decode_rows(part, np.array([len(part)]), vocabulary, first=at == 0)
+        chars, crc = chars + int(np.count_nonzero((data & 0xC0) != 0x80)), zlib.crc32(data, crc)
+    return [chars], [crc]
+
+
 def encode(
     docs: DataFrame, model_path: str, text: str = "text", keep: list[str] | None = None, decoded: bool = False,
 ) -> DataFrame:
@@ -261,9 +290,7 @@ def encode(
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
         out = [crcs]
         if decoded:
-            data, ends = decode_rows(ids, counts, word_ids(model_path)[2])
-            points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-            out += [np.diff(points[ends]), [zlib.crc32(data[a:b]) for a, b in zip(ends[:-1], ends[1:])]]
+            out += decoded_digests(ids, counts, word_ids(model_path)[2])
         nothing = pa.scalar(None, pa.int64())
         return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids), mask=null),
                 *[pc.if_else(null, nothing, pa.array(o, pa.int64())) for o in out]]

@@ -163,7 +163,7 @@ def dealt(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     planned = pin(mixing.plan(sizes), "mix-plan")
     steps = planned.select("doc_id", "source", F.struct(*mixing.STEP).alias("step"))
     order = mixing.in_training_order(mixing.copies(steps, "step"))
-    return planned, pin(order.select("doc_id", "source", "step.middle", F.col("copy__").alias("copy"), "position"), "mix-order")
+    return planned, pin(order.select("doc_id", "source", "step.middle", "copy", "position"), "mix-order")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

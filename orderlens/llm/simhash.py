@@ -17,11 +17,14 @@ they exceed the distance, and takes a whole node when even its free bits could n
 
 Of the links a bucket yields only a spanning forest leaves the task; components are then found over
 all buckets. Rows with a null id get a component like any other (its smallest id that is not null).
-Repeated rows stay; extra columns are carried, columns named like an output column are replaced.
+Repeated rows stay; extra columns are carried, columns named like an output column are replaced. A long text is
+read in stretches of a megabyte, cut at white space. An empty table gives an empty one.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens.llm.common import append_columns, texts_of, without
+from orderlens.llm.common import after_space, append_columns, free_name, stretches, texts_of, without
 from orderlens.llm.components import components
 from orderlens.session import pin
 
@@ -40,28 +43,40 @@ FANOUT, SEARCHES = 16, 4096
 LARGE, FEW_BITS, KINDS = 1 << 16, 21, 1 << 12
 
 
-def fingerprint_of(text: bytes, shingle: int) -> np.ndarray:
-    """XXH64 hashes of all shingles of a text."""
+def shingle_hashes(text: bytes, shingle: int) -> Iterator[np.ndarray]:
+    """XXH64 hashes of all shingles of a text; a long one is read in stretches that share words."""
+    carried, some = [], False
+    for start, end in stretches(np.frombuffer(text, np.uint8), after_space):
+        words = carried + text[start:end].lower().split()
+        if len(words) >= shingle:
+            yield hashes_of_words(words, shingle)
+            some = True
+        carried = words[max(0, len(words) - shingle + 1):]
+    if not some:
+        yield hashes_of_words(carried, len(carried))
+
+
+def hashes_of_words(words: list[bytes], shingle: int) -> np.ndarray:
     from xxhash import xxh64_intdigest
 
-    words = text.lower().split()
     if not words:
         return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    size = min(shingle, len(words))
-    cut = zip(starts[: len(words) - size + 1].tolist(), ends[size - 1:].tolist())
+    cut = zip(starts[: len(words) - shingle + 1].tolist(), ends[shingle - 1:].tolist())
     return np.array([xxh64_intdigest(joined[a:b], SEED) for a, b in cut], np.uint64)
 
 
-def majority_bits(hashes: np.ndarray) -> int:
-    """Bits that over half of the hashes have."""
-    votes = np.zeros(BITS, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        part = hashes[at: at + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)
-        votes += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * votes > len(hashes), bitorder="little").view("<u8")[0])
+def majority_bits(runs: Iterable[np.ndarray]) -> int:
+    """Bits that over half of the hashes of all runs have."""
+    votes, total = np.zeros(BITS, np.int64), 0
+    for hashes in runs:
+        total += len(hashes)
+        for at in range(0, len(hashes), 1 << 16):
+            part = hashes[at: at + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)
+            votes += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * votes > total, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, shingle: int, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -69,7 +84,7 @@ def fingerprints(docs: DataFrame, shingle: int, text: str = "text", keep: list[s
     def work():
         def made(part: pa.RecordBatch) -> list[pa.Array]:
             texts = pc.fill_null(texts_of(part).cast(pa.binary()), b"").to_pylist()
-            marks = np.array([majority_bits(fingerprint_of(t, shingle)) for t in texts], np.uint64)
+            marks = np.array([majority_bits(shingle_hashes(t, shingle)) for t in texts], np.uint64)
             return [pa.array(marks.view(np.int64))]
 
         return made
@@ -295,15 +310,15 @@ def distinct_documents(docs: DataFrame, shingle: int = 3, distance: int = 3, key
     Rows that are equal in every column count as one.
     """
     narrow = docs.select(
-        docs[key].alias("key__"), F.xxhash64(*[docs[c] for c in docs.columns]).alias("row__"), docs[text].alias("text"))
-    marked = pin(fingerprints(narrow, shingle, keep=["key__", "row__"]), "marks")
-    grouped = pin(group(marked, distance, "key__").select("root", "key__", "row__"), "groups")
-    order = F.struct(F.col("key__").isNull(), F.col("key__"), F.col("row__"))
-    kept = grouped.groupBy("root").agg(F.min(order).alias("row")).select("row.key__", "row.row__")
-    rows = docs.withColumn("row__", F.xxhash64(*[docs[c] for c in docs.columns]))
-    chosen = rows.join(
-        kept.withColumnRenamed("row__", "kept__"),
-        rows[key].eqNullSafe(F.col("key__")) & (rows["row__"] == F.col("kept__")), "left_semi")
-    if grouped.groupBy("key__", "row__").count().filter("count > 1").isEmpty():
-        return chosen.drop("row__")
-    return chosen.dropDuplicates([key, "row__"]).drop("row__")
+        docs[key].alias("doc_id"), F.xxhash64(*[docs[c] for c in docs.columns]).alias("row"), docs[text].alias("text"))
+    marked = pin(fingerprints(narrow, shingle, keep=["doc_id", "row"]), "marks")
+    grouped = pin(group(marked, distance).select("root", "doc_id", "row"), "groups")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
+    own, kept_id, kept_row = (free_name(n, docs) for n in ("own_row", "kept_id", "kept_row"))
+    kept = grouped.groupBy("root").agg(F.min(order).alias("one")).select(
+        F.col("one.doc_id").alias(kept_id), F.col("one.row").alias(kept_row))
+    rows = docs.withColumn(own, F.xxhash64(*[docs[c] for c in docs.columns]))
+    chosen = rows.join(kept, rows[key].eqNullSafe(kept[kept_id]) & (rows[own] == kept[kept_row]), "left_semi")
+    if grouped.groupBy("doc_id", "row").count().filter("count > 1").isEmpty():
+        return chosen.drop(own)
+    return chosen.dropDuplicates([key, own]).drop(own)

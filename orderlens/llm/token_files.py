@@ -24,8 +24,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens.llm.common import slices, text_offsets
+from orderlens.llm.common import after_space, long_pieces, slices, text_offsets
 from orderlens.llm.word_ids import WordIds, in_order, per_row
+from orderlens.session import pin
 
 WRITE_OPTIONS = {
     "compression": "zstd",
@@ -115,11 +116,16 @@ def encode_rows(column: pa.Array, known: WordIds) -> tuple[np.ndarray, np.ndarra
     may hold its special tokens, which are told apart by case.
     """
     offsets, data = text_offsets(column)
-    if b"<|" not in data.tobytes():
-        data = _LOWER[data]
-    starts, ends = cut(data, offsets)
-    ids, sizes = known(data, starts, ends)
-    return ids, per_row(sizes, starts, offsets)
+    special = b"<|" in data.tobytes()
+    ids, counts = [], np.zeros(len(column), np.int64)
+    for piece in long_pieces(column, after_space):
+        offsets, data = text_offsets(piece)
+        data = data if special else _LOWER[data]
+        starts, ends = cut(data, offsets)
+        made, sizes = known(data, starts, ends)
+        ids.append(made)
+        counts += per_row(sizes, starts, offsets)
+    return np.concatenate(ids), counts
 
 
 def encode(docs: DataFrame, tokenizer_path: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -168,16 +174,16 @@ def write(encoded: DataFrame, path: str) -> None:
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The stored rows with ``start``, the number of ids of all documents before each.
 
-    One total per chunk is added up over the chunks; that table has a row per written file, which
-    bounds both the window over it and its broadcast.
+    One total per chunk is added up over the chunks; that table has a row per written file. It is stored, so
+    that its size decides whether it is broadcast.
     """
     rows = spark.read.parquet(path)
     upto = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = (
+    chunks = pin(
         rows.groupBy("chunk").agg(F.sum("n_tokens").alias("ids"))
-        .select("chunk", F.coalesce(F.sum("ids").over(upto), F.lit(0)).alias("chunk_start"))
-    )
-    return rows.join(F.broadcast(chunks), "chunk").withColumn("start", F.col("chunk_start") + F.col("before"))
+        .select("chunk", F.coalesce(F.sum("ids").over(upto), F.lit(0)).alias("chunk_start")),
+        "chunks")
+    return rows.join(chunks, "chunk").withColumn("start", F.col("chunk_start") + F.col("before"))
 
 
 def digests(stored: DataFrame) -> DataFrame:

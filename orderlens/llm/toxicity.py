@@ -2,8 +2,10 @@
 
 Logistic regression on the words a text has (hashed, lower case), fitted on labelled rows with a
 penalty on counterfactuals: where a labelled text names an identity, the name is swapped for each
-other name of its kind and the squared change of the text's score is added to the loss. A neutral
-mention then cannot carry weight of its own, however the labels happen to be spread.
+other name of its kind, and left out, and the squared change of the text's score is added to the loss. A neutral
+mention then cannot carry weight of its own, however the labels happen to be spread. Corpora may name few
+identities or none, so names are also put into a share of the sampled texts (``planted``), one of each kind drawn
+by the text's words: those texts keep their labels, learn as any other, and are swapped likewise.
 
 The fit takes a bounded sample: at most ``sample_per_class`` labelled rows of each class, drawn by
 a hash of the id, and the ``words`` most telling words, besides the identity terms. Both bound what
@@ -12,7 +14,8 @@ texts.
 
 Nulls: rows without label, id or text teach nothing; a null text scores as an empty one, which gets
 the bias alone. An id with several labels counts as toxic if one of them is. With no label, or one
-class only, every score is that class's share (0.0 without any). Repeated rows stay, extra columns
+class only, every score is that class's share (0.0 without any). A long text is read in stretches of a
+megabyte, cut at white space. An empty table gives an empty one. Repeated rows stay, extra columns
 are carried, input columns named like an output column are replaced.
 """
 
@@ -26,7 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens.llm.common import append_columns, share_hash, slices, span_hashes, text_offsets, texts_of
+from orderlens.llm.common import (
+    after_space, append_columns, long_pieces, mix, share_hash, slices, span_hashes, text_offsets, texts_of)
 
 # Identity terms by kind; a term is swapped for the others of its kind.
 IDENTITY_TERMS = (
@@ -51,6 +55,8 @@ class ToxicityParams:
     min_surprise: float = 5.0
     shrink: float = 0.002
     counterfactual: float = 1.0
+    #: Share of the sampled texts into which a name of a kind is put, for each kind.
+    planted: float = 0.25
     steps: int = 400
     identities: tuple[tuple[str, ...], ...] = IDENTITY_TERMS
 
@@ -84,6 +90,15 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return span_hashes(chars, starts, ends), rows
 
 
+def distinct(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's words once, in order."""
+    order = np.lexsort((hashes, rows))
+    hashes, rows = hashes[order], rows[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1])
+    return hashes[new], rows[new]
+
+
 def hashes_of(words: list[str]) -> np.ndarray:
     hashes, rows = word_hashes(pa.array(words, pa.string()))
     assert len(hashes) == len(words), "identity terms are single words"
@@ -101,7 +116,8 @@ def fit_weights(
     """Minimise weighted log loss + shrink * |w|^2 + counterfactual * mean squared score change.
 
     ``cells`` and ``columns`` are the rows and words of the non-zero cells; ``swaps`` the row, the
-    word that goes and the word that comes of each counterfactual. Accelerated gradient steps.
+    word that goes and the word that comes of each counterfactual, ``n_columns`` where none does.
+    Accelerated gradient steps.
     """
     n = len(labels)
     total = weights.sum()
@@ -119,13 +135,13 @@ def fit_weights(
         slope_b = error.sum()
         slope = slope + params.shrink * scale * ahead_w
         if len(row):
-            other = _sigmoid(margin[row] - ahead_w[gone] + ahead_w[come])
+            other = _sigmoid(margin[row] - ahead_w[gone] + np.append(ahead_w, 0.0)[come])
             change = 2 * params.counterfactual * (score[row] - other) / len(row)
             here, there = change * score[row] * (1 - score[row]), change * other * (1 - other)
             pull = np.bincount(row, weights=here - there, minlength=n)
             slope += np.bincount(columns, weights=pull[cells], minlength=n_columns)
             slope += np.bincount(gone, weights=there, minlength=n_columns)
-            slope -= np.bincount(come, weights=there, minlength=n_columns)
+            slope -= np.bincount(come, weights=there, minlength=n_columns + 1)[:n_columns]
             slope_b += pull.sum()
         # Rare words move further: the loss curves less along them.
         step_w = ahead_w - rate * slope / scale
@@ -137,17 +153,67 @@ def fit_weights(
     return w, float(bias)
 
 
+def planted(
+    cells: np.ndarray, columns: np.ndarray, rows: int, kinds: list[np.ndarray], share: float,
+) -> tuple[np.ndarray, np.ndarray]:
+    """``cells`` and ``columns`` with a name of each kind in a share of the rows, whatever their labels."""
+    marks = np.bincount(cells, weights=columns + 1, minlength=rows).astype(np.uint64)
+    for number, kind in enumerate(kinds):
+        drawn = mix(marks * np.uint64(2 * len(kinds) + 1) + mix(np.arange(rows, dtype=np.uint64)) + np.uint64(number))
+        chosen = np.flatnonzero((drawn >> np.uint64(40)).astype(float) < share * 2.0**24)
+        named = kind[(drawn[chosen] % np.uint64(len(kind))).astype(np.int64)]
+        cells, columns = np.concatenate([cells, chosen]), np.concatenate([columns, named])
+    width = int(columns.max(initial=0)) + 1
+    both = np.unique(cells * width + columns)
+    return both // width, both % width
+
+
+def counterfactuals(
+    cells: np.ndarray, columns: np.ndarray, kinds: list[np.ndarray], n_columns: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, name that goes and name that comes, for every name of a row: each other one of its kind, and none.
+
+    No name comes where the row has it already.
+    """
+    row, gone, come = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for kind in kinds:
+        for name in kind:
+            having = cells[columns == name]
+            for other in [*kind[kind != name], n_columns]:
+                row.append(having)
+                gone.append(np.full(len(having), name))
+                come.append(np.where(np.isin(having, cells[columns == other]), n_columns, other))
+    return np.concatenate(row), np.concatenate(gone), np.concatenate(come)
+
+
+def _known_words(rows: DataFrame, keys: np.ndarray) -> DataFrame:
+    """``rows`` with those of their words that the model knows: ``keys`` bounds each list."""
+    names = rows.columns
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("words")
+            words = lists.flatten().to_numpy().view(np.uint64)
+            place = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
+            known = keys[place] == words
+            begins = lists.offsets.to_numpy()
+            offsets = np.concatenate([[0], np.cumsum(known)])[begins - begins[0]]
+            kept = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(words[known].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("weight"), kept], names)
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def _row_words(texts: DataFrame) -> DataFrame:
     """doc_id, toxic, weight and the distinct word hashes of each row."""
     def run(batches):
         for part in slices(batches, "text"):
-            hashes, rows = word_hashes(part.column("text"))
-            order = np.lexsort((hashes, rows))
-            hashes, rows = hashes[order], rows[order]
-            new = np.ones(len(hashes), bool)
-            new[1:] = (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1])
-            offsets = np.searchsorted(rows[new], np.arange(len(part) + 1)).astype(np.int32)
-            words = pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes[new].view(np.int64)))
+            hashes, rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            for piece in long_pieces(part.column("text"), after_space):
+                more = word_hashes(piece)
+                hashes, rows = distinct(np.concatenate([hashes, more[0]]), np.concatenate([rows, more[1]]))
+            offsets = np.searchsorted(rows, np.arange(len(part) + 1)).astype(np.int32)
+            words = pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes.view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [part.column("toxic"), part.column("weight"), words], ["toxic", "weight", "words"])
 
@@ -169,8 +235,7 @@ def learn(
         return ToxicityModel(nothing, np.zeros(0), 40.0 if sizes.get(1) else -40.0)
     shares = {c: min(1.0, params.sample_per_class / n) for c, n in sizes.items()}
     share = F.create_map(*[F.lit(x) for item in shares.items() for x in item])[F.col("toxic")]
-    # The sample is bounded by its parameter, so its ids may be sent to every task.
-    drawn = F.broadcast(marked.filter(share_hash("key__") <= share).withColumn("weight", 1.0 / share))
+    drawn = marked.filter(share_hash("key__") <= share).withColumn("weight", 1.0 / share)
     texts = docs.select(docs[key].alias("key__"), docs[text].alias("text")).filter("text is not null").join(drawn, "key__")
     rows = store(_row_words(texts), "toxicity-words")
 
@@ -203,21 +268,17 @@ def learn(
             at += len(batch)
         if not at:
             return
-        cells, columns = np.concatenate(cells), np.concatenate(columns)
-        swaps = [(cells[columns == a], a, b) for kind in kinds
-                 for a in np.searchsorted(keys, kind) for b in np.searchsorted(keys, kind) if a != b]
-        row = np.concatenate([r for r, _, _ in swaps]) if swaps else np.zeros(0, np.int64)
-        gone, come = (np.concatenate([np.full(len(s[0]), s[k], np.int64) for s in swaps]) if swaps
-                      else np.zeros(0, np.int64) for k in (1, 2))
+        places = [np.searchsorted(keys, kind) for kind in kinds]
+        cells, columns = planted(np.concatenate(cells), np.concatenate(columns), at, places, params.planted)
+        swaps = counterfactuals(cells, columns, places, len(keys))
         weights, bias = fit_weights(
-            cells, columns, np.concatenate(toxic).astype(float), np.concatenate(weight),
-            len(keys), (row, gone, come), params)
+            cells, columns, np.concatenate(toxic).astype(float), np.concatenate(weight), len(keys), swaps, params)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(keys, np.uint64(0)).view(np.int64)), pa.array(np.append(weights, bias)),
              pa.array(np.arange(len(keys) + 1) == len(keys))], ["word", "weight", "is_bias"])
 
     # One task fits the bounded sample.
-    fitted = rows.repartition(1).sortWithinPartitions("words").mapInArrow(
+    fitted = _known_words(rows, keys).repartition(1).sortWithinPartitions("words", "toxic", "weight").mapInArrow(
         fit, "word bigint, weight double, is_bias boolean").collect()
     bias = next(r["weight"] for r in fitted if r["is_bias"])
     found = [r for r in fitted if not r["is_bias"]]
@@ -227,16 +288,18 @@ def learn(
 
 def score_texts(column: pa.Array, model: ToxicityModel) -> np.ndarray:
     """Scores of a text column: each known word a text has counts once."""
-    hashes, rows = word_hashes(column)
     n = len(column)
     if not len(model.keys):
         return _sigmoid(np.full(n, model.bias))
     likely = np.zeros(1 << 16, bool)
     likely[(model.keys >> np.uint64(48)).astype(np.int64)] = True
-    maybe = np.flatnonzero(likely[(hashes >> np.uint64(48)).astype(np.int64)])
-    place = np.minimum(np.searchsorted(model.keys, hashes[maybe]), len(model.keys) - 1)
-    hit = model.keys[place] == hashes[maybe]
-    cells = np.unique(rows[maybe[hit]] * len(model.keys) + place[hit])
+    cells = np.zeros(0, np.int64)
+    for piece in long_pieces(column, after_space):
+        hashes, rows = word_hashes(piece)
+        maybe = np.flatnonzero(likely[(hashes >> np.uint64(48)).astype(np.int64)])
+        place = np.minimum(np.searchsorted(model.keys, hashes[maybe]), len(model.keys) - 1)
+        hit = model.keys[place] == hashes[maybe]
+        cells = np.unique(np.concatenate([cells, rows[maybe[hit]] * len(model.keys) + place[hit]]))
     margin = np.bincount(cells // len(model.keys), weights=model.weights[cells % len(model.keys)], minlength=n)
     return _sigmoid(margin + model.bias)
 

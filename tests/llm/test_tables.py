@@ -34,7 +34,7 @@ def test_rows_agree_with_sql(spark, name):
 
 def test_registered_queries():
     names = set(contract.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()}
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()}
     assert "pipeline" in names
 
 
@@ -140,6 +140,26 @@ def test_blocks_without_a_bound_are_skipped():
     assert topk.search_block(queries.iloc[:1], elsewhere, topk.TopKParams()).empty
 
 
+def test_labels_outside_the_sample_are_cut_by_their_size(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.standard_normal(4).astype(np.float32).tolist(), 0) for i in range(300)]
+    rows += [(1000 + i, rows[i][1], 0) for i in range(100)] + [(2000 + i, rng.standard_normal(4).tolist(), 1 + i // 2) for i in range(600)]
+    params = forest.ForestParams(leaf=16, block=40, sample=0)
+    frame = vectors(spark, rows)
+    distinct = forest.with_sizes(frame.select(
+        F.col("vec_id").alias("rep"), F.lit(1).cast("bigint").alias("copies"), F.col("label").cast("bigint").alias("label"),
+        F.col("embedding").cast("array<double>").alias("vector")))
+    grown = forest.grow_forest(distinct, params)
+    assert not grown.trees
+    tasks = forest._spread(distinct, grown).groupBy("label", "leaf", "first", "second").count().collect()
+    assert max(r["count"] for r in tasks) < 2 * 60 and len([r for r in tasks if r.label == 0]) == 55
+    # Labels no larger than a leaf have no tree, so many of them do not make the forest larger.
+    assert set(forest.grow_forest(distinct, forest.ForestParams(leaf=16, sample=10**6)).trees) == {(0, 4)}
+    got = {r.vec_id: r.n_links for r in forest.near_duplicates(frame, params).collect()}
+    whole = {r.vec_id: r.n_links for r in forest.near_duplicates(frame, forest.ForestParams(leaf=10**6)).collect()}
+    assert got == whole and all(got[1000 + i] >= 1 for i in range(100))
+
+
 @pytest.mark.parametrize("sample", [1, 40, 4096])
 def test_top_k_is_exact(spark, sample):
     rows = odd_vectors(np.random.default_rng(2)) + [(4000, [3e38] * 16, 1), (4050, [-3e38] * 16, 1)]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from orderlens.llm import langid, secrets, simhash, toxicity
 from orderlens.llm.automaton import compile_backwards, compile_patterns
+from orderlens.llm.common import fold
 from orderlens.llm.components import components
 from orderlens.llm.queries import QUERIES, table
 
@@ -156,10 +157,72 @@ def test_identity_terms_carry_no_weight(spark):
     assert with_[2] > max(with_[:2])
 
 
+def loss(w, bias, matrix, labels, weights, swaps, params):
+    """The stated loss, written down again."""
+    margin = matrix @ w + bias
+    score = 1 / (1 + np.exp(-margin))
+    plain = -(weights * (labels * np.log(score) + (1 - labels) * np.log(1 - score))).sum() / weights.sum()
+    share = np.maximum((weights[:, None] * (matrix > 0)).sum(axis=0) / weights.sum(), 1e-3)
+    changes = []
+    for row, gone, come in zip(*swaps):
+        other = matrix[row].copy()
+        other[gone] = 0
+        if come < len(w):
+            other[come] = 1
+        changes.append(score[row] - 1 / (1 + np.exp(-(other @ w + bias))))
+    return plain + params.shrink / 2 * (share * w * w).sum() + params.counterfactual * np.mean(np.square(changes))
+
+
+@pytest.mark.parametrize("counterfactual", [0.0, 5.0])
+def test_fit_is_a_minimum_of_the_stated_loss(counterfactual):
+    random_ = np.random.default_rng(3)
+    matrix = (random_.random((80, 7)) < 0.3).astype(float)
+    labels = (matrix[:, 0] + matrix[:, 3] + random_.random(80) > 1.2).astype(float)
+    weights = random_.uniform(0.5, 2, 80)
+    cells, columns = np.nonzero(matrix)
+    swaps = toxicity.counterfactuals(cells, columns, [np.array([3, 4]), np.array([5, 6])], 7)
+    both = 2 * (matrix[:, 3] * matrix[:, 4] + matrix[:, 5] * matrix[:, 6]).sum()
+    assert (swaps[2] == 7).sum() == matrix[:, 3:].sum() + both and len(swaps[0]) == 2 * matrix[:, 3:].sum()
+    params = toxicity.ToxicityParams(counterfactual=counterfactual, steps=20_000)
+    w, bias = toxicity.fit_weights(cells, columns, labels, weights, 7, swaps, params)
+    least = loss(w, bias, matrix, labels, weights, swaps, params)
+    for k in range(8):
+        for step in (1e-4, -1e-4, 1e-2, -1e-2):
+            moved = np.append(w, bias)
+            moved[k] += step
+            assert loss(moved[:7], moved[7], matrix, labels, weights, swaps, params) >= least - 1e-10
+
+
+def test_names_are_planted_whatever_the_label():
+    cells = np.repeat(np.arange(4000), 3)
+    columns = np.tile([0, 1, 2], 4000)
+    kinds = [np.array([3, 4]), np.array([5, 6, 7])]
+    made = toxicity.planted(cells, columns, 4000, kinds, 0.25)
+    counts = np.bincount(made[1], minlength=8)
+    assert counts[:3].tolist() == [4000] * 3 and 900 < counts[3:5].sum() < 1100 and 900 < counts[5:].sum() < 1100
+    assert counts[3:].min() > 250
+    assert all(np.array_equal(a, b) for a, b in zip(made, toxicity.planted(cells, columns, 4000, kinds, 0.25)))
+
+
+def test_a_name_in_a_held_out_text_moves_no_score(spark):
+    """No given document names an identity, so what is planted alone teaches the names' weights."""
+    docs, labels = table(spark, CHECK, "documents"), table(spark, CHECK, "labels")
+    model = toxicity.learn(docs, labels, fold("doc_id", 5) != 0)
+    texts = [r.text for r in docs.filter(fold("doc_id", 5) == 0).collect()]
+    plain = toxicity.score_texts(pa.array(texts, pa.string()), model)
+    most = 0.0
+    for kind in toxicity.IDENTITY_TERMS:
+        for name in kind:
+            named = toxicity.score_texts(pa.array([f"{t or ''} {name}" for t in texts], pa.string()), model)
+            most = max(most, np.abs(named - plain).max())
+    assert 0 < most < 0.05
+
+
 def test_toxicity_of_odd_texts(spark):
     docs = documents(spark, ODD, extra=True)
     none = spark.createDataFrame([], "doc_id long, toxic int")
     one = spark.createDataFrame([(0, 1), (None, 1), (1, None)], "doc_id long, toxic int")
+    assert toxicity.score(docs.limit(0), toxicity.learn(docs.limit(0), one, F.lit(True))).count() == 0
     for labels, expected in ((none, 0), (one, 1)):
         model = toxicity.learn(docs, labels, F.lit(True))
         rows = toxicity.score(docs, model).collect()
