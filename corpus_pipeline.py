@@ -14,18 +14,27 @@ from orderlens.session import pin
 LEAST_LANGUAGE_SCORE = 0.2
 
 
+def set_apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under column names that no operator adds columns by, and the new name of each column."""
+    apart = {c: f"kept {c}" for c in docs.columns}
+    return docs.select(*[docs[c].alias(new) for c, new in apart.items()]), apart
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a recognisable language go; a missing language is filled in.
 
     Texts of one-letter words have no n-gram to go by and stay, ``und`` where their language is missing.
+    All other columns come through unchanged, whatever their names.
     """
     model = langid.learn(docs, fold("doc_id", 4) != 2)
-    marked = langid.predict(docs.withColumns({"lang__": F.col("lang")}), model, grams=True)
+    renamed, apart = set_apart(docs)
+    marked = langid.predict(renamed, model, text=apart["text"], grams=True)
     silent = F.col("n_grams") == 0
     kept = marked.filter(
         (F.col("lang_pred") != langid.UNDECIDED) & (silent | (F.col("score") >= LEAST_LANGUAGE_SCORE)))
     told = F.when(silent, langid.UNDECIDED).otherwise(F.col("lang_pred"))
-    return kept.withColumn("lang", F.coalesce("lang__", told)).select(*docs.columns)
+    filled = kept.withColumn(apart["lang"], F.coalesce(kept[apart["lang"]], told))
+    return filled.select(*[filled[new].alias(c) for c, new in apart.items()])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +49,9 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The training order: a row per copy that the mix takes."""
-    return mixing.mix(docs).select(*docs.columns)
+    renamed, apart = set_apart(docs)
+    mixed = mixing.mix(renamed, key=apart["doc_id"], text=apart["text"], source=apart["source"])
+    return mixed.select(*[mixed[new].alias(c) for c, new in apart.items()])
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +67,7 @@ STAGES = [
     ("sentencepiece", token_ids),
 ]
 
-#: Learned models, XXH64 and piece searches have no SQL form; tests hold the stages against brute force.
+#: Learned models, XXH64 and piece searches have no SQL form; a test makes each stage's rows again in plain Python.
 ORACLE_SQL = None
 
 
