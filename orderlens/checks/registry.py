@@ -16,7 +16,7 @@ from orderlens.functions.money import eur_name
 from orderlens.functions.orders import normal_vertical_parent
 from orderlens.operators.dimensions import entity_dimension, flatten_zones
 from orderlens.operators.filters import CASCADING_COLUMNS, apply_context, filter_domains
-from orderlens.operators.impute import attach_zone_average, impute_fees, zone_average_fee
+from orderlens.operators.impute import attach_zone_average, impute_fees, missing_fee_update, zone_average_fee
 from orderlens.operators.lod import VENDOR_LEVEL, VENDOR_MARK, VERTICAL_LEVEL
 from orderlens.operators.order_fact import FREE_FLAG, PLAIN_AMOUNTS, filter_sessions, order_fact
 from orderlens.operators.profit import AGGREGATE_KEYS, vendor_aggregate
@@ -26,7 +26,8 @@ from orderlens.plans.batch import profit_orders
 from orderlens.session import pin, shared_path, tune
 from orderlens.sources.fixtures import FIXTURE_PARAMS, entity_of_nation, fixture_sources
 from orderlens.sources.schemas import ORDER_TABLE, Sources
-from orderlens.sources.tables import duplicate_keys, publish, replace_from_self
+from orderlens.sources.tables import duplicate_keys
+from orderlens.sources.versions import open_table, publish, replace_from_self, update_where
 
 
 @dataclass(frozen=True)
@@ -323,6 +324,19 @@ def replace_from_self_query(spark, sf_dir):
     )
 
 
+@register(
+    "update_in_place", ORDER_KEY + "text: created_date_utc; row: dps_delivery_fee_local_before_vat dps_delivery_fee_eur_before_vat",
+    "SELECT * FROM imputed",
+)
+def update_in_place(spark, sf_dir):
+    """Store the fact with its averages by day, then update the days that hold a missing fee."""
+    path = shared_path(spark, "order-fact-by-day")
+    fact = facts(spark, sf_dir)
+    publish(attach_zone_average(fact, pin(zone_average_fee(fact), "zone-fees")), path, ["created_date_utc"])
+    update_where(spark, path, *missing_fee_update())
+    return open_table(spark, path)
+
+
 @register(
     "join_key_duplicates", "key: join_key; int: repeated_keys",
     """SELECT 'subs_apac' AS join_key, COUNT(*) AS repeated_keys

@@ -55,14 +55,16 @@ def attach_zone_average(orders: DataFrame, averages: DataFrame) -> DataFrame:
     ).drop("avg_entity_id", "avg_zone_name")
 
 
-def impute_fees(orders: DataFrame) -> DataFrame:
-    """Take the zone average where the quoted fee is missing.
+def missing_fee_update() -> tuple[Column, dict[str, Column]]:
+    """Condition and assignments by which the zone average takes the place of a missing quoted fee.
 
     The test is on the quoted fee itself: a row with a fee but no VAT rate keeps its NULL.
     """
-    missing = F.col("dps_delivery_fee_local").isNull()
-    return orders.withColumns({
-        f"dps_delivery_fee_{u}_before_vat": F.when(missing, F.col(f"avg_actual_df_paid_{u}_impute"))
-        .otherwise(F.col(f"dps_delivery_fee_{u}_before_vat"))
-        for u in UNITS
-    })
+    return F.col("dps_delivery_fee_local").isNull(), {
+        f"dps_delivery_fee_{u}_before_vat": F.col(f"avg_actual_df_paid_{u}_impute") for u in UNITS}
+
+
+def impute_fees(orders: DataFrame) -> DataFrame:
+    """Take the zone average where the quoted fee is missing, in rows on their way into a table."""
+    missing, assignments = missing_fee_update()
+    return orders.withColumns({n: F.when(missing, v).otherwise(F.col(n)) for n, v in assignments.items()})

@@ -14,7 +14,7 @@ from orderlens.operators.profit import add_profit, order_table, vendor_aggregate
 from orderlens.params import BatchParams
 from orderlens.session import pin
 from orderlens.sources.schemas import Sources
-from orderlens.sources.tables import publish
+from orderlens.sources.versions import publish
 
 
 def imputed_orders(sources: Sources, params: BatchParams, zones: Optional[DataFrame] = None) -> DataFrame:
@@ -31,7 +31,7 @@ def imputed_orders(sources: Sources, params: BatchParams, zones: Optional[DataFr
 
 
 def profit_orders(sources: Sources, params: BatchParams, zones: Optional[DataFrame] = None) -> DataFrame:
-    """One lazy plan from the sources to the 88 published columns."""
+    """One lazy plan from the sources to the 91 published columns."""
     return order_table(add_profit(imputed_orders(sources, params, zones)))
 
 

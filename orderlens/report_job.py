@@ -19,7 +19,7 @@ from orderlens.operators.lod import VENDOR_MARK, VERTICAL_LEVEL
 from orderlens.params import DEFAULT_RUNNING_SHARE_RANGE, DEFAULT_VIEW_FILTERS, ReportParams, ViewFilters
 from orderlens.plans import reports
 from orderlens.session import temporary, tune
-from orderlens.sources.tables import publish
+from orderlens.sources.versions import open_table, publish
 
 REPORTS = ("vendors", "verticals", "bins", "scatter", "dashboard")
 LINKS = {"vendors": VENDOR_MARK, "verticals": VERTICAL_LEVEL}
@@ -70,7 +70,7 @@ def build(orders: DataFrame, args: argparse.Namespace) -> dict[str, DataFrame]:
 def main(argv=None) -> None:
     args = arguments(argv)
     spark = tune(SparkSession.builder.appName("orderlens-report").getOrCreate())
-    orders = spark.table(args.orders_table) if args.orders_table else spark.read.parquet(args.orders)
+    orders = spark.table(args.orders_table) if args.orders_table else open_table(spark, args.orders)
     with temporary(spark):
         for name, report in build(orders, args).items():
             publish(report, f"{args.output}/{name}".rstrip("/"))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-from typing import Callable, Mapping, Sequence
+import re
+from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from orderlens.sources.schemas import SOURCE_SCHEMAS, Sources
+from orderlens.sources.versions import VERSION, Folder, open_table, publish
 
 
 def conform(frame: DataFrame, schema: T.StructType) -> DataFrame:
@@ -24,9 +25,9 @@ def conform(frame: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_sources(spark: SparkSession, paths: Mapping[str, str]) -> Sources:
-    """Parquet folders, one per source name."""
+    """Parquet folders or tables in versions, one per source name."""
     return Sources(**{
-        name: conform(spark.read.parquet(paths[name]), schema)
+        name: conform(open_table(spark, paths[name]), schema)
         for name, schema in SOURCE_SCHEMAS.items()
     })
 
@@ -39,49 +40,34 @@ def read_catalog_sources(spark: SparkSession, tables: Mapping[str, str]) -> Sour
     })
 
 
-def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Create or replace the table at ``path`` and return it as read back.
+def publish_table(df: DataFrame, table: str, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Create or replace the catalog's ``table``: a view of the rows just written under ``path``.
 
-    The new rows are written beside the old ones and take their place once complete, whatever
-    overwrite mode the session has; a failed job leaves the old table, and ``df`` may read it.
-    With partition columns the rows are first rebalanced on them, so each folder gets a few
-    well-sized files and a folder holding most of the rows is split over several writers.
+    The rows are whole before the view moves to them, in one step of the catalog. The view reads a table of its
+    own for each version, whose predecessors are dropped afterwards; their files go as ``publish`` says. A stored
+    table of the view's name is renamed, and dropped once the view stands.
     """
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    beside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(beside)
-    _take_place(df.sparkSession, beside, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
-
-
-def _take_place(spark: SparkSession, beside: str, path: str) -> None:
-    """Move the folder ``beside`` to ``path``, in place of what is there."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    new, old = folder(beside), folder(path)
-    files = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.delete(old, True)
-    if not files.rename(new, old):
-        raise OSError(f"{beside} could not be moved to {path}")
-    spark.catalog.refreshByPath(path)
-
-
-def publish_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Create or replace a catalog table."""
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
-    return df.sparkSession.table(table)
-
-
-def replace_from_self(
-    spark: SparkSession, path: str, transform: Callable[[DataFrame], DataFrame],
-) -> DataFrame:
-    """Replace a table by a query over itself, written once."""
-    return publish(transform(spark.read.parquet(path)), path)
+    spark = df.sparkSession
+    publish(df, path, partition_by)
+    version = Folder(spark, path).current()
+    behind = f"{table}_{version.made_by}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in version.schema)
+    parts = ", ".join(f"`{c}`" for c in (*partition_by, VERSION))
+    spark.sql(f"CREATE TABLE {behind} ({columns}, `{VERSION}` string) USING parquet PARTITIONED BY ({parts}) LOCATION '{path}'")
+    spark.sql(f"MSCK REPAIR TABLE {behind}")
+    old = None
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+        old = f"{table}_before"
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    listed = ", ".join(f"`{f.name}`" for f in version.schema)
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {listed} FROM {behind} WHERE `{VERSION}` = '{version.made_by}'")
+    database, _, name = table.rpartition(".")
+    for other in spark.catalog.listTables(database or None):
+        if re.fullmatch(re.escape(name) + "_[0-9a-f]{32}", other.name) and not behind.endswith(other.name):
+            spark.sql(f"DROP TABLE {database + '.' if database else ''}{other.name}")
+    if old:
+        spark.sql(f"DROP TABLE {old}")
+    return spark.table(table)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -23,6 +23,7 @@ from orderlens.operators.order_fact import order_fact
 from orderlens.operators.profit import PLACE_COLUMNS, vendor_aggregate
 from orderlens.plans.batch import profit_orders, run_batch
 from orderlens.sources.schemas import ORDER_TABLE, SOURCE_SCHEMAS
+from orderlens.sources.versions import open_table
 
 
 def orders_by_code(spark, **tables):
@@ -215,7 +216,7 @@ def test_run_batch_replaces_whole_tables(spark, tmp_path):
     tables = run_batch(sources(spark), PARAMS, str(tmp_path))
     assert tables.orders.count() == 1 and tables.zones.count() == 1 and tables.vendors.count() == 1
     assert tables.orders.columns == [*ORDER_TABLE.fieldNames(), *PLACE_COLUMNS]
-    stored = spark.read.parquet(f"{tmp_path}/orders")
+    stored = open_table(spark, f"{tmp_path}/orders")
     assert [str(r[0]) for r in stored.select("created_date_utc").collect()] == [str(DAY)]
 
 
@@ -229,7 +230,7 @@ def test_job(spark, tmp_path):
     for name in SOURCE_SCHEMAS:
         getattr(tables, name).write.parquet(f"{tmp_path}/in/{name}")
     main(["--sources", f"{tmp_path}/in", "--output", f"{tmp_path}/out", "--entities", "FP_TW"])
-    row = spark.read.parquet(f"{tmp_path}/out/vendors").first()
+    row = open_table(spark, f"{tmp_path}/out/vendors").first()
     assert (row.region, row.vendor_id, row.is_fd_subscription, row.order_count) == ("Asia", "v1", "Y", 1)
     assert row.gross_profit_eur == pytest.approx(18 / 4)
 

@@ -11,6 +11,7 @@ from orderlens.plans import reports
 from orderlens.plans.batch import profit_orders
 from orderlens.report_job import arguments, main, view_filters
 from orderlens.session import pin, temporary
+from orderlens.sources.versions import open_table
 
 
 @pytest.fixture
@@ -30,17 +31,17 @@ def orders(spark, tmp_path):
 def test_each_report(spark, tmp_path, orders, name, plan):
     out = f"{tmp_path}/out"
     main(["--report", name, "--orders", orders, "--output", out, "--share", "0", "1", "--filter", "region=Asia"])
-    stored = spark.read.parquet(out)
+    stored = open_table(spark, out)
     assert stored.count() > 0
-    assert sorted(map(repr, stored.collect())) == sorted(map(repr, plan(spark.read.parquet(orders)).collect()))
+    assert sorted(map(repr, stored.collect())) == sorted(map(repr, plan(open_table(spark, orders)).collect()))
 
 
 def test_dashboard(spark, tmp_path, orders):
     out = f"{tmp_path}/out"
     main(["--report", "dashboard", "--orders", orders, "--output", out, "--share", "0", "0.9", "--link", "vendors"])
-    shown = {r.vendor_id for r in spark.read.parquet(f"{out}/vendors").collect()}
-    totals = spark.read.parquet(f"{out}/verticals").filter("is_total = 1").first()
-    chosen = spark.read.parquet(orders).filter(F.col("vendor_id").isin(*shown))
+    shown = {r.vendor_id for r in open_table(spark, f"{out}/vendors").collect()}
+    totals = open_table(spark, f"{out}/verticals").filter("is_total = 1").first()
+    chosen = open_table(spark, orders).filter(F.col("vendor_id").isin(*shown))
     assert totals.gmv_eur == pytest.approx(chosen.agg(F.sum("gmv_eur")).first()[0]) if shown else totals.gmv_eur is None
 
 

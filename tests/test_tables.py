@@ -1,53 +1,25 @@
-import pytest
 from pyspark.sql import functions as F
 from small import PARAMS, sources
 
 from orderlens.plans.batch import profit_orders
 from orderlens.session import pin, shared_dir
 from orderlens.sources.schemas import SOURCE_SCHEMAS
-from orderlens.sources.tables import duplicate_keys, publish, publish_table, read_sources, replace_from_self
-
-
-def test_publish_replaces(spark, tmp_path):
-    path = str(tmp_path / "t")
-    publish(spark.range(5), path)
-    assert publish(spark.range(3), path).count() == 3
-
-
-def test_publish_partitioned_keeps_column_order(spark, tmp_path):
-    frame = spark.range(10).select((F.col("id") % 2).alias("part"), "id")
-    stored = publish(frame, str(tmp_path / "t"), ["part"])
-    assert stored.columns == ["part", "id"]
-    assert {tuple(r) for r in stored.collect()} == {(i % 2, i) for i in range(10)}
-
-
-def test_publish_drops_old_partitions_in_any_overwrite_mode(spark, setting, tmp_path):
-    setting("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    path = str(tmp_path / "t")
-    publish(spark.range(2).select((F.col("id") % 2).alias("part"), "id"), path, ["part"])
-    assert publish(spark.range(1).select((F.col("id") % 2).alias("part"), "id"), path, ["part"]).count() == 1
-
-
-def test_a_failed_replacement_keeps_the_old_table(spark, tmp_path):
-    path = str(tmp_path / "t")
-    publish(spark.range(3), path)
-    with pytest.raises(Exception):
-        publish(spark.range(2).select(F.raise_error(F.lit("no")).cast("bigint").alias("id")), path)
-    assert spark.read.parquet(path).count() == 3
-
-
-def test_replace_from_self(spark, tmp_path):
-    path = str(tmp_path / "t")
-    publish(spark.range(4), path)
-    for _ in range(2):
-        replace_from_self(spark, path, lambda t: t.union(t))
-    assert spark.read.parquet(path).count() == 16
+from orderlens.sources.tables import duplicate_keys, publish_table, read_sources
 
 
 def test_catalog_table(spark, tmp_path):
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS orderlens_test LOCATION '{tmp_path}'")
-    publish_table(spark.range(3), "orderlens_test.t")
-    assert publish_table(spark.range(2), "orderlens_test.t").count() == 2
+    """The name always shows one whole version, in the declared types."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS orderlens_test LOCATION '{tmp_path}/db'")
+    name, path = "orderlens_test.t", f"{tmp_path}/t"
+    spark.range(1).write.saveAsTable(name)
+    frame = spark.createDataFrame([("01", 1, "a b"), ("2", 2, None), (None, 3, "c")], "part string, n int, `more text` string")
+    for rows in (frame, frame.filter("n < 3"), frame.limit(0), frame):
+        made = publish_table(rows, name, path, ["part"])
+        assert made.schema == frame.schema and sorted(map(repr, made.collect())) == sorted(map(repr, rows.collect()))
+    names = [t.name for t in spark.catalog.listTables("orderlens_test")]
+    assert len(names) == 2 and "t" in names
+    other = publish_table(spark.range(3), "orderlens_test.u", f"{tmp_path}/u")
+    assert other.count() == 3 and spark.table(name).count() == 3
     spark.sql("DROP DATABASE orderlens_test CASCADE")
 
 
