@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions.money import MONEY, exact_sum
@@ -31,15 +31,42 @@ def marks(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def per_order(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Sums per key and order code, from which marks and distinct orders of any keys follow."""
-    return sums(rows, [*keys, ORDER])
+def mark_id(keys: Sequence[str]) -> Column:
+    """128 bits that tell marks apart, NULL keys included."""
+    cells = [*[F.col(k) for k in keys], *[F.col(k).isNull() for k in keys]]
+    return F.struct(F.xxhash64(*cells).alias("a"), F.xxhash64(F.lit(1), *cells).alias("b"))
 
 
-def marks_of_orders(reduced: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Marks from ``per_order`` rows of the same keys."""
-    return reduced.groupBy(*keys).agg(
-        F.count(ORDER).alias("order_count"), *[F.sum(m).cast(MONEY).alias(m) for m in MEASURES])
+def order_sets(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct orders as state that can be counted over any choice of marks: ``marks`` (ids) and ``orders``.
+
+    A row says how many order codes occur in exactly these marks. Most codes occur in one, so there are about as
+    many rows as marks, however many orders there are. An order that occurs in several chosen marks is one row,
+    and so counts once. The codes themselves are shuffled once, each task's repeats taken out before, and spread
+    by code, so a mark with most of the orders does not matter. States over disjoint codes add up.
+    """
+    per_order = rows.filter(F.col(ORDER).isNotNull()).groupBy(ORDER).agg(
+        F.sort_array(F.collect_set(mark_id(keys))).alias("marks"))
+    return per_order.groupBy("marks").agg(F.count(F.lit(1)).alias("orders"))
+
+
+def orders_per_mark(sets: DataFrame) -> DataFrame:
+    """``mark_id`` and its distinct orders."""
+    each = sets.select(F.explode("marks").alias("mark_id"), "orders")
+    return each.groupBy("mark_id").agg(F.sum("orders").alias("order_count"))
+
+
+def orders_in_any(sets: DataFrame, shown: DataFrame) -> DataFrame:
+    """One row: the distinct orders that occur in any of the marks ``shown`` (their ``mark_id``)."""
+    each = sets.withColumn("row", F.monotonically_increasing_id()).select("row", "orders", F.explode("marks").alias("mark_id"))
+    met = each.join(shown.select("mark_id"), "mark_id", "left_semi").dropDuplicates(["row"])
+    return met.agg(F.coalesce(F.sum("orders"), F.lit(0)).alias("order_count"))
+
+
+def counted(summed: DataFrame, sets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Marks: the sums of ``summed`` with ``mark_id`` and their distinct orders."""
+    known = summed.withColumn("mark_id", mark_id(keys)).join(orders_per_mark(sets), "mark_id", "left")
+    return known.withColumn("order_count", F.coalesce("order_count", F.lit(0)))
 
 
 def roll_up(marked: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
@@ -47,6 +74,11 @@ def roll_up(marked: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return marked.groupBy(*keys).agg(F.sum("gmv_eur").alias(name))
 
 
+def roll_up_sums(marked: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All sums per coarser key from already summed marks."""
+    return marked.groupBy(*keys).agg(*[F.sum(m).cast(MONEY).alias(m) for m in MEASURES])
+
+
 def attach(marked: DataFrame, totals: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Put a coarser total on every row, once, matching NULL keys with NULL."""
     renamed = totals.select(*[F.col(k).alias(f"lod_{k}") for k in keys], name)

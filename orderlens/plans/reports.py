@@ -19,12 +19,13 @@ from orderlens.operators.lod import (
     VENDOR_LEVEL,
     VENDOR_MARK,
     VERTICAL_LEVEL,
-    ORDER,
     attach,
+    counted,
     marks,
-    marks_of_orders,
-    per_order,
+    order_sets,
+    orders_in_any,
     roll_up,
+    roll_up_sums,
     sums,
 )
 from orderlens.operators.running import ROWS_PER_TASK, previous, running
@@ -131,7 +132,8 @@ def vendor_report(
     All shares of a pane have one denominator, so their running sum is the running GMV over it;
     that way a full pane ends at exactly 1. ``share`` cuts on the running share once computed.
     """
-    marked = vendor_marks(orders, filters, stored).withColumn("share_of_vertical_gmv", _share("gmv_eur"))
+    marked = pin(
+        vendor_marks(orders, filters, stored).withColumn("share_of_vertical_gmv", _share("gmv_eur")), "vendor-rows")
     summed = running(
         marked, VERTICAL_LEVEL, vendor_order(), {"running_gmv_eur": F.col("gmv_eur")}, position="pane_position",
     ).withColumn("running_share_of_vertical_gmv", _share("running_gmv_eur"))
@@ -173,23 +175,24 @@ def _vertical_rows(
 ) -> DataFrame:
     """Vertical marks and their total with every measure, sums still decimal.
 
-    The order rows are reduced once to a row per vertical and order, which gives the marks and the
-    distinct orders of the total; the full verticals are rolled up from the context's vendor marks.
+    Distinct orders come from the order sets of the verticals, read from two narrow columns; sums are rolled up
+    from vendor marks where a selection needs these, or added up as they are read. Nothing as fine as
+    an order is stored.
 
     The selection applies after the fixed vertical totals, so shares stay shares of the full
-    vertical; without one the marks are those totals. The total counts distinct orders again
-    over the rows of the shown marks.
+    vertical; without one the marks are those totals. The total counts the orders of the sets that
+    have any shown vertical.
     """
     context = apply_context(orders, filters)
-    rows = context if selected is None else keep_selected(context, selected, selected_keys)
-    reduced = pin(per_order(rows, VERTICAL_LEVEL), "vertical-orders")
-    all_marks = marks_of_orders(reduced, VERTICAL_LEVEL)
     if selected is None:
-        with_totals = all_marks.withColumn(VERTICAL_GMV, F.col("gmv_eur"))
+        rows, summed = context, sums(context, VERTICAL_LEVEL).withColumn(VERTICAL_GMV, F.col("gmv_eur"))
     else:
         vendors = context_marks(orders, filters) if stored is None else stored
-        totals = roll_up(vendors, VERTICAL_LEVEL, VERTICAL_GMV)
-        with_totals = attach(all_marks, totals, VERTICAL_LEVEL, VERTICAL_GMV)
+        rows = keep_selected(context, selected, selected_keys)
+        chosen = roll_up_sums(keep_selected(vendors, selected, selected_keys), VERTICAL_LEVEL)
+        summed = attach(chosen, roll_up(vendors, VERTICAL_LEVEL, VERTICAL_GMV), VERTICAL_LEVEL, VERTICAL_GMV)
+    sets = pin(order_sets(rows, VERTICAL_LEVEL), "order-sets")
+    with_totals = counted(summed, sets, VERTICAL_LEVEL)
     shown = pin(keep_known_measures(with_totals), "shown-verticals")
 
     lines = running(
@@ -203,8 +206,7 @@ def _vertical_rows(
         position="pane_position", rows_per_task=rows_per_task,
     ).withColumn("is_total", F.lit(0))
 
-    total_orders = keep_selected(reduced, shown, VERTICAL_LEVEL).agg(
-        F.count_distinct(ORDER).alias("order_count"))
+    total_orders = orders_in_any(sets, shown)
     total_sums = shown.agg(
         *[F.sum(m).alias(m) for m in (*MEASURES, VERTICAL_GMV)],
         F.sum("gmv_eur").alias("running_gmv_eur"),
@@ -322,7 +324,7 @@ def gmv_difference(
 def running_difference(orders: DataFrame, filters: ViewFilters = ALL_ROWS) -> DataFrame:
     """Two passes: GMV running down the vendors of a vertical, then the difference of that
     running value across the verticals of the vendor, verticals standing side by side."""
-    marked = vendor_marks(orders, filters)
+    marked = pin(vendor_marks(orders, filters), "vendor-rows")
     summed = pin(
         running(marked, VERTICAL_LEVEL, vendor_order(), {"running_gmv_eur": F.col("gmv_eur")}, "pane_position"),
         "running-rows",

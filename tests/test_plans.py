@@ -90,17 +90,25 @@ def test_results_do_not_depend_on_the_layout(spark, setting, name):
         registry.tune = tuned
 
 
-@pytest.mark.parametrize("linked, scans", [(False, 1), (True, 2)])
+@pytest.mark.parametrize("linked, scans", [
+    (False, {"order-sets", "shown-verticals"}), (True, {"vendor-marks", "order-sets"})])
 def test_order_table_scans_of_the_vertical_report(spark, monkeypatch, linked, scans):
-    """Everything read from the order table is written once; all else comes from what was written."""
+    """The order table is read once for sums and once, two narrow columns more than the keys, for distinct orders.
+
+    What is written is as small as the marks, not as the orders.
+    """
     table = registry.orders(spark, CHECK)
     folder = table.inputFiles()[0].rsplit("/", 1)[0]
-    written = []
+    written = {}
 
     def watched(df, label):
-        if any(f.startswith(folder) for f in df.inputFiles()):
-            written.append(label)
-        return real(df, label)
+        reads = any(f.startswith(folder) for f in df.inputFiles())
+        stored = real(df, label)
+        if reads:
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            columns = [len(c.split(",")) for c in re.findall(r"FileScan parquet \[([^\]]*)\]", plan)]
+            written[label] = stored.count(), columns
+        return stored
 
     real = reports.pin
     monkeypatch.setattr(reports, "pin", watched)
@@ -108,10 +116,29 @@ def test_order_table_scans_of_the_vertical_report(spark, monkeypatch, linked, sc
         result = reports.dashboard(table, registry.ALL, registry.PARAMS, registry.PARETO_RANGE, VENDOR_MARK).verticals
     else:
         result = reports.vertical_report(table, registry.ALL, registry.PARAMS)
-    assert len(written) == scans
+    assert set(written) == scans
+    assert max(written["order-sets"][1]) <= 5
+    orders = table.select("platform_order_code").distinct().count()
+    assert all(rows <= orders for rows, _ in written.values())
     assert not any(f.startswith(folder) for f in result.inputFiles())
 
 
+@pytest.mark.parametrize("report", [reports.vendor_report, reports.running_difference, reports.gmv_difference])
+def test_joins_of_the_vendor_report_run_once(spark, monkeypatch, report):
+    """Running sums count and read stored marks, so the joins that attach the totals are in one written plan."""
+    joins = []
+
+    def watched(df, label):
+        joins.append((label, df._jdf.queryExecution().executedPlan().toString().count("Join ")))
+        return real(df, label)
+
+    real = reports.pin
+    monkeypatch.setattr(reports, "pin", watched)
+    result = report(registry.orders(spark, CHECK))
+    assert [label for label, n in joins if n] == ["vendor-rows"]
+    assert "Join " not in result._jdf.queryExecution().executedPlan().toString()
+
+
 def test_entities_of_unknown_size_do_not_shuffle_the_order_rows(spark, setting):
     """An entity table without statistics, past the threshold as far as the optimizer can tell."""
     from dataclasses import replace

@@ -1,5 +1,6 @@
 """Report rules on a small order table, and invariants on the given tables."""
 
+import random
 from collections import defaultdict
 from datetime import date
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from orderlens.checks import registry
 from orderlens.operators.filters import apply_context, filter_domains, keep_selected, member_filter
-from orderlens.operators.lod import VENDOR_MARK, VERTICAL_LEVEL
+from orderlens.operators.lod import VENDOR_MARK, VERTICAL_LEVEL, mark_id, order_sets, orders_in_any, orders_per_mark
 from orderlens.params import ReportParams, ViewFilters
 from orderlens.plans import reports
 from orderlens.sources.schemas import ORDER_TABLE
@@ -218,3 +219,25 @@ def test_total_orders_do_not_exceed_their_parts(orders):
     rows = reports.vertical_report(orders).collect()
     parts = sum(r.order_count for r in rows if not r.is_total)
     assert next(r.order_count for r in rows if r.is_total) <= parts
+
+
+def test_order_sets_count_any_choice_of_marks(spark):
+    """Distinct orders of marks and of unions of marks, with NULL keys, repeated codes and NULL codes."""
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", None]), rng.choice(["x", "y", None]), rng.choice([None, *map(str, range(60))])) for _ in range(400)]
+    frame = spark.createDataFrame(rows, "k string, l string, platform_order_code string").repartition(5)
+    keys = ["k", "l"]
+    sets = order_sets(frame, keys)
+    marks_ = frame.select(*keys).distinct().withColumn("mark_id", mark_id(keys))
+    counts = {(r.k, r.l): r.order_count for r in marks_.join(orders_per_mark(sets), "mark_id", "left").collect()}
+    codes = {m: {c for k, l, c in rows if (k, l) == m and c} for m in counts}
+    assert counts == {m: len(c) for m, c in codes.items()} and len(counts) == 9
+    for n in (0, 1, 4, 9):
+        chosen = rng.sample(sorted(codes, key=str), n)
+        shown = marks_.filter(F.concat_ws("|", F.coalesce("k", F.lit("-")), F.coalesce("l", F.lit("-"))).isin(
+            [f"{k or '-'}|{l or '-'}" for k, l in chosen] or ["?"]))
+        assert orders_in_any(sets, shown).first()[0] == len(set().union(*(codes[c] for c in chosen)))
+    # States over disjoint codes add up.
+    parts = [order_sets(frame.filter(F.col("platform_order_code") % 2 == i), keys) for i in (0, 1)]
+    assert sorted(map(repr, parts[0].unionAll(parts[1]).groupBy("marks").sum("orders").collect())) == sorted(
+        repr(r).replace("orders=", "sum(orders)=") for r in sets.collect())
