@@ -15,6 +15,7 @@ from orderlens.checks.outputs import columns, spark_output, sql_output
 from orderlens.functions.money import eur_name
 from orderlens.functions.orders import normal_vertical_parent
 from orderlens.operators.dimensions import entity_dimension, flatten_zones
+from orderlens.operators.fan_out import join_key_report
 from orderlens.operators.filters import CASCADING_COLUMNS, apply_context, filter_domains
 from orderlens.operators.impute import attach_zone_average, impute_fees, missing_fee_update, zone_average_fee
 from orderlens.operators.lod import VENDOR_LEVEL, VENDOR_MARK, VERTICAL_LEVEL
@@ -26,7 +27,6 @@ from orderlens.plans.batch import profit_orders
 from orderlens.session import pin, shared_path, tune
 from orderlens.sources.fixtures import FIXTURE_PARAMS, entity_of_nation, fixture_sources
 from orderlens.sources.schemas import ORDER_TABLE, Sources
-from orderlens.sources.tables import duplicate_keys
 from orderlens.sources.versions import open_table, publish, replace_from_self, update_where
 
 
@@ -355,21 +355,7 @@ def update_in_place(spark, sf_dir):
        FROM (SELECT 1 FROM zones GROUP BY entity_id, country_code, zone_id HAVING COUNT(*) > 1)""",
 )
 def join_key_duplicates(spark, sf_dir):
-    tables = sources(spark, sf_dir)
-    subscription_key = ["uuid", "created_date_utc"]
-    checked = {
-        "subs_apac": (tables.subs_apac, subscription_key),
-        "subs_eu": (tables.subs_eu, subscription_key),
-        "entities": (entity_dimension(tables.entities).join(
-            tables.sessions.select("entity_id"), "entity_id", "left_semi"), ["entity_id"]),
-        "delivery_orders": (tables.delivery_orders, ["global_entity_id", "order_id"]),
-        "platform_orders": (tables.platform_orders, ["global_entity_id", "code", "created_date_utc"]),
-        "zones": (zones(spark, sf_dir), ["entity_id", "country_code", "zone_id"]),
-    }
-    return reduce(DataFrame.unionByName, [
-        duplicate_keys(frame, keys).agg(F.count(F.lit(1)).alias("repeated_keys")).withColumn("join_key", F.lit(name))
-        for name, (frame, keys) in checked.items()
-    ])
+    return join_key_report(sources(spark, sf_dir), zones(spark, sf_dir))
 
 
 @register(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Optional
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,8 @@ from orderlens.functions.orders import (
     voucher_label,
 )
 from orderlens.operators.dimensions import entity_dimension
+from orderlens.operators.fan_out import RowCounts
+from orderlens.operators.salted import ROWS_PER_TASK, attach_lookup
 from orderlens.params import BatchParams
 from orderlens.session import pin
 from orderlens.sources.schemas import ORDER_TABLE, Sources
@@ -98,9 +102,18 @@ def delivery_order_details(sources: Sources, params: BatchParams) -> DataFrame:
     )
 
 
-def join_sources(sources: Sources, zones: DataFrame, params: BatchParams) -> DataFrame:
+ZONE_KEY = ["entity_id", "country_code", "zone_id"]
+
+
+def join_sources(
+    sources: Sources, zones: DataFrame, params: BatchParams, counts: Optional[RowCounts] = None,
+    zone_rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
     """Sessions with every looked-up column; a repeated key on the right repeats the session.
 
+    ``counts`` counts the rows after each join. ``zones`` is a stored table; its polygons may make it too large to
+    broadcast, and then hot zones are salted by their number of sessions.
+
     The join on two order keys comes before the one on those keys plus the date, so both can
     use one layout of the session rows. Entities need no scan of the sessions here: joining
     them to sessions already drops those without any. They are cut to the chosen ones and stored
@@ -111,21 +124,25 @@ def join_sources(sources: Sources, zones: DataFrame, params: BatchParams) -> Dat
         entity_dimension(sources.entities).filter(F.col("entity_id").isin(*params.entity_ids))
         .select("entity_id", "region"),
         "regions")
-    shapes = zones.select("entity_id", "country_code", "zone_id", "zone_shape")
-    return (
-        filter_sessions(sources.sessions, params)
-        .join(delivery_order_details(sources, params), ["entity_id", "platform_order_code"], "left")
-        .join(
-            platform_orders_with_subscription(sources, params),
-            ["entity_id", "platform_order_code", "created_date"],
-            "left",
-        )
-        .join(shapes, ["entity_id", "country_code", "zone_id"], "left")
-        .join(regions, "entity_id", "inner")
-    )
+    shapes = zones.select(*ZONE_KEY, "zone_shape")
+    sessions = filter_sessions(sources.sessions, params)
+
+    def passed(place: str, frame: DataFrame) -> DataFrame:
+        return frame if counts is None else counts.at(place, frame)
+
+    rows = passed("sessions", sessions)
+    rows = passed("delivery_orders", rows.join(
+        delivery_order_details(sources, params), ["entity_id", "platform_order_code"], "left"))
+    rows = passed("platform_orders", rows.join(
+        platform_orders_with_subscription(sources, params), ["entity_id", "platform_order_code", "created_date"], "left"))
+    rows = passed("zones", attach_lookup(
+        rows, shapes, ZONE_KEY, sessions, ["dps_sessionid", "platform_order_code", "order_placed_at"], zone_rows_per_task))
+    return passed("entities", rows.join(regions, "entity_id", "inner"))
 
 
-def order_fact(sources: Sources, zones: DataFrame, params: BatchParams) -> DataFrame:
+def order_fact(
+    sources: Sources, zones: DataFrame, params: BatchParams, counts: Optional[RowCounts] = None,
+) -> DataFrame:
     """All order columns that need no other order, subscription label included."""
     c = F.col
     rate = c("exchange_rate")
@@ -162,7 +179,7 @@ def order_fact(sources: Sources, zones: DataFrame, params: BatchParams) -> DataF
     for name in PLAIN_AMOUNTS:
         computed[eur_name(name)] = to_eur(c(name), rate)
 
-    joined = join_sources(sources, zones, params)
+    joined = join_sources(sources, zones, params, counts)
     available = set(joined.columns) | set(computed)
     names = [n for n in ORDER_TABLE.fieldNames() if n in available]
     return joined.select(*[

@@ -8,6 +8,7 @@ from typing import Optional, Sequence
 from pyspark.sql import DataFrame
 
 from orderlens.operators.dimensions import flatten_zones
+from orderlens.operators.fan_out import RowCounts, join_key_report
 from orderlens.operators.impute import attach_zone_average, impute_fees, zone_average_fee
 from orderlens.operators.order_fact import order_fact
 from orderlens.operators.profit import add_profit, order_table, vendor_aggregate
@@ -17,7 +18,9 @@ from orderlens.sources.schemas import Sources
 from orderlens.sources.versions import publish
 
 
-def imputed_orders(sources: Sources, params: BatchParams, zones: Optional[DataFrame] = None) -> DataFrame:
+def imputed_orders(
+    sources: Sources, params: BatchParams, zones: Optional[DataFrame] = None, counts: Optional[RowCounts] = None,
+) -> DataFrame:
     """Order fact with zone averages and filled-in fees.
 
     The averages are pinned first. Their pass reads only the columns it needs, and the wide
@@ -25,14 +28,17 @@ def imputed_orders(sources: Sources, params: BatchParams, zones: Optional[DataFr
     order rows on a zone key that may be hot, and a sort-merge join beyond the threshold.
     """
     zones = pin(flatten_zones(sources.countries, params), "zones") if zones is None else zones
-    fact = order_fact(sources, zones, params)
-    averages = pin(zone_average_fee(fact), "zone-fees")
+    averages = pin(zone_average_fee(order_fact(sources, zones, params)), "zone-fees")
+    # Rows are counted in the wide pass; the narrow one stays free to drop columns.
+    fact = order_fact(sources, zones, params, counts)
     return impute_fees(attach_zone_average(fact, averages))
 
 
-def profit_orders(sources: Sources, params: BatchParams, zones: Optional[DataFrame] = None) -> DataFrame:
+def profit_orders(
+    sources: Sources, params: BatchParams, zones: Optional[DataFrame] = None, counts: Optional[RowCounts] = None,
+) -> DataFrame:
     """One lazy plan from the sources to the 91 published columns."""
-    return order_table(add_profit(imputed_orders(sources, params, zones)))
+    return order_table(add_profit(imputed_orders(sources, params, zones, counts)))
 
 
 @dataclass(frozen=True)
@@ -40,14 +46,22 @@ class BatchTables:
     zones: DataFrame
     orders: DataFrame
     vendors: DataFrame
+    #: Order rows after each join, and the repeated keys of the right sides if a join made more of them.
+    join_rows: dict[str, int]
+    repeated_keys: Optional[DataFrame]
 
 
 def run_batch(
     sources: Sources, params: BatchParams, folder: str,
     partition_orders_by: Sequence[str] = ("created_date_utc",),
 ) -> BatchTables:
-    """Write the zone, order and vendor tables under ``folder``, each replaced as a whole."""
+    """Write the zone, order and vendor tables under ``folder``, each replaced as a whole.
+
+    If a join made more rows of the sessions, the repeated keys are reported under ``repeated_keys``.
+    """
     zones = publish(flatten_zones(sources.countries, params), f"{folder}/zones")
-    orders = publish(profit_orders(sources, params, zones), f"{folder}/orders", partition_orders_by)
+    counts = RowCounts()
+    orders = publish(profit_orders(sources, params, zones, counts), f"{folder}/orders", partition_orders_by)
     vendors = publish(vendor_aggregate(orders), f"{folder}/vendors")
-    return BatchTables(zones, orders, vendors)
+    repeated = publish(join_key_report(sources, zones), f"{folder}/repeated_keys") if counts.multiplied() else None
+    return BatchTables(zones, orders, vendors, counts.rows(), repeated)
