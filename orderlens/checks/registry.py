@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from orderlens.checks.oracle import SOURCE_NAMES, text_list, total, with_steps
 from orderlens.checks.outputs import columns, spark_output, sql_output
+from orderlens.functions.geo import point_wkb
 from orderlens.functions.money import eur_name
 from orderlens.functions.orders import normal_vertical_parent
 from orderlens.operators.dimensions import entity_dimension, flatten_zones
@@ -262,6 +263,24 @@ def customer_location(spark, sf_dir):
 _AVERAGES = "avg_actual_df_paid_local_impute avg_actual_df_paid_eur_impute"
 
 
+@register(
+    "customer_location_wkb", ORDER_KEY + "key: longitude_bits latitude_bits",
+    """SELECT entity_id, platform_order_code, dps_sessionid,
+              CASE WHEN latitude IS NOT NULL THEN CAST(CAST(longitude AS BIT) AS VARCHAR) END AS longitude_bits,
+              CASE WHEN longitude IS NOT NULL THEN CAST(CAST(latitude AS BIT) AS VARCHAR) END AS latitude_bits
+       FROM looked_up""",
+)
+def customer_location_wkb(spark, sf_dir):
+    """The two doubles of each point's well-known binary, bit by bit."""
+    wkb = F.hex(point_wkb(F.col("customer_location")))
+
+    def bits(first: int):
+        return F.concat(*[F.lpad(F.conv(F.substring(wkb, first + 8 * i, 8), 16, 2), 32, "0") for i in range(2)])
+
+    return facts(spark, sf_dir).select(
+        "entity_id", "platform_order_code", "dps_sessionid", bits(11).alias("longitude_bits"), bits(27).alias("latitude_bits"))
+
+
 @register("zone_avg_fee", f"key: entity_id zone_name; average: {_AVERAGES}", "SELECT * FROM zone_avg")
 def zone_avg_fee(spark, sf_dir):
     return zone_average_fee(facts(spark, sf_dir))
@@ -302,6 +321,28 @@ def vendor_agg_metrics(spark, sf_dir):
     return vendor_aggregate(profit_orders(sources(spark, sf_dir), FIXTURE_PARAMS, zones(spark, sf_dir)))
 
 
+_SPECIAL_RULES = """CASE WHEN CAST(vendor_id AS BIGINT) % 10 = 3 AND CAST(platform_order_code AS BIGINT) % 5 = 0 THEN CAST('NaN' AS DOUBLE)
+    WHEN CAST(vendor_id AS BIGINT) % 10 IN (4, 5) AND CAST(platform_order_code AS BIGINT) % 5 = 0 THEN CAST('Infinity' AS DOUBLE)
+    WHEN CAST(vendor_id AS BIGINT) % 10 IN (5, 6) AND CAST(platform_order_code AS BIGINT) % 5 = 1 THEN CAST('-Infinity' AS DOUBLE)
+    ELSE gmv_eur END"""
+_KIND = """CASE WHEN isnan({0}) THEN 'not a number' WHEN {0} = CAST('Infinity' AS DOUBLE) THEN 'up'
+    WHEN {0} = CAST('-Infinity' AS DOUBLE) THEN 'down' WHEN {0} IS NULL THEN 'none' ELSE 'number' END"""
+
+
+@register(
+    "special_amounts", "key: entity_id vendor_id kind; money: amount",
+    f"""SELECT entity_id, vendor_id, {_KIND.format("total")} AS kind,
+               CASE WHEN {_KIND.format("total")} = 'number' THEN total END AS amount
+        FROM (SELECT entity_id, vendor_id, SUM(amount) AS total
+              FROM (SELECT entity_id, vendor_id, {_SPECIAL_RULES} AS amount FROM order_table) GROUP BY ALL)""",
+)
+def special_amounts(spark, sf_dir):
+    """Totals with NaN and infinite amounts among the rows."""
+    amounts = orders(spark, sf_dir).withColumn("gmv_eur", F.expr(_SPECIAL_RULES))
+    totals = reports.fixed_totals(amounts, ["entity_id", "vendor_id"], "total").withColumn("kind", F.expr(_KIND.format("total")))
+    return totals.withColumn("amount", F.when(F.col("kind") == "number", F.col("total")))
+
+
 @register("publish_roundtrip", _AGGREGATE_OUTPUTS, "SELECT * FROM vendor_agg")
 def publish_roundtrip(spark, sf_dir):
     """Publish the aggregate, replace it once more, and read it back."""

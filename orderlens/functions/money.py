@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,29 +14,56 @@ MILLION = 1_000_000
 MONEY = "decimal(34,12)"
 
 
-PARTS = ("whole", "millionths", "rest")
+PARTS = ("whole", "millionths", "rest", "special")
+INFINITY, NOT_A_NUMBER = float("inf"), float("nan")
+#: Bits of the special part.
+UP, DOWN, NAN = 1, 2, 4
 
 
 def money_parts(amount: Column) -> tuple[Column, ...]:
-    """The three parts of an amount as integers, whose sums are as fast as those of doubles.
+    """Three parts of an amount as integers, whose sums are as fast as those of doubles, and its kind.
 
-    An infinite or NaN amount is an error.
+    NaN and infinite amounts have no integers; the fourth part says, in bits, which of them there were.
     """
-    whole = F.floor(amount)
-    scaled = (amount - whole) * float(MILLION)
+    special = F.when(F.isnan(amount), NAN).when(amount == INFINITY, UP).when(amount == -INFINITY, DOWN).otherwise(0)
+    finite = F.when(special == 0, amount)
+    whole = F.floor(finite)
+    scaled = (finite - whole) * float(MILLION)
     millionths = F.floor(scaled)
-    return whole, millionths, F.rint((scaled - millionths) * float(MILLION)).cast("bigint")
+    return whole, millionths, F.rint((scaled - millionths) * float(MILLION)).cast("bigint"), special
+
 
+def added(parts: Sequence[Column]) -> list[Column]:
+    """Each part over all rows: sums, and all kinds of special amounts that occur."""
+    return [*[F.sum(p) for p in parts[:3]], F.bit_or(parts[3])]
 
-def from_parts(whole: Column, millionths: Column, rest: Column) -> Column:
+
+def from_parts(whole: Column, millionths: Column, rest: Column, special: Column) -> Column:
+    """Decimal of the added parts: NULL without any amount, and where one was NaN or infinite."""
     wide = "decimal(20,0)"
     fraction = millionths.cast(wide) / F.lit(MILLION) + rest.cast(wide) / F.lit(MILLION) / F.lit(MILLION)
-    return (whole.cast(wide) + fraction.cast(MONEY)).cast(MONEY)
+    return F.when(special == 0, (whole.cast(wide) + fraction.cast(MONEY)).cast(MONEY))
+
+
+def total_of_parts(whole: Column, millionths: Column, rest: Column, special: Column) -> Column:
+    """Double of the added parts, with NaN and infinity as a sum of doubles has them."""
+    both = special.bitwiseAND(UP | DOWN) == UP | DOWN
+    return (
+        F.when((special.bitwiseAND(NAN) != 0) | both, F.lit(NOT_A_NUMBER))
+        .when(special.bitwiseAND(UP) != 0, F.lit(INFINITY))
+        .when(special.bitwiseAND(DOWN) != 0, F.lit(-INFINITY))
+        .otherwise(as_double(from_parts(whole, millionths, rest, special)))
+    )
 
 
 def exact_sum(amount: Column) -> Column:
-    """Decimal SUM that skips NULL and is NULL when every value is."""
-    return from_parts(*[F.sum(part) for part in money_parts(amount)])
+    """Decimal SUM that skips NULL; NULL when every value is, or when one is NaN or infinite."""
+    return from_parts(*added(money_parts(amount)))
+
+
+def exact_total(amount: Column) -> Column:
+    """The same as a double, NaN or infinite where such an amount takes part."""
+    return total_of_parts(*added(money_parts(amount)))
 
 
 def as_double(amount: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.functions.money import PARTS, as_double, from_parts, money_parts
+from orderlens.functions.money import PARTS, added, money_parts, total_of_parts
 
 ZONE_KEYS = ("entity_id", "zone_name")
 UNITS = ("local", "eur")
@@ -25,17 +25,17 @@ def zone_average_fee(orders: DataFrame) -> DataFrame:
     first = []
     for unit in UNITS:
         fee = F.when(known(unit), F.col(f"actual_df_paid_by_customer_{unit}"))
-        first += [F.sum(part).alias(f"{name}_{unit}") for name, part in zip(PARTS, money_parts(fee))]
+        first += [part.alias(f"{name}_{unit}") for name, part in zip(PARTS, added(money_parts(fee)))]
         first.append(F.max(known(unit)).alias(f"known_{unit}"))
     per_code = orders.groupBy(*ZONE_KEYS, "platform_order_code").agg(*first)
 
     has_code = F.col("platform_order_code").isNotNull()
     per_zone = per_code.groupBy(*ZONE_KEYS).agg(
-        *[from_parts(*[F.sum(f"{name}_{u}") for name in PARTS]).alias(f"fees_{u}") for u in UNITS],
+        *[total_of_parts(*added([F.col(f"{name}_{u}") for name in PARTS])).alias(f"fees_{u}") for u in UNITS],
         *[F.count_if(has_code & F.col(f"known_{u}")).alias(f"orders_{u}") for u in UNITS],
     )
     return per_zone.select(*ZONE_KEYS, *[
-        (as_double(F.col(f"fees_{u}")) / F.col(f"orders_{u}")).alias(f"avg_actual_df_paid_{u}_impute")
+        (F.col(f"fees_{u}") / F.col(f"orders_{u}")).alias(f"avg_actual_df_paid_{u}_impute")
         for u in UNITS
     ])
 

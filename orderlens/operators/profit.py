@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.functions.money import as_double, exact_sum, to_eur
+from orderlens.functions.money import exact_total, to_eur
 from orderlens.functions.orders import before_vat
 from orderlens.sources.schemas import ORDER_TABLE
 
@@ -61,7 +61,7 @@ def vendor_aggregate(orders: DataFrame) -> DataFrame:
         .groupBy(*AGGREGATE_KEYS)
         .agg(
             F.count_distinct("platform_order_code").alias("order_count"),
-            *[as_double(exact_sum(F.col(m))).alias(m)
+            *[exact_total(F.col(m)).alias(m)
               for m in ("gmv_eur", "gross_profit_eur", "gross_profit_eur_cf")],
         )
     )

@@ -15,7 +15,8 @@ from orderlens.operators.profit import add_profit, order_table, vendor_aggregate
 from orderlens.params import BatchParams
 from orderlens.session import pin
 from orderlens.sources.schemas import Sources
-from orderlens.sources.versions import publish
+from orderlens.sources.tables import publish_table
+from orderlens.sources.versions import publish as publish_folder
 
 
 def imputed_orders(
@@ -53,12 +54,17 @@ class BatchTables:
 
 def run_batch(
     sources: Sources, params: BatchParams, folder: str,
-    partition_orders_by: Sequence[str] = ("created_date_utc",),
+    partition_orders_by: Sequence[str] = ("created_date_utc",), database: Optional[str] = None,
 ) -> BatchTables:
     """Write the zone, order and vendor tables under ``folder``, each replaced as a whole.
 
-    If a join made more rows of the sessions, the repeated keys are reported under ``repeated_keys``.
+    If a join made more rows of the sessions, the repeated keys are reported under ``repeated_keys``. With a
+    ``database`` the catalog there names the tables too.
     """
+    def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+        name = path.rsplit("/", 1)[1]
+        return publish_table(df, f"{database}.{name}", path, partition_by) if database else publish_folder(df, path, partition_by)
+
     zones = publish(flatten_zones(sources.countries, params), f"{folder}/zones")
     counts = RowCounts()
     orders = publish(profit_orders(sources, params, zones, counts), f"{folder}/orders", partition_orders_by)

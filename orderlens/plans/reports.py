@@ -7,7 +7,7 @@ from typing import Mapping, NamedTuple, Optional, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.functions.money import MONEY, as_double, exact_sum, ratio
+from orderlens.functions.money import MONEY, as_double, exact_total, ratio
 from orderlens.operators.filters import (
     apply_context,
     keep_known_measures,
@@ -88,7 +88,7 @@ def fixed_totals(
 ) -> DataFrame:
     """GMV fixed at ``level`` over the context rows, with the number of orders rows it covers."""
     totals = apply_context(orders, filters).groupBy(*level).agg(
-        as_double(exact_sum(F.col("gmv_eur"))).alias(name),
+        exact_total(F.col("gmv_eur")).alias(name),
         F.count(F.lit(1)).alias("order_rows"),
     )
     return totals
@@ -273,7 +273,7 @@ def average_profit_cf(orders: DataFrame, keys: Sequence[str], filters: ViewFilte
     """Plain average of counterfactual profit over order rows."""
     profit = F.col("gross_profit_eur_cf")
     return apply_context(orders, filters).groupBy(*keys).agg(
-        ratio(as_double(exact_sum(profit)), F.count(profit)).alias("avg_gross_profit_eur_cf"))
+        ratio(exact_total(profit), F.count(profit)).alias("avg_gross_profit_eur_cf"))
 
 
 def gmv_bins(orders: DataFrame, filters: ViewFilters = ALL_ROWS, params: ReportParams = ReportParams()) -> DataFrame:

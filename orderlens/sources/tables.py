@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import re
-from typing import Mapping, Sequence
+from typing import Mapping, Optional, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from orderlens.params import BatchParams
 from orderlens.sources.schemas import SOURCE_SCHEMAS, Sources
 from orderlens.sources.versions import VERSION, Folder, open_table, publish
 
@@ -32,12 +33,30 @@ def read_sources(spark: SparkSession, paths: Mapping[str, str]) -> Sources:
     })
 
 
-def read_catalog_sources(spark: SparkSession, tables: Mapping[str, str]) -> Sources:
-    """Catalog tables, one per source name."""
-    return Sources(**{
-        name: conform(spark.table(tables[name]), schema)
-        for name, schema in SOURCE_SCHEMAS.items()
-    })
+#: Conditions on the two large named tables, as typed parameters of their SQL.
+NAMED_CONDITIONS = {
+    "sessions": "WHERE created_date BETWEEN :first AND :last AND array_contains(:entities, entity_id)",
+    "platform_orders": "WHERE created_date_utc BETWEEN :first AND :last AND array_contains(:entities, global_entity_id)",
+}
+
+
+def read_catalog_sources(
+    spark: SparkSession, tables: Mapping[str, str], params: Optional[BatchParams] = None,
+) -> Sources:
+    """Catalog tables, one per source name, read by SQL with named parameters.
+
+    With ``params`` the large ones are cut to its window and entities, as dates and an array of strings, never as text.
+    """
+    if missing := set(SOURCE_SCHEMAS) - set(tables):
+        raise ValueError(f"no table named for {sorted(missing)}")
+    found = {}
+    for name, schema in SOURCE_SCHEMAS.items():
+        args: dict = {"table": tables[name]}
+        condition = NAMED_CONDITIONS.get(name, "") if params else ""
+        if condition:
+            args |= {"first": params.start_date, "last": params.end_date, "entities": list(params.entity_ids)}
+        found[name] = conform(spark.sql(f"SELECT * FROM IDENTIFIER(:table) {condition}", args=args), schema)
+    return Sources(**found)
 
 
 def publish_table(df: DataFrame, table: str, path: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -23,6 +23,7 @@ from orderlens.operators.order_fact import order_fact
 from orderlens.operators.profit import PLACE_COLUMNS, vendor_aggregate
 from orderlens.plans.batch import profit_orders, run_batch
 from orderlens.sources.schemas import ORDER_TABLE, SOURCE_SCHEMAS
+from orderlens.sources.tables import read_catalog_sources
 from orderlens.sources.versions import open_table
 
 
@@ -235,6 +236,42 @@ def test_job(spark, tmp_path):
     assert row.gross_profit_eur == pytest.approx(18 / 4)
 
 
+def test_job_over_catalog_tables(spark, tmp_path):
+    """Sources and results by name; dates and entities are typed parameters of the SQL."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS orderlens_raw LOCATION '{tmp_path}/raw'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS orderlens_out LOCATION '{tmp_path}/db'")
+    try:
+        tables = sources(spark, sessions=[SESSION, variant(SESSION, created_date=date(2022, 9, 30)), variant(SESSION, entity_id="FP'; --")])
+        for name in SOURCE_SCHEMAS:
+            getattr(tables, name).write.saveAsTable(f"orderlens_raw.{name}")
+        names = [part for name in SOURCE_SCHEMAS for part in ("--table", f"{name}=orderlens_raw.{name}")]
+        for _ in range(2):
+            main([*names, "--output", f"{tmp_path}/out", "--database", "orderlens_out", "--entities", "FP_TW", "FP'; --"])
+            row = spark.table("orderlens_out.vendors").first()
+            assert (row.region, row.vendor_id, row.order_count) == ("Asia", "v1", 1)
+            assert spark.table("orderlens_out.orders").count() == 1 == open_table(spark, f"{tmp_path}/out/orders").count()
+            assert spark.table("orderlens_out.orders").schema == open_table(spark, f"{tmp_path}/out/orders").schema
+        read = read_catalog_sources(spark, {n: f"orderlens_raw.{n}" for n in SOURCE_SCHEMAS}, PARAMS)
+        assert [str(r.created_date) for r in read.sessions.collect()] == [str(DAY)]
+        plan = read.sessions._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(created_date,2022-06-01)" in plan
+        with pytest.raises(ValueError):
+            read_catalog_sources(spark, {"sessions": "orderlens_raw.sessions"})
+    finally:
+        spark.sql("DROP DATABASE orderlens_raw CASCADE")
+        spark.sql("DROP DATABASE orderlens_out CASCADE")
+
+
+def test_one_special_amount_does_not_stop_the_job(spark):
+    """NaN and infinite amounts stay in their own rows and totals."""
+    rows = [SESSION, variant(SESSION, vendor_id="v2", gmv_local=float("nan")), variant(SESSION, vendor_id="v3", gmv_local=float("inf")),
+            variant(SESSION, vendor_id="v4", dps_delivery_fee_local=None, delivery_fee_local=float("inf"))]
+    orders = profit_orders(sources(spark, sessions=rows), PARAMS)
+    got = {r.vendor_id: r for r in vendor_aggregate(orders).collect()}
+    assert got["v1"].gmv_eur == 22.5 and got["v2"].gmv_eur != got["v2"].gmv_eur and got["v3"].gmv_eur == float("inf")
+    assert zone_average_fee(orders).count() == 1
+
+
 def test_one_hot_key_is_split(spark, setting):
     """A third of the sessions share one order key; the join splits it and keeps every row."""
     from conftest import CHECK

@@ -6,7 +6,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from orderlens.functions.money import exact_sum, ratio
+from orderlens.functions.geo import as_geography, has_geography, point_wkb
+from orderlens.functions.money import exact_sum, exact_total, ratio
 from orderlens.functions.orders import (
     days_between,
     geo_point,
@@ -105,8 +106,8 @@ def test_exact_sum(spark):
     assert total([-1.25, 0.1, None, 0.2]) == "-0.950000000000"
     assert total([None, None]) is None
     assert total([8e12] * 2_000) == "16000000000000000.000000000000"
-    with pytest.raises(PySparkException):
-        total([float("nan")])
+    # A decimal holds no special amount; ``exact_total`` does.
+    assert total([1.0, float("inf")]) is None and total([float("nan")]) is None
 
 
 def test_exact_sum_keeps_small_digits(spark):
@@ -118,3 +119,40 @@ def test_exact_sum_keeps_small_digits(spark):
 def test_report_ratio_has_no_division_error(spark):
     assert evaluate(spark, "a double, b bigint", [(4.0, 2), (4.0, 0), (None, 2)],
                     ratio(F.col("a"), F.col("b"))) == [2.0, None, None]
+
+
+def test_totals_with_special_amounts_are_those_of_doubles(spark):
+    inf, nan = float("inf"), float("nan")
+    groups = {
+        "finite": [1.5, -2.25, None, 1e9], "none": [None, None], "nan": [nan, 1.0, inf], "up": [inf, 5.0, None, inf],
+        "down": [-inf, 5.0], "both": [inf, -inf, 1.0], "zero": [0.0, -0.0]}
+    frame = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, v double").repartition(4)
+    got = {r.k: (r.total, r.plain, r.exact) for r in frame.groupBy("k").agg(
+        exact_total(F.col("v")).alias("total"), F.sum("v").alias("plain"), exact_sum(F.col("v")).alias("exact")).collect()}
+    for k, (total, plain, exact) in got.items():
+        assert total == plain or total != total and plain != plain
+        assert (exact is None) == (k not in ("finite", "zero"))
+
+
+def test_point_as_well_known_binary(spark, setting):
+    import struct
+
+    rows = [(10.0, 20.0), (None, 20.0), (190.0, -90.0), (-0.0, 5e-324), (1 / 3, -89.99999999999999)]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, x double, y double").withColumn(
+        "point", geo_point(F.col("x"), F.col("y")))
+    wanted = [(r.point.longitude, r.point.latitude) if r.point else None for r in frame.orderBy("i").collect()]
+
+    def read(wkb):
+        assert wkb is None or wkb[:5] == b"\0\0\0\0\1" and len(wkb) == 21
+        return None if wkb is None else struct.unpack(">dd", wkb[5:])
+
+    got = [read(r[0] and bytes(r[0])) for r in frame.orderBy("i").select(point_wkb(F.col("point"))).collect()]
+    assert list(map(repr, got)) == list(map(repr, wanted)) and wanted[2] == (-170.0, -90.0)
+    # Without the type the binary stands for the geography; with it the point reads back through it.
+    assert not has_geography(spark)
+    assert frame.select(as_geography(spark, F.col("point")).alias("g")).schema["g"].dataType.typeName() == "binary"
+    setting("spark.sql.geospatial.enabled", "true")
+    shown = frame.orderBy("i").select("i", as_geography(spark, F.col("point")).alias("g"))
+    assert shown.schema["g"].dataType.typeName().startswith("geography")
+    back = [read(r[0] and bytes(r[0])) for r in shown.select(F.call_function("st_asbinary", "g")).collect()]
+    assert list(map(repr, back)) == list(map(repr, wanted))
