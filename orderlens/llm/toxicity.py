@@ -235,7 +235,8 @@ def learn(
         return ToxicityModel(nothing, np.zeros(0), 40.0 if sizes.get(1) else -40.0)
     shares = {c: min(1.0, params.sample_per_class / n) for c, n in sizes.items()}
     share = F.create_map(*[F.lit(x) for item in shares.items() for x in item])[F.col("toxic")]
-    drawn = marked.filter(share_hash("key__") <= share).withColumn("weight", 1.0 / share)
+    # Bounded by its parameter, whatever the size of the tables: two numbers for each of 16,000 ids or so.
+    drawn = F.broadcast(marked.filter(share_hash("key__") <= share).withColumn("weight", 1.0 / share))
     texts = docs.select(docs[key].alias("key__"), docs[text].alias("text")).filter("text is not null").join(drawn, "key__")
     rows = store(_row_words(texts), "toxicity-words")
 
