@@ -239,3 +239,30 @@ def update_where(spark: SparkSession, path: str, condition: Column, assignments:
     version = replace(before, number=before.number + 1, folders=kept + added, replaced=tuple(touched), made_by=made_by)
     _put(folder, version, before, 24.0)
     return list(added)
+
+
+def _is_in(folder: str, column: str, values: set[str]) -> bool:
+    return any(_decoded(part) in {f"{column}={v}" for v in values} for part in folder.split("/"))
+
+
+def replace_partitions(df: DataFrame, path: str, column: str, values: Sequence[str]) -> DataFrame:
+    """Replace the partitions whose ``column`` (a string) is one of ``values`` by the rows of ``df``, all of which lie there.
+
+    Other partitions keep their files. A table that is not there yet is created.
+    """
+    spark, made_by = df.sparkSession, uuid.uuid4().hex
+    folder = Folder(spark, path)
+    before = folder.current()
+    if before is None:
+        return publish(df, path, [column])
+    if before.schema != df.schema or column not in before.partition_by:
+        raise ValueError(f"rows do not fit the table at {path}")
+    added = _add(df, path, before.partition_by, made_by)
+    wanted = set(values)
+    if strays := [n for n in added if not _is_in(n, column, wanted)]:
+        raise ValueError(f"rows outside the replaced partitions: {strays[:3]}")
+    gone = tuple(n for n in before.folders if _is_in(n, column, wanted))
+    kept = tuple(n for n in before.folders if n not in set(gone))
+    version = replace(before, number=before.number + 1, folders=kept + added, replaced=gone, made_by=made_by)
+    _put(folder, version, before, 24.0)
+    return _read(spark, path, version)
