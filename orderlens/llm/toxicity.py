@@ -54,7 +54,7 @@ class ToxicityParams:
     #: Standard deviations by which a word's toxic rows must differ from chance.
     min_surprise: float = 5.0
     shrink: float = 0.002
-    counterfactual: float = 1.0
+    counterfactual: float = 100.0
     #: Share of the sampled texts into which a name of a kind is put, for each kind.
     planted: float = 0.25
     steps: int = 400
@@ -126,7 +126,11 @@ def fit_weights(
     scale = np.maximum(np.bincount(columns, weights=weights[cells], minlength=n_columns) / total, 1e-3)
     row, gone, come = swaps
     per_row = np.bincount(cells, minlength=n).astype(float)
-    rate = 1.0 / (0.25 * (per_row.mean() + 1) + 0.5 * params.counterfactual + params.shrink + 1.0)
+    curve = 0.25 * (per_row.mean() + 1) + params.shrink + 1.0
+    rate = 1.0 / curve
+    # Names curve the loss by their swaps too, so they take shorter steps; words do not wait for them.
+    swapped = np.bincount(gone, minlength=n_columns + 1)[:n_columns] + np.bincount(come, minlength=n_columns + 1)[:n_columns]
+    steep = scale + params.counterfactual / 4 * swapped / max(1, len(row)) / curve
     for _ in range(params.steps):
         margin = np.bincount(cells, weights=ahead_w[columns], minlength=n) + ahead_b
         score = _sigmoid(margin)
@@ -144,7 +148,7 @@ def fit_weights(
             slope -= np.bincount(come, weights=there, minlength=n_columns + 1)[:n_columns]
             slope_b += pull.sum()
         # Rare words move further: the loss curves less along them.
-        step_w = ahead_w - rate * slope / scale
+        step_w = ahead_w - rate * slope / steep
         step_b = ahead_b - rate * slope_b
         following = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         ahead_w = step_w + (momentum - 1) / following * (step_w - w)
