@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import argparse
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import langid, mixing, pieces, secrets, simhash
 from orderlens.llm.common import fold
 from orderlens.llm.queries import PIECE_MODEL, table, tokenizer_file
-from orderlens.session import pin
+from orderlens.session import pin, temporary, tune
 
 #: Share of a text's n-grams that its language must hold.
 LEAST_LANGUAGE_SCORE = 0.2
@@ -71,8 +73,26 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+def apply_stages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     for name, stage in STAGES:
         docs = pin(stage(spark, docs, sf_dir), name)
     return docs
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_stages(spark, table(spark, sf_dir, "documents"), sf_dir)
+
+
+def main(argv=None) -> None:
+    """Job for spark-submit: documents in, rows of the last stage out; what lies between is deleted at the end."""
+    parser = argparse.ArgumentParser(description=main.__doc__)
+    parser.add_argument("--tables", required=True, help="folder that holds documents.parquet")
+    parser.add_argument("--output", required=True, help="new folder for the token ids")
+    args = parser.parse_args(argv)
+    spark = tune(SparkSession.builder.appName("corpus-pipeline").getOrCreate())
+    with temporary(spark):
+        run(spark, args.tables).write.parquet(args.output)
+
+
+if __name__ == "__main__":
+    main()
