@@ -148,6 +148,20 @@ def test_rows_of_every_stage(spark):
             assert got + len(spelt.decode()) * vocabulary.unknown == pytest.approx(score, rel=1e-9)
 
 
+def test_job_leaves_its_result_alone(spark, tmp_path, monkeypatch):
+    import glob
+
+    from orderlens import session
+
+    made = []
+    real = session.shared_path
+    monkeypatch.setattr(session, "shared_path", lambda *a: made.append(real(*a)) or made[-1])
+    table(spark, CHECK, "documents").filter("doc_id < 150").write.parquet(f"{tmp_path}/in/documents.parquet")
+    corpus_pipeline.main(["--tables", f"{tmp_path}/in", "--output", f"{tmp_path}/out"])
+    assert spark.read.parquet(f"{tmp_path}/out").filter("size(ids) > 0").count() > 100
+    assert len(made) > 10 and not any(glob.glob(p.removeprefix("file:") + "/*") for p in made)
+
+
 def test_names_that_operators_use_themselves_come_through(spark):
     docs = fixture(spark)
     want = {r.doc_id: r for r in docs.collect()}
