@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 from functools import reduce
 from typing import Callable, Optional
@@ -22,7 +22,7 @@ from orderlens.operators.impute import attach_zone_average, impute_fees, missing
 from orderlens.operators.lod import VENDOR_LEVEL, VENDOR_MARK, VERTICAL_LEVEL
 from orderlens.operators.order_fact import FREE_FLAG, PLAIN_AMOUNTS, filter_sessions, order_fact
 from orderlens.operators.profit import AGGREGATE_KEYS, vendor_aggregate
-from orderlens.params import BatchParams, ReportParams, ViewFilters
+from orderlens.params import DEFAULT_VIEW_FILTERS, BatchParams, ReportParams, ViewFilters
 from orderlens.plans import day_marks, reports
 from orderlens.plans.batch import profit_orders
 from orderlens.session import pin, shared_path, tune
@@ -422,12 +422,9 @@ SUBSCRIBERS_IN_ASIA = ViewFilters(
     region=(None, "Asia"),
     is_fd_subscription=("Y",),
 )
-ONE_ENTITY = ViewFilters(
-    created_date_utc=(date(1997, 6, 1), date(1999, 8, 31)),
-    entity_id=(entity_of_nation(7),),
-    region=(None, "Asia"),
-    is_fd_subscription=("Y",),
-)
+# The state in which the reports open, with dates and an entity that the given tables have.
+ONE_ENTITY = replace(
+    DEFAULT_VIEW_FILTERS, created_date_utc=(date(1997, 6, 1), date(1999, 8, 31)), entity_id=(entity_of_nation(7),))
 SUBSCRIBERS_SQL = """created_date_utc BETWEEN DATE '1997-06-01' AND DATE '1999-08-31'
     AND (region = 'Asia' OR region IS NULL) AND is_fd_subscription = 'Y'"""
 PARAMS = ReportParams()
