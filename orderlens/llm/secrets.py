@@ -5,7 +5,8 @@ once. Bytes that send every state back to the start cut a text into stretches th
 the stretches of many texts are read in step, longest first, one table lookup a byte. A stretch in
 which a pattern was recognised is then read by each rule's own automata: one reads it backwards and marks
 where matches begin, the other gives from there the leftmost, longest, non-overlapping matches; those that
-fail the rule's length are dropped. Both read a byte a bounded number of times, however long the text is.
+fail the rule's length are dropped. Both read a byte a bounded number of times, however long the text is, and
+a long text is read in pieces of a megabyte that end at such a byte.
 
 Spans count code points, end exclusive, ordered by start and then by the rules' order. A null text
 is an empty one and has no spans. Repeated rows stay; extra columns are carried, input columns named
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.llm.automaton import Automaton, compile_backwards, compile_patterns
-from orderlens.llm.common import append_columns, text_offsets, texts_of
+from orderlens.llm.common import append_columns, long_pieces, text_offsets, texts_of
 
 
 @dataclass(frozen=True)
@@ -174,7 +175,23 @@ def _assigned_length(match: bytes) -> int:
 
 
 def spans_of(column: pa.Array, scan: Scanner) -> list[list[tuple[str, int, int]]]:
-    """(kind, start, end) of every secret of each row, in code points."""
+    """(kind, start, end) of every secret of each row, in code points; a long text is read piece by piece."""
+    def after_cut(window: np.ndarray) -> np.ndarray:
+        return np.flatnonzero(scan.cutting[window[:-1]]) + 1
+
+    found, chars = None, 0
+    for piece in long_pieces(column, after_cut):
+        spans = _spans(piece, scan)
+        if found is None:
+            found = spans
+        else:
+            found[0] += [(kind, a + chars, b + chars) for kind, a, b in spans[0]]
+        if piece is not column:
+            chars += int(np.count_nonzero((text_offsets(piece)[1] & 0xC0) != 0x80))
+    return found
+
+
+def _spans(column: pa.Array, scan: Scanner) -> list[list[tuple[str, int, int]]]:
     offsets, data = text_offsets(column)
     starts, ends = flagged_stretches(data, offsets, scan)
     found: dict[int, list[tuple[int, int, int]]] = {}

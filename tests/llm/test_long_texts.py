@@ -9,12 +9,13 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from orderlens.llm import common, langid, pieces, simhash, token_files, toxicity
+from orderlens.llm import common, langid, pieces, secrets, simhash, token_files, toxicity
 from orderlens.llm.queries import PIECE_MODEL, WORD_BPE, tokenizer_file
 
 RNG = random.Random(21)
 WORDS = "The house, the river — Ünïcode ▁ 日本語 scum don't stop.\nNew  line\t tab \U0001F600 x1 <|a|> A.B".split(" ") + ["", "", "\n"]
-TEXTS = [" ".join(RNG.choice(WORDS) for _ in range(n)) for n in (0, 1, 2, 3, 40, 900)] + ["x" * 700, " " * 500, "日本" * 300, "\n" * 300]
+TEXTS = [" ".join(RNG.choice(WORDS) for _ in range(n)) for n in (0, 1, 2, 3, 40, 900)] + [
+    "é token: abcdef1234,\n日 AKIA" + "B7" * 9 + ", password = 'hunter2hunter2', " + "deadbeef" * 4 + "\tghp_" + "Ab1" * 12 + " end " * 30] + ["x" * 700, " " * 500, "日本" * 300, "\n" * 300]
 
 
 def results(text):
@@ -30,7 +31,8 @@ def results(text):
     ids, counts = token_files.encode_rows(column, token_files.word_ids(tokenizer_file(WORD_BPE)))
     more, sizes, crcs = pieces.encode_rows(column, tokenizer_file(PIECE_MODEL))
     digests = pieces.decoded_digests(more, sizes, pieces.word_ids(tokenizer_file(PIECE_MODEL))[2])
-    return (held.tolist(), total.tolist(), letters.tolist(), toxicity.score_texts(column, model).tolist(), ids.tolist(), counts.tolist(),
+    spans = secrets.spans_of(column, secrets.scanner())
+    return (held.tolist(), spans, total.tolist(), letters.tolist(), toxicity.score_texts(column, model).tolist(), ids.tolist(), counts.tolist(),
             more.tolist(), sizes.tolist(), crcs, *map(list, digests), simhash.majority_bits(simhash.shingle_hashes(text.encode(), 3)))
 
 
@@ -58,7 +60,7 @@ def test_memory_does_not_grow_with_a_text(spark):
     results(text[:3000])
     before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
     made = results(text)
-    assert made[8] == [zlib.crc32(text.encode())] == made[10] and made[9] == [len(text)]
+    assert made[9] == [zlib.crc32(text.encode())] == made[11] and made[10] == [len(text)]
     # The ids of 16 MB are 14 MB each as arrays; lists of them, as the test makes, take 8 bytes an id more.
     assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 700 * 1024
 
