@@ -239,9 +239,11 @@ def meet(rows: DataFrame, queries: DataFrame, cells: int, params: ProbeParams) -
     rows: dims, at, bucket, ids, vector; queries: dims, at, bucket, asked, own, vector.
     """
     each = ["dims", "at", "bucket"]
+    # Stored, so that their size decides whether the vectors have to be shuffled for them.
     known = {
-        "row_blocks": _blocks(rows.groupBy(*each).agg(F.count("*").alias("n")), "row_blocks", params.block),
-        "query_blocks": _blocks(queries.groupBy(*each).agg(F.count("*").alias("n")), "query_blocks", params.queries)}
+        "row_blocks": pin(_blocks(rows.groupBy(*each).agg(F.count("*").alias("n")), "row_blocks", params.block), "row-blocks"),
+        "query_blocks": pin(
+            _blocks(queries.groupBy(*each).agg(F.count("*").alias("n")), "query_blocks", params.queries), "query-blocks")}
 
     def every(blocks: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
