@@ -55,6 +55,35 @@ def test_token_files_are_in_id_order_and_indexed(spark, tmp_path):
     assert column.has_column_index and column.has_offset_index
 
 
+def test_selective_reads_of_token_files(spark, tmp_path):
+    """Encodings and row groups as asked for; a read of some documents leaves the pages of others alone."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    rng = random.Random(8)
+    docs = documents(spark, [" ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) + str(rng.randrange(900)) for _ in range(400)) for _ in range(3000)])
+    path = stored(spark, docs.coalesce(1))
+    kinds = {}
+    for file in glob.glob(path.removeprefix("file:") + "/part-*"):
+        groups = pq.ParquetFile(file).metadata
+        for g in range(groups.num_row_groups):
+            assert groups.row_group(g).total_byte_size <= 40 << 20
+            for c in range(groups.num_columns):
+                column = groups.row_group(g).column(c)
+                assert column.has_column_index and column.has_offset_index and column.compression == "ZSTD"
+                kinds.setdefault(column.path_in_schema, set()).update(column.encodings)
+    assert "DELTA_BINARY_PACKED" in kinds["doc_id"] and "DELTA_BINARY_PACKED" in kinds["before"]
+    tokens = next(v for k, v in kinds.items() if k.startswith("tokens"))
+    assert "RLE_DICTIONARY" in tokens
+    # Metadata alone, and the tokens of three documents, by their ids.
+    some = token_files.read(spark, path).filter(F.col("doc_id").between(1500, 1502))
+    plan = some.select("doc_id", "start", "n_tokens")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(doc_id,1500)" in plan and "tokens:array" not in plan
+    whole = {r.doc_id: r.tokens for r in token_files.read(spark, path).select("doc_id", "tokens").collect()}
+    assert {r.doc_id: r.tokens for r in some.select("doc_id", "tokens").collect()} == {i: whole[i] for i in (1500, 1501, 1502)}
+
+
 def test_empty_and_null_ids(spark):
     assert token_files.digests(token_files.read(spark, stored(spark, documents(spark, [])))).count() == 0
     repeated = spark.createDataFrame([(None, "b"), (1, "x"), (1, "a"), (1, "a"), (None, None)], "doc_id long, text string")
