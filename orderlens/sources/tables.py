@@ -82,7 +82,8 @@ def publish_table(df: DataFrame, table: str, path: str, partition_by: Sequence[s
     spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {listed} FROM {behind} WHERE `{VERSION}` = '{version.made_by}'")
     database, _, name = table.rpartition(".")
     for other in spark.catalog.listTables(database or None):
-        if re.fullmatch(re.escape(name) + "_[0-9a-f]{32}", other.name) and not behind.endswith(other.name):
+        older = re.fullmatch(re.escape(name) + "_[0-9a-f]{32}", other.name) and not behind.endswith(other.name)
+        if older and not other.isTemporary:
             spark.sql(f"DROP TABLE {database + '.' if database else ''}{other.name}")
     if old:
         spark.sql(f"DROP TABLE {old}")
