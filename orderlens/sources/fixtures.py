@@ -174,26 +174,65 @@ SPARK_SPELLING = {
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
+# The same joins in the order that shuffles fewest bytes: customers meet the orders, parts and suppliers the bare
+# lines. The order key comes last and as the text that the sessions call ``platform_order_code``, so their rows
+# come out laid out by it and the lookups by order code need no shuffle of them.
+_SESSION_JOINS = FIXTURE_SQL["sessions"][FIXTURE_SQL["sessions"].index("FROM {lineitem}"):]
+_SESSION_JOINS_BY_CODE = """FROM {lineitem} l
+JOIN {part} p ON l.l_partkey = p.p_partkey
+JOIN {supplier} s ON l.l_suppkey = s.s_suppkey
+JOIN ({orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey)
+  ON CAST(l.l_orderkey AS STRING) = CAST(o.o_orderkey AS STRING)
+JOIN {dim_entity} e ON s.s_nationkey = e.n_nationkey"""
+
+# What the order tables read of the sessions; they are distinct over it, so repeats may go first.
+_SESSION_KEYS = ("entity_id", "order_id", "platform_order_code", "created_date", "variant", "delivery_status")
+# Steps that are read more than once and are far narrower than the sessions; the others are left as plans, so that
+# a query reads only the columns it needs. The few entities are stored so that their size is known, not estimated.
+_STORED_STEPS = {"dim_entity", "delivery_orders", "platform_keys"}
+
 
 def _tables_in(text: str) -> list[str]:
     return [n for n in (*BASE_TABLES, *FIXTURE_SQL) if "{%s}" % n in text]
 
 
-def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    """Derive the source tables once and store them, as the batch job would find them."""
-    frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES}
-    frames["lineitem"] = _spread(frames["lineitem"])
-    for name, text in FIXTURE_SQL.items():
+class FixtureTables:
+    """The steps of the mapping by name, each made when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+        self._frames: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            self._frames[name] = self._made(name)
+        return self._frames[name]
+
+    def _made(self, name: str) -> DataFrame:
+        if name in BASE_TABLES:
+            frame = self._spark.read.parquet(f"{self._sf_dir}/{name}.parquet")
+            return _spread(frame) if name == "lineitem" else frame
+        if name == "session_keys":
+            return pin(self["sessions"].select(*_SESSION_KEYS).distinct(), name)
+        text = FIXTURE_SQL[name].replace(_SESSION_JOINS, _SESSION_JOINS_BY_CODE)
         for token, spelling in SPARK_SPELLING.items():
             text = text.replace(token, spelling)
-        frame = spark.sql(text, **{t: frames[t] for t in _tables_in(text)})
+        frame = self._spark.sql(
+            text, **{t: self["session_keys" if t == "sessions" else t] for t in _tables_in(text)})
         if name in SOURCE_SCHEMAS:
-            frame = pin(conform(frame, SOURCE_SCHEMAS[name]), name)
-        frames[name] = frame
-    return Sources(**{name: frames[name] for name in SOURCE_SCHEMAS})
+            frame = conform(frame, SOURCE_SCHEMAS[name])
+        return pin(frame, name) if name in _STORED_STEPS else frame
+
+    def sources(self) -> Sources:
+        return Sources(**{name: self[name] for name in SOURCE_SCHEMAS})
+
+
+def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
+    """The source tables, as views of the given ones and of the stored order keys."""
+    return FixtureTables(spark, sf_dir).sources()
 
 
 def _spread(frame: DataFrame) -> DataFrame:
-    """Rows over all cores where the files are too few for that."""
+    """Rows over all cores where the table is too small to be read by as many tasks."""
     cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores) if len(frame.inputFiles()) < cores else frame
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
