@@ -26,7 +26,8 @@ def spark_output(df: DataFrame, outputs: dict[str, str]) -> DataFrame:
         value = F.col(name)
         if kind in ROUNDING:
             kept, shown = ROUNDING[kind]
-            value = F.round(value.cast(f"decimal(38,{kept})"), shown).cast("double")
+            value = value.cast(f"decimal(38,{kept})")
+            value = (value if kept == shown else F.round(value, shown)).cast("double")
         elif kind == "int":
             value = value.cast("bigint")
         elif kind == "text":

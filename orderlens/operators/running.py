@@ -19,6 +19,11 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"r_{k}"]) for k in keys])
 
 
+def chunk_count(rows: int, rows_per_task: int, partitions: int) -> int:
+    """Chunks of ``rows_per_task``, but not more than ``partitions`` unless those would be over ``ROWS_PER_TASK``."""
+    return min(-(-rows // rows_per_task), max(partitions, -(-rows // ROWS_PER_TASK)))
+
+
 def running(
     marked: DataFrame, pane: Sequence[str], order: Sequence[Column],
     sums: Mapping[str, Column], position: str, rows_per_task: int = ROWS_PER_TASK,
@@ -29,11 +34,14 @@ def running(
     does. Beyond that the marks are range-partitioned on pane and order, so even a pane holding
     most of them is cut into chunks; each chunk is summed alone and shifted by the totals of the
     chunks before it. There are at most as many chunk totals as range partitions and panes.
+
+    Small chunks are merged until there are no more than the session's shuffle partitions, as a task for each
+    few marks would have the number of tasks, files and shuffle blocks grow with the marks.
     """
     outputs = {position: F.lit(1).cast("bigint"), **sums}
     # The types an ordinary window gives, whichever way the sums are made.
     types = {f.name: f.dataType for f in marked.select(*[F.sum(v).alias(n) for n, v in outputs.items()]).schema}
-    tasks = -(-marked.count() // rows_per_task)
+    tasks = chunk_count(marked.count(), rows_per_task, int(marked.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     upto = (Window.unboundedPreceding, Window.currentRow)
     if tasks <= 1:
         window = Window.partitionBy(*(pane or [F.lit(0)])).orderBy(*order).rowsBetween(*upto)
