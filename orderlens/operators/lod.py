@@ -8,7 +8,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.functions.money import MONEY, exact_sum
+from orderlens.functions.money import MONEY, PARTS, added, exact_sum, from_parts, money_parts
 
 ORDER = "platform_order_code"
 MEASURES = ("gmv_eur", "gross_profit_eur", "gross_profit_eur_cf")
@@ -23,12 +23,27 @@ def sums(rows: DataFrame, keys: Sequence[str], measures: Sequence[str] = MEASURE
 
 
 def marks(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Decimal sums plus exact distinct orders. Spark shuffles on key and order code first, so
-    a vendor with most of the orders is still spread over all tasks."""
-    return rows.groupBy(*keys).agg(
-        F.count_distinct(ORDER).alias("order_count"),
-        *[exact_sum(F.col(m)).alias(m) for m in MEASURES],
-    )
+    """Decimal sums plus exact distinct orders, in two passes of ``rows``, which are a stored table.
+
+    The sums are reduced to a row per mark in each task before their shuffle. The distinct orders are shuffled
+    on key and order code, without the sums, so a vendor with most of the orders is spread over all tasks.
+    """
+    names = [f"{name}_{m}" for m in MEASURES for name in PARTS]
+    parts = [part for m in MEASURES for part in money_parts(F.col(m))]
+    summed = rows.select(*keys, *[p.alias(n) for n, p in zip(names, parts)]).groupBy(*keys).agg(
+        *[part.alias(n) for n, part in zip(names, _added_parts(names))], F.lit(0).cast("bigint").alias("order_count"))
+    codes = rows.filter(F.col(ORDER).isNotNull()).select(*keys, ORDER).distinct()
+    orders = codes.groupBy(*keys).agg(F.count(F.lit(1)).alias("order_count"))
+    both = summed.unionByName(orders, allowMissingColumns=True)
+    sums_of = _added_parts(names)
+    return both.groupBy(*keys).agg(
+        F.sum("order_count").alias("order_count"),
+        *[from_parts(*sums_of[i:i + len(PARTS)]).alias(m) for i, m in zip(range(0, len(names), len(PARTS)), MEASURES)])
+
+
+def _added_parts(names: Sequence[str]) -> list[Column]:
+    """Parts of all measures, as columns, added up."""
+    return [c for i in range(0, len(names), len(PARTS)) for c in added([F.col(n) for n in names[i:i + len(PARTS)]])]
 
 
 def mark_id(keys: Sequence[str]) -> Column:
