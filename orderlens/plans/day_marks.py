@@ -1,10 +1,10 @@
 """Partial aggregates per day, kept up to date, from which reports over any filters are counted.
 
 Two stored tables, in folders by month. ``cells``: one row per day and combination of all columns that reports
-filter or group by, with the parts of its sums. ``orders``: how many order codes occur in exactly one set
-of a month's cells; codes that occur in several months are listed by name with the cells of each, as their sets
-could not be told apart otherwise. Sums and sets add up, so any filter on those columns picks cells, and what is
-picked gives the same marks as the order rows, distinct orders included.
+filter or group by, with the parts of its sums. ``orders``: how many order codes occur in this cell and in no other;
+codes that occur in several cells are listed by name, a row per cell. Sums and counts add up and names can be
+counted once, so any filter on those columns picks cells, and what is picked gives the same marks as the order rows,
+distinct orders included.
 
 An update of some months reads those months of the order table, and of all others the order codes alone: months that
 share a code with a changed one, now or as stored, are made anew as well, and no other.
@@ -12,7 +12,7 @@ share a code with a changed one, now or as stored, are made anew as well, and no
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple, Optional
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +27,8 @@ from orderlens.sources.versions import Folder, open_table, replace_partitions
 
 DAY, MONTH = "created_date_utc", "month"
 CELL = tuple(dict.fromkeys([DAY, *MEMBER_COLUMNS, *VENDOR_MARK]))
+#: Order rows that one task reduces to cells and writes to one file, about.
+ROWS_PER_FILE = 500_000
 
 
 class DayMarks(NamedTuple):
@@ -38,26 +40,55 @@ def with_month(orders: DataFrame) -> DataFrame:
     return orders.withColumn(MONTH, F.coalesce(F.date_format(DAY, "yyyy-MM"), F.lit("none")))
 
 
-def cells_of(orders: DataFrame) -> DataFrame:
-    """Sums per cell, as parts that add up."""
+def cells_of(orders: DataFrame, sizes: Mapping[str, int]) -> DataFrame:
+    """Sums per cell, as parts that add up; each month lies in as many tasks as its ``sizes`` order rows need.
+
+    Cells are nearly as many as order rows where few orders are alike, so the rows themselves are shuffled, once, to
+    where their cells are written.
+    """
+    files = F.create_map(*[F.lit(v) for m, n in sizes.items() for v in (m, n // ROWS_PER_FILE + 1)])
+    bucket = F.pmod(F.xxhash64(*CELL), F.coalesce(files[F.col(MONTH)], F.lit(1)))
+    laid = orders.select(MONTH, *CELL, *MEASURES, bucket.alias("bucket")).repartition(MONTH, "bucket")
     parts = [part.alias(f"{name}_{m}") for m in MEASURES for name, part in zip(PARTS, added(money_parts(F.col(m))))]
-    return orders.groupBy(MONTH, *CELL).agg(*parts).withColumn("cell", mark_id(CELL))
+    return laid.groupBy(MONTH, "bucket", *CELL).agg(*parts).drop("bucket").withColumn("cell", mark_id(CELL))
+
 
+def codes_of(orders: DataFrame, several: Optional[DataFrame] = None) -> DataFrame:
+    """Order codes with the month and cell of those that occur in one cell only and are not among ``several``.
 
-def sets_of(orders: DataFrame, several: DataFrame) -> DataFrame:
-    """Order codes per month and set of cells; a code among ``several`` (its months) stands for itself."""
-    per_code = orders.filter(F.col(ORDER).isNotNull()).groupBy(MONTH, ORDER).agg(
-        F.sort_array(F.collect_set(mark_id(CELL))).alias("cells"))
-    listed = several.select(F.col(ORDER).alias("listed"))
-    named = per_code.join(listed, F.col(ORDER) == F.col("listed"), "left").select(MONTH, "cells", F.col("listed").alias("code"))
-    return named.groupBy(MONTH, "cells", "code").agg(F.count(F.lit(1)).alias("orders"))
+    The least and greatest halves of a code's cell ids are longs, so they are reduced by hashing, in each task first.
+    """
+    cell = mark_id(CELL)
+    ids = orders.filter(F.col(ORDER).isNotNull()).select(ORDER, DAY, cell["a"].alias("a"), cell["b"].alias("b"))
+    ends = ids.groupBy(ORDER).agg(
+        F.min(DAY).alias(DAY), *[f(h).alias(f"{n}_{h}") for h in "ab" for n, f in (("least", F.min), ("most", F.max))])
+    alone = (F.col("least_a") == F.col("most_a")) & (F.col("least_b") == F.col("most_b"))
+    if several is not None:
+        ends = ends.join(several.select(F.col(ORDER).alias("listed")), F.col(ORDER) == F.col("listed"), "left")
+        alone = alone & F.col("listed").isNull()
+    only = F.when(alone, F.struct(F.col("least_a").alias("a"), F.col("least_b").alias("b")))
+    return with_month(ends).select(ORDER, MONTH, only.alias("cell"))
+
+
+def orders_of(orders: DataFrame, codes: DataFrame) -> DataFrame:
+    """Distinct orders per cell: the number of codes that only it has, and by name those that others have as well."""
+    one = F.lit(1).cast("bigint").alias("orders")
+    alone = codes.filter("cell IS NOT NULL").groupBy(MONTH, "cell").agg(F.count(F.lit(1)).alias("orders"))
+    names = codes.filter("cell IS NULL").select(F.col(ORDER).alias("name"))
+    met = orders.select(MONTH, mark_id(CELL).alias("cell"), F.col(ORDER).alias("code")).join(
+        names, F.col("code") == F.col("name"), "left_semi").distinct()
+    return alone.select(MONTH, "cell", F.lit(None).cast("string").alias("code"), "orders").unionByName(
+        met.select(MONTH, "cell", "code", one))
 
 
 def _touched(codes: DataFrame, stored: DataFrame, months: Sequence[str]) -> list[str]:
-    """``months`` and those that share an order code with one of them, in the order table or as stored."""
-    every = codes.unionByName(stored.filter("code IS NOT NULL").select(MONTH, F.col("code").alias(ORDER)))
-    changed = every.filter(F.col(MONTH).isin(*months)).select(F.col(ORDER).alias("changed")).distinct()
-    shared = every.join(changed, F.col(ORDER) == F.col("changed"), "left_semi").select(MONTH).distinct()
+    """``months`` and those that share an order code with one of them, as it is in the order table or as stored.
+
+    Of the stored codes only those of ``months`` are read: other months are in the order table as they are stored.
+    """
+    before = stored.filter(F.col(MONTH).isin(*months) & F.col("code").isNotNull()).select(F.col("code").alias("changed"))
+    changed = codes.filter(F.col(MONTH).isin(*months)).select(F.col(ORDER).alias("changed")).unionByName(before).distinct()
+    shared = codes.join(changed, F.col(ORDER) == F.col("changed"), "left_semi").select(MONTH).distinct()
     return sorted({*months, *(r[MONTH] for r in shared.collect())})
 
 
@@ -68,19 +99,23 @@ def update(orders: DataFrame, folder: str, months: Optional[Sequence[str]] = Non
     """
     spark = orders.sparkSession
     rows = with_month(orders)
-    codes = pin(rows.filter(F.col(ORDER).isNotNull()).select(MONTH, ORDER).distinct(), "order-codes")
+    # All months are few; their sizes say over how many tasks each is spread.
+    sizes = {r[MONTH]: r["count"] for r in rows.groupBy(MONTH).count().collect()}
+    several = None
     if months is None:
         # Months that only the stored state has go as well.
         known = [] if not _exists(spark, folder) else [
             r[MONTH] for r in open_table(spark, f"{folder}/cells").select(MONTH).distinct().collect()]
-        touched = sorted({*known, *(r[MONTH] for r in rows.select(MONTH).distinct().collect())})
+        touched = sorted({*known, *sizes})
     else:
+        codes = pin(rows.filter(F.col(ORDER).isNotNull()).select(MONTH, ORDER).distinct(), "order-codes")
         touched = _touched(codes, open_table(spark, f"{folder}/orders"), months)
-    several = pin(codes.groupBy(ORDER).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(ORDER), "repeated-codes")
+        several = codes.groupBy(ORDER).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     anew = rows.filter(F.col(MONTH).isin(*touched))
-    # The sets go first: until the cells follow, a report finds sets of cells that it does not know, and no others.
-    replace_partitions(sets_of(anew, several), f"{folder}/orders", MONTH, touched)
-    replace_partitions(cells_of(anew), f"{folder}/cells", MONTH, touched)
+    known_codes = pin(codes_of(anew, several), "code-cells")
+    # The orders go first: until the cells follow, a report finds orders of cells that it does not know, and no others.
+    replace_partitions(orders_of(anew, known_codes), f"{folder}/orders", MONTH, touched)
+    replace_partitions(cells_of(anew, {m: sizes.get(m, 0) for m in touched}), f"{folder}/cells", MONTH, touched, laid_out=True)
     return touched
 
 
@@ -106,12 +141,11 @@ def marks(state: DayMarks, filters: ViewFilters = ViewFilters(), keys: Sequence[
     sums = cells.groupBy(*keys).agg(*[
         from_parts(*added([F.col(f"{name}_{m}") for name in PARTS])).alias(m) for m in MEASURES])
     own = cells.select("cell", mark_id(keys).alias("mark"))
-    sets = state.orders.filter(_months(filters)).withColumn("row", F.monotonically_increasing_id())
-    met = sets.select("row", "code", "orders", F.explode("cells").alias("cell")).join(own, "cell")
-    # A code that stands for itself is one order, in however many months; a set counts once per mark.
-    once = met.select("mark", F.when(F.col("code").isNull(), F.col("row")).alias("row"), "code", "orders").distinct()
-    counts = once.groupBy("mark").agg(F.sum(F.when(F.col("code").isNull(), F.col("orders"))).alias("alone"),
-                                      F.count_distinct("code").alias("repeated"))
+    met = state.orders.filter(_months(filters)).select("cell", "code", "orders").join(own, "cell")
+    # A code by name is one order, in however many cells of the mark; the others are in one cell each.
+    by_name = met.groupBy("mark", "code").agg(F.sum("orders").alias("orders"))
+    counts = by_name.groupBy("mark").agg(F.sum(F.when(F.col("code").isNull(), F.col("orders"))).alias("alone"),
+                                         F.count("code").alias("repeated"))
     total = (F.coalesce("alone", F.lit(0)) + F.coalesce("repeated", F.lit(0))).alias("order_count")
     joined = sums.withColumn("mark", mark_id(keys)).join(counts, "mark", "left")
     return joined.select(*keys, total, *MEASURES)

@@ -122,9 +122,9 @@ def _read(spark: SparkSession, path: str, version: Version, folders: Sequence[st
     return spark.read.option("basePath", path).schema(stored).parquet(*paths).select(version.schema.names)
 
 
-def _add(df: DataFrame, path: str, partition_by: Sequence[str], made_by: str) -> tuple[str, ...]:
-    """Write rows into leaf folders of their own, which no version lists yet."""
-    if partition_by:
+def _add(df: DataFrame, path: str, partition_by: Sequence[str], made_by: str, laid_out: bool = False) -> tuple[str, ...]:
+    """Write rows into leaf folders of their own, which no version lists yet; ``laid_out`` rows are not shuffled for that."""
+    if partition_by and not laid_out:
         df = df.hint("rebalance", *partition_by)
     df.withColumn(VERSION, F.lit(made_by)).write.mode("append").partitionBy(*partition_by, VERSION).parquet(path)
     return tuple(sorted(Folder(df.sparkSession, path).leaves(len(partition_by), made_by)))
@@ -142,16 +142,18 @@ def _put(folder: Folder, version: Version, before: Version | None, grace: float)
     clean_up(folder.spark, folder.path, grace, before)
 
 
-def publish(df: DataFrame, path: str, partition_by: Sequence[str] = (), grace: float = 24.0) -> DataFrame:
+def publish(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), grace: float = 24.0, laid_out: bool = False,
+) -> DataFrame:
     """Create or replace the table at ``path`` and return it as read back; ``df`` may read the old one.
 
     With partition columns the rows are first rebalanced on them, so each folder gets a few well-sized files
-    and a folder holding most of the rows is split over several writers.
+    and a folder holding most of the rows is split over several writers. Rows that lie so already are ``laid_out``.
     """
     spark, made_by = df.sparkSession, uuid.uuid4().hex
     folder = Folder(spark, path)
     before = folder.current()
-    folders = _add(df, path, partition_by, made_by)
+    folders = _add(df, path, partition_by, made_by, laid_out)
     version = Version(before.number + 1 if before else 1, df.schema, tuple(partition_by), folders,
                       before.folders if before else (), made_by)
     # A replacement does not depend on what it replaces, so the latest one counts.
@@ -245,7 +247,9 @@ def _is_in(folder: str, column: str, values: set[str]) -> bool:
     return any(_decoded(part) in {f"{column}={v}" for v in values} for part in folder.split("/"))
 
 
-def replace_partitions(df: DataFrame, path: str, column: str, values: Sequence[str]) -> DataFrame:
+def replace_partitions(
+    df: DataFrame, path: str, column: str, values: Sequence[str], laid_out: bool = False,
+) -> DataFrame:
     """Replace the partitions whose ``column`` (a string) is one of ``values`` by the rows of ``df``, all of which lie there.
 
     Other partitions keep their files. A table that is not there yet is created.
@@ -254,10 +258,10 @@ def replace_partitions(df: DataFrame, path: str, column: str, values: Sequence[s
     folder = Folder(spark, path)
     before = folder.current()
     if before is None:
-        return publish(df, path, [column])
+        return publish(df, path, [column], laid_out=laid_out)
     if before.schema != df.schema or column not in before.partition_by:
         raise ValueError(f"rows do not fit the table at {path}")
-    added = _add(df, path, before.partition_by, made_by)
+    added = _add(df, path, before.partition_by, made_by, laid_out)
     wanted = set(values)
     if strays := [n for n in added if not _is_in(n, column, wanted)]:
         raise ValueError(f"rows outside the replaced partitions: {strays[:3]}")
