@@ -1,7 +1,7 @@
 """Partial aggregates per day, kept up to date, from which reports over any filters are counted.
 
 Two stored tables, in folders by month. ``cells``: one row per day and combination of all columns that reports
-filter or group by, with the parts of its sums. ``orders``: how many order codes occur in this cell and in no other;
+filter or group by (several for one with very many order rows), with the parts of its sums. ``orders``: how many order codes occur in this cell and in no other;
 codes that occur in several cells are listed by name, a row per cell. Sums and counts add up and names can be
 counted once, so any filter on those columns picks cells, and what is picked gives the same marks as the order rows,
 distinct orders included.
@@ -29,6 +29,8 @@ DAY, MONTH = "created_date_utc", "month"
 CELL = tuple(dict.fromkeys([DAY, *MEMBER_COLUMNS, *VENDOR_MARK]))
 #: Order rows that one task reduces to cells and writes to one file, about.
 ROWS_PER_FILE = 500_000
+#: Parts of a month by cell, counted to see whether one cell has most of its rows, and from which multiple of the mean.
+SLOTS, HOT = 64, 4
 
 
 class DayMarks(NamedTuple):
@@ -40,15 +42,33 @@ def with_month(orders: DataFrame) -> DataFrame:
     return orders.withColumn(MONTH, F.coalesce(F.date_format(DAY, "yyyy-MM"), F.lit("none")))
 
 
-def cells_of(orders: DataFrame, sizes: Mapping[str, int]) -> DataFrame:
-    """Sums per cell, as parts that add up; each month lies in as many tasks as its ``sizes`` order rows need.
+def _slot() -> Column:
+    return F.pmod(F.xxhash64(*CELL), F.lit(SLOTS)).cast("int")
+
+
+def _bucket(sizes: Mapping[tuple[str, int], int]) -> Column:
+    """Which task of its month a row goes to: by its cell, or spread if the cell's slot has far more rows than others."""
+    months: dict[str, int] = {}
+    for (month, _), n in sizes.items():
+        months[month] = months.get(month, 0) + n
+    files = F.create_map(*[F.lit(v) for m, n in months.items() for v in (m, n // ROWS_PER_FILE + 1)])
+    bucket = F.pmod(F.xxhash64(F.lit(1), *CELL), F.coalesce(files[F.col(MONTH)], F.lit(1)))
+    hot = {f"{m}/{slot}": n // ROWS_PER_FILE + 1 for (m, slot), n in sizes.items()
+           if n > max(ROWS_PER_FILE, HOT * months[m] / SLOTS)}
+    if hot:
+        ways = F.create_map(*[F.lit(v) for pair in hot.items() for v in pair])[F.concat_ws("/", MONTH, _slot())]
+        # Numbers below 0 are of no cell by itself.
+        bucket = F.when(ways.isNotNull(), -1 - F.pmod(F.xxhash64(ORDER, *MEASURES), ways)).otherwise(bucket)
+    return bucket
+
+
+def cells_of(orders: DataFrame, sizes: Mapping[tuple[str, int], int]) -> DataFrame:
+    """Sums per cell, as parts that add up; each month lies in as many tasks as its order rows (``sizes``) need.
 
     Cells are nearly as many as order rows where few orders are alike, so the rows themselves are shuffled, once, to
-    where their cells are written.
+    where their cells are written. A cell with very many rows lies in several tasks, and has a row from each.
     """
-    files = F.create_map(*[F.lit(v) for m, n in sizes.items() for v in (m, n // ROWS_PER_FILE + 1)])
-    bucket = F.pmod(F.xxhash64(*CELL), F.coalesce(files[F.col(MONTH)], F.lit(1)))
-    laid = orders.select(MONTH, *CELL, *MEASURES, bucket.alias("bucket")).repartition(MONTH, "bucket")
+    laid = orders.select(MONTH, *CELL, *MEASURES, _bucket(sizes).alias("bucket")).repartition(MONTH, "bucket")
     parts = [part.alias(f"{name}_{m}") for m in MEASURES for name, part in zip(PARTS, added(money_parts(F.col(m))))]
     return laid.groupBy(MONTH, "bucket", *CELL).agg(*parts).drop("bucket").withColumn("cell", mark_id(CELL))
 
@@ -99,14 +119,14 @@ def update(orders: DataFrame, folder: str, months: Optional[Sequence[str]] = Non
     """
     spark = orders.sparkSession
     rows = with_month(orders)
-    # All months are few; their sizes say over how many tasks each is spread.
-    sizes = {r[MONTH]: r["count"] for r in rows.groupBy(MONTH).count().collect()}
+    # Months and their slots are few; their sizes say over how many tasks each is spread.
+    sizes = {(r[MONTH], r["slot"]): r["count"] for r in rows.groupBy(MONTH, _slot().alias("slot")).count().collect()}
     several = None
     if months is None:
         # Months that only the stored state has go as well.
         known = [] if not _exists(spark, folder) else [
             r[MONTH] for r in open_table(spark, f"{folder}/cells").select(MONTH).distinct().collect()]
-        touched = sorted({*known, *sizes})
+        touched = sorted({*known, *(m for m, _ in sizes)})
     else:
         codes = pin(rows.filter(F.col(ORDER).isNotNull()).select(MONTH, ORDER).distinct(), "order-codes")
         touched = _touched(codes, open_table(spark, f"{folder}/orders"), months)
@@ -115,7 +135,8 @@ def update(orders: DataFrame, folder: str, months: Optional[Sequence[str]] = Non
     known_codes = pin(codes_of(anew, several), "code-cells")
     # The orders go first: until the cells follow, a report finds orders of cells that it does not know, and no others.
     replace_partitions(orders_of(anew, known_codes), f"{folder}/orders", MONTH, touched)
-    replace_partitions(cells_of(anew, {m: sizes.get(m, 0) for m in touched}), f"{folder}/cells", MONTH, touched, laid_out=True)
+    anew_sizes = {k: n for k, n in sizes.items() if k[0] in touched} or {("none", 0): 0}
+    replace_partitions(cells_of(anew, anew_sizes), f"{folder}/cells", MONTH, touched, laid_out=True)
     return touched
 
 
@@ -140,7 +161,7 @@ def marks(state: DayMarks, filters: ViewFilters = ViewFilters(), keys: Sequence[
     cells = state.cells.filter(_months(filters) & context_condition(filters))
     sums = cells.groupBy(*keys).agg(*[
         from_parts(*added([F.col(f"{name}_{m}") for name in PARTS])).alias(m) for m in MEASURES])
-    own = cells.select("cell", mark_id(keys).alias("mark"))
+    own = cells.select("cell", mark_id(keys).alias("mark")).repartition("cell").distinct()
     met = state.orders.filter(_months(filters)).select("cell", "code", "orders").join(own, "cell")
     # A code by name is one order, in however many cells of the mark; the others are in one cell each.
     by_name = met.groupBy("mark", "code").agg(F.sum("orders").alias("orders"))

@@ -138,3 +138,15 @@ def test_a_large_month_lies_in_several_files(spark, tmp_path, pinned, monkeypatc
         "month", F.input_file_name()).distinct().groupBy("month").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert files["2022-01"] > files["2022-02"]
     agrees(spark, folder, table, FILTERS[:3])
+
+
+def test_a_hot_cell_is_spread(spark, tmp_path, pinned, monkeypatch):
+    """Most rows of a month in one cell do not go to one task; its rows add up."""
+    monkeypatch.setattr(day_marks, "ROWS_PER_FILE", 40)
+    folder = f"{tmp_path}/state"
+    hot = order_rows(spark, 9, (1,), n=1).drop("platform_order_code").crossJoin(
+        spark.range(300).select((F.col("id") % 200).cast("string").alias("platform_order_code"))).select(ORDER_TABLE.fieldNames())
+    table = pinned(order_rows(spark, 10, (1, 2), n=100).unionByName(hot), "rows")
+    day_marks.update(table, folder)
+    assert day_marks.read(spark, folder).cells.groupBy("cell").count().agg(F.max("count")).first()[0] > 2
+    agrees(spark, folder, table, FILTERS[:3])
