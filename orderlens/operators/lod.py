@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from typing import Sequence
 
@@ -22,8 +23,9 @@ def sums(rows: DataFrame, keys: Sequence[str], measures: Sequence[str] = MEASURE
     return rows.groupBy(*keys).agg(*[exact_sum(F.col(m)).alias(m) for m in measures])
 
 
-def marks(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Decimal sums plus exact distinct orders, in two passes of ``rows``, which are a stored table.
+def marks(rows: DataFrame, keys: Sequence[str], total: Callable[..., Column] = from_parts) -> DataFrame:
+    """Sums (decimal, unless ``total`` makes another value of their parts) plus exact distinct orders, in two passes
+    of ``rows``, which are a stored table.
 
     The sums are reduced to a row per mark in each task before their shuffle. The distinct orders are shuffled
     on key and order code, without the sums, so a vendor with most of the orders is spread over all tasks.
@@ -38,7 +40,7 @@ def marks(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     sums_of = _added_parts(names)
     return both.groupBy(*keys).agg(
         F.sum("order_count").alias("order_count"),
-        *[from_parts(*sums_of[i:i + len(PARTS)]).alias(m) for i, m in zip(range(0, len(names), len(PARTS)), MEASURES)])
+        *[total(*sums_of[i:i + len(PARTS)]).alias(m) for i, m in zip(range(0, len(names), len(PARTS)), MEASURES)])
 
 
 def _added_parts(names: Sequence[str]) -> list[Column]:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.functions.money import exact_total, to_eur
+from orderlens.functions.money import exact_total, to_eur, total_of_parts
 from orderlens.functions.orders import before_vat
+from orderlens.operators.lod import MEASURES, ORDER, marks
 from orderlens.sources.schemas import ORDER_TABLE
 
 AGGREGATE_KEYS = ("region", "entity_id", "vertical_type", "vendor_id", "is_fd_subscription")
@@ -53,15 +54,13 @@ def order_table(priced: DataFrame) -> DataFrame:
     return priced.select(*ORDER_TABLE.fieldNames(), *PLACE_COLUMNS)
 
 
-def vendor_aggregate(orders: DataFrame) -> DataFrame:
-    """Orders, GMV and profit per vendor and subscription flag, over orders with a known profit."""
-    return (
-        orders
-        .filter(F.col("gross_profit_eur").isNotNull())
-        .groupBy(*AGGREGATE_KEYS)
-        .agg(
-            F.count_distinct("platform_order_code").alias("order_count"),
-            *[exact_total(F.col(m)).alias(m)
-              for m in ("gmv_eur", "gross_profit_eur", "gross_profit_eur_cf")],
-        )
-    )
+def vendor_aggregate(orders: DataFrame, stored: bool = False) -> DataFrame:
+    """Orders, GMV and profit per vendor and subscription flag, over orders with a known profit.
+
+    ``stored`` orders are read twice, so that the shuffle of the order codes carries no amounts; a plan is run once.
+    """
+    known = orders.filter(F.col("gross_profit_eur").isNotNull())
+    if stored:
+        return marks(known, AGGREGATE_KEYS, total_of_parts)
+    return known.groupBy(*AGGREGATE_KEYS).agg(
+        F.count_distinct(ORDER).alias("order_count"), *[exact_total(F.col(m)).alias(m) for m in MEASURES])

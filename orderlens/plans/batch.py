@@ -71,6 +71,6 @@ def run_batch(
     zones = publish(flatten_zones(sources.countries, params), f"{folder}/zones")
     counts = RowCounts()
     orders = publish(profit_orders(sources, params, zones, counts), f"{folder}/orders", partition_orders_by)
-    vendors = publish(vendor_aggregate(orders), f"{folder}/vendors")
+    vendors = publish(vendor_aggregate(orders, stored=True), f"{folder}/vendors")
     repeated = publish(join_key_report(sources, zones), f"{folder}/repeated_keys") if counts.multiplied() else None
     return BatchTables(zones, orders, vendors, counts.rows(), repeated)
